@@ -60,5 +60,7 @@ def month_name(date: Column) -> Column:
 
 
 def short_month(text: Column) -> Column:
-    """``Nov 13`` -> 2013-11-01."""
-    return F.to_date(F.concat(F.lit("01 "), text), "dd MMM yy")
+    """``Nov 13`` -> 2013-11-01. Two-digit years from 69 up are 19xx."""
+    month, short = F.split_part(text, F.lit(" "), F.lit(1)), F.split_part(text, F.lit(" "), F.lit(2))
+    century = F.when(short >= "69", "19").otherwise("20")
+    return F.to_date(F.concat_ws(" ", F.lit("01"), month, F.concat(century, short)), "dd MMM yyyy")

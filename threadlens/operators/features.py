@@ -30,8 +30,9 @@ def spark_tokens(text: str) -> Column:
     """The same tokens as a column expression."""
     parts = F.split(F.lower(F.col(text)), r"\s")
     # Trailing empty strings are dropped, inner and leading ones are not.
-    keep = F.size(parts) - F.length(F.regexp_extract(F.col(text), r"(\s*)$", 1))
-    return F.slice(parts, F.lit(1), F.greatest(keep, F.lit(1)))
+    trailing = F.length(F.regexp_extract(F.col(text), r"(\s*)$", 1))
+    kept = F.when(F.col(text).rlike(r"^\s+$"), 0).otherwise(F.size(parts) - trailing)
+    return F.slice(parts, F.lit(1), kept)
 
 
 def tfidf_stages(

@@ -26,10 +26,13 @@ def lexicon_score(tokens: Column, lexicon: Mapping[str, float]) -> Column:
     by_weight: dict[float, list[str]] = defaultdict(list)
     for word, weight in lexicon.items():
         by_weight[weight].append(word)
+
+    def hits(words: list[str]) -> Column:
+        return F.size(F.filter(tokens, lambda t: t.isin(words)))
+
     score = F.lit(0.0)
     for weight, words in sorted(by_weight.items()):
-        hits = F.size(F.filter(tokens, lambda t, words=words: t.isin(words)))
-        score = score + hits * F.lit(float(weight))
+        score = score + hits(words) * F.lit(float(weight))
     return score
 
 

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from threadlens.functions.timeparts import first_of_month, month_name, month_number, short_month
 from threadlens.operators.cleaning import strip_thousands
@@ -20,7 +19,7 @@ def read_below_title(
     spark: SparkSession, path: str, columns: Sequence[str], first_cell: str
 ) -> DataFrame:
     """All-string CSV rows whose first cell looks like data; title lines do not."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    schema = ", ".join(f"{c} string" for c in columns)
     return spark.read.csv(path, schema=schema, header=False, escape='"').filter(
         F.col(columns[0]).rlike(first_cell)
     )

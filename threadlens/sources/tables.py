@@ -6,12 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from threadlens.schemas import COMMENTS, SUBMISSIONS, TRUTH_LABELS
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
@@ -32,7 +31,7 @@ def write_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
 def read_csv(
     spark: SparkSession,
     path: str,
-    schema: T.StructType,
+    schema: str,
     header: bool = False,
     multiline: bool = False,
     sep: str = ",",
@@ -56,7 +55,7 @@ def write_summary_csv(summary: DataFrame, path: str) -> None:
 
 
 def read_summary_csv(
-    spark: SparkSession, path: str, schema: T.StructType, saved_index: str | None = None
+    spark: SparkSession, path: str, schema: str, saved_index: str | None = None
 ) -> DataFrame:
     """A CSV with a header; the saved row-number column is dropped if there is one."""
     df = spark.read.csv(path, schema=schema, header=True, escape='"')
@@ -69,12 +68,12 @@ def read_truth_labels(spark: SparkSession, paths: Mapping[str, str]) -> DataFram
     Fields 1, 2, 3, 4 and 7 (from 0) are label, text, subject, speaker and party; quotes
     are plain characters.
     """
-    fields = {1: "label", 2: "text", 3: "subject", 4: "speaker", 7: "political_party"}
-    eight = T.StructType([T.StructField(fields.get(i, f"_c{i}"), T.StringType()) for i in range(8)])
+    fields = dict(zip([1, 2, 3, 4, 7], TRUTH_LABELS))
+    eight = ", ".join(f"{fields.get(i, f'_c{i}')} string" for i in range(8))
     frames = None
     for name, path in paths.items():
         part = spark.read.csv(path, schema=eight, sep="\t", quote="").select(
-            *TRUTH_LABELS.fieldNames(), F.lit(name).alias("split")
+            *TRUTH_LABELS, F.lit(name).alias("split")
         )
         frames = part if frames is None else frames.unionByName(part)
     return frames
