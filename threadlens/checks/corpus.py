@@ -11,6 +11,7 @@ from threadlens.checks.stem_sql import STEMS, STOP_LIST
 from threadlens.functions.text import topic_flags
 from threadlens.functions.words import STOP_WORDS, TOPIC_TERMS
 from threadlens.operators import corpus, summary
+from threadlens.sources.tables import spread
 
 WORDS = f"""listed as (select doc_id, lang, {tokens_sql("text")} as words from documents),
 raw as (select doc_id, lang, unnest(words) as word, generate_subscripts(words, 1) as pos from listed),
@@ -21,7 +22,7 @@ stemmed as (select doc_id, lang, pos, stem as term from kept join stems using (w
 
 
 def documents(spark, folder):
-    return table(spark, folder, "documents")
+    return spread(table(spark, folder, "documents").select("doc_id", "lang", "text"))
 
 
 @query(f"""with {WORDS}, joined as (select doc_id, string_agg(term, ' ' order by pos) as t from stemmed group by doc_id)

@@ -10,6 +10,7 @@ from threadlens.checks.registry import query, table
 from threadlens.checks.sampling import LANGUAGES
 from threadlens.operators import corpus, features, metrics, models, sampling
 from threadlens.session import new_path
+from threadlens.sources.tables import spread, stage
 
 VOCABULARY = 2000
 TREES = 20
@@ -17,21 +18,22 @@ TREES = 20
 
 def length_texts(spark, folder):
     """Documents with a number to predict from their words."""
-    return table(spark, folder, "documents").select(
+    docs = table(spark, folder, "documents").select(
         "doc_id", "text", F.log(F.col("n_chars").cast("double")).alias("target")
     )
+    return spread(docs)
 
 
 def balanced_texts(spark, folder):
-    """Cleaned texts, equally many per language."""
+    """Cleaned texts, equally many per language; cleaned once for all the fits that follow."""
     docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
     balanced = sampling.balance_classes(docs, "lang", "doc_id", groups=LANGUAGES)
-    return corpus.clean_column(balanced, "text")
+    return stage(corpus.clean_column(spread(balanced), "text"), "texts")
 
 
 def vectors(df, text="text"):
     model = features.fit_tfidf(df, text, vocabulary=VOCABULARY)
-    return model, model.transform(df).drop("words", "rawFeatures")
+    return model, stage(model.transform(df).drop("words", "rawFeatures", text), "vectors")
 
 
 def regression_run(spark, folder, estimator):
@@ -91,7 +93,7 @@ def save_load_predict(spark, folder):
 
 @query()
 def trained_sentiment(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
     labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
     model = models.train_sentiment(docs.join(labels, "doc_id"), "text", "label", VOCABULARY)
     return models.trained_sentiment(model, docs, "text").select("doc_id", "sentiment")

@@ -48,7 +48,6 @@ SECOND_REGION = [
     "ism", "ate", "iti", "ous", "ive", "ize", "ion",
 ]
 
-REGION = "^[^aeiouy]*[aeiouy]+[^aeiouy]"
 
 
 def _lookup(table: Mapping[str, str], key: Column) -> Column:
@@ -60,10 +59,6 @@ def _without(word: Column, suffix: Column) -> Column:
     return F.substring(word, F.lit(1), F.length(word) - F.length(suffix))
 
 
-def _length_or(found: Column, otherwise: Column) -> Column:
-    return F.length(F.coalesce(F.nullif(found, F.lit("")), otherwise))
-
-
 def _state(word: Column, s: Column) -> Column:
     return F.struct(word.alias("w"), s["p1"].alias("p1"), s["p2"].alias("p2"))
 
@@ -72,13 +67,17 @@ def _suffix_rule(
     alternatives: list[str], apply: Callable[[Column, Column, Column], Column]
 ) -> Callable[[Column], Column]:
     """A rule that sees the state, the longest listed suffix and what stands before it."""
-    longest_first = sorted(alternatives, key=len, reverse=True)
 
     def suffix(word: Column) -> Column:
-        chain = F.when(word.endswith(longest_first[0]), F.lit(longest_first[0]))
-        for ending in longest_first[1:]:
-            chain = chain.when(word.endswith(ending), F.lit(ending))
-        return chain.otherwise(F.lit(""))
+        # One test per possible last letter, then only the endings with that letter.
+        chosen = F
+        for last in sorted({ending[-1] for ending in alternatives}):
+            same = [e for e in alternatives if e[-1] == last]
+            longest = F
+            for ending in sorted(same, key=len, reverse=True):
+                longest = longest.when(word.endswith(ending), F.lit(ending))
+            chosen = chosen.when(word.endswith(last), longest.otherwise(F.lit("")))
+        return chosen.otherwise(F.lit(""))
 
     def find(array: Column) -> Column:
         return F.transform(array, lambda s: F.struct(s.alias("s"), suffix(s["w"]).alias("x")))
@@ -165,18 +164,26 @@ def _start(word: Column) -> Column:
     return F.when(word.contains("y"), marked).otherwise(word)
 
 
+# What follows the first consonant after a vowel.
+REGION = r"^[^aeiouy]*[aeiouy]+[^aeiouy](.*)"
+
+
 def _regions(w: Column) -> Column:
-    """First region: after the first consonant that follows a vowel; second: once more."""
-    head = F.when(w.startswith("gener") | w.startswith("arsen"), F.lit(5))
-    head = head.when(w.startswith("commun"), F.lit(6))
-    head = head.otherwise(_length_or(F.regexp_extract(w, REGION, 0), w))
-    return F.struct(w.alias("w"), head.alias("p1"))
+    first = (
+        F.when(w.startswith("gener") | w.startswith("arsen"), F.substring(w, 6, 1000))
+        .when(w.startswith("commun"), F.substring(w, 7, 1000))
+        .otherwise(F.regexp_extract(w, REGION, 1))
+    )
+    return F.struct(w.alias("w"), first.alias("r1"))
 
 
-def _second_region(s: Column) -> Column:
-    rest = F.substring(s["w"], s["p1"] + 1, F.length(s["w"]))
-    second = _length_or(F.regexp_extract(rest, REGION, 0), rest)
-    return F.struct(s["w"].alias("w"), s["p1"].alias("p1"), (s["p1"] + second).alias("p2"))
+def _region_starts(s: Column) -> Column:
+    size, second = F.length(s["w"]), F.regexp_extract(s["r1"], REGION, 1)
+    return F.struct(
+        s["w"].alias("w"),
+        (size - F.length(s["r1"])).alias("p1"),
+        (size - F.when(F.length(s["r1"]) > 2, F.length(second)).otherwise(0)).alias("p2"),
+    )
 
 
 RULES = [
@@ -197,16 +204,16 @@ RULES = [
 
 def stem_tokens(tokens: Column) -> Column:
     """Stem of every word of an array, in order."""
-    state = F.transform(F.transform(F.transform(tokens, _start), _regions), _second_region)
+    state = F.transform(F.transform(F.transform(tokens, _start), _regions), _region_starts)
     for rule in RULES:
         state = rule(state)
     stems = F.transform(state, lambda s: F.translate(s["w"], "Y", "y"))
     return F.zip_with(
         tokens,
         stems,
-        lambda word, stem: F.coalesce(
-            _lookup(IRREGULAR, word), F.when(F.length(word) <= 2, word).otherwise(stem)
-        ),
+        lambda word, stem: F.when(word.isin(list(IRREGULAR)), _lookup(IRREGULAR, word))
+        .when(F.length(word) <= 2, word)
+        .otherwise(stem),
     )
 
 

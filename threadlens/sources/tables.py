@@ -6,11 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadlens.schemas import COMMENTS, SUBMISSIONS, TRUTH_LABELS
+from threadlens.session import new_path
 
 
-def read_parquet(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
@@ -28,6 +30,26 @@ def write_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when the input comes in fewer pieces than that.
+
+    Meant for work that is heavy per row on a small file; a large input already has more
+    pieces and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame that several jobs will read to the shared folder, and read it back.
+
+    Later jobs neither repeat the work nor depend on an executor's memory.
+    """
+    path = new_path(df.sparkSession, label)
+    write_parquet(df, path)
+    return read_parquet(df.sparkSession, path, df.schema)
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
