@@ -60,6 +60,7 @@ def describe_by(
     key are left out unless asked for.
     """
     keys = list(keys)
+    measures = [m for m in measures if m not in keys]
     if drop_null_keys:
         df = df.na.drop(subset=keys)
     moments = df.groupBy(*keys).agg(
