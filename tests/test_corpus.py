@@ -41,7 +41,8 @@ def test_small_vocabulary_keeps_the_most_frequent(spark):
 
 def test_normalised_rows_have_length_one(spark):
     tokens = F.filter(F.split(F.lower("text"), r"\s+"), lambda t: t != "")
-    rows = corpus.tfidf_normalised(texts(spark), "id", tokens).collect()
+    df = texts(spark)
+    rows = corpus.tfidf_normalised(df, corpus.token_rows(df, ["id"], tokens), "id").collect()
     lengths = Counter()
     for r in rows:
         lengths[r.id] += r.weight**2
@@ -51,7 +52,8 @@ def test_normalised_rows_have_length_one(spark):
 
 
 def test_plain_weights(spark):
-    rows = corpus.tfidf_plain(texts(spark), "id", F.split("text", " ")).collect()
+    df = texts(spark)
+    rows = corpus.tfidf_plain(df, corpus.token_rows(df, ["id"], F.split("text", " ")), "id").collect()
     dog = next(r for r in rows if r.term == "dog" and r.id == 2)
     assert (dog.tf, dog.df) == (2, 2) and math.isclose(dog.weight, 2 * math.log(7 / 3))
 
@@ -80,3 +82,12 @@ def test_words_as_json_lines(spark, tmp_path):
     tables.write_word_counts_json(df, str(tmp_path / "bow"))
     back = spark.read.schema("word string, count bigint").json(str(tmp_path / "bow"))
     assert sorted(map(tuple, back.collect())) == [("a", 2), ("b", 1)]
+
+
+def test_rare_words_are_stemmed_without_the_table(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "running runs dogs"), (2, "running the running")], "id bigint, text string")
+    results = []
+    for frequent in (500_000, 3, 0):
+        monkeypatch.setattr(corpus, "FREQUENT", frequent)
+        results.append(sorted(map(tuple, corpus.stem_rows(df, ["id"], "text").collect())))
+    assert results[0] == results[1] == results[2] == [(1, "dog"), (1, "run"), (1, "run"), (2, "run"), (2, "run")]

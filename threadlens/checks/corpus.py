@@ -88,14 +88,16 @@ weights as (select doc_id, term, tf, df,
 
 @query(f"with {TFIDF} select doc_id, term, tf, df, round(weight, 6) as weight from weights")
 def tfidf_sklearn(spark, folder):
-    weights = corpus.tfidf_normalised(documents(spark, folder), "doc_id", corpus.cleaned("text"))
+    docs = documents(spark, folder)
+    weights = corpus.tfidf_normalised(docs, corpus.stem_rows(docs, ["doc_id"], "text"), "doc_id")
     return weights.select("doc_id", "term", "tf", "df", "weight").withColumns(rounded(6, "weight"))
 
 
 @query(f"""with {TFIDF} select term, round(sum(weight), 4) as weight from weights group by term
 order by sum(weight) desc, term limit 50""")
 def tfidf_top(spark, folder):
-    weights = corpus.tfidf_normalised(documents(spark, folder), "doc_id", corpus.cleaned("text"))
+    docs = documents(spark, folder)
+    weights = corpus.tfidf_normalised(docs, corpus.stem_rows(docs, ["doc_id"], "text"), "doc_id")
     return corpus.important_terms(weights, 50).withColumns(rounded(4, "weight"))
 
 

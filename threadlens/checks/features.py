@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from threadlens.checks.registry import query, rounded, table
 from threadlens.operators import corpus, features
+from threadlens.sources.tables import spread
 
 LISTED = """listed as (
   select doc_id, string_split_regex(regexp_replace(lower(text), '\\s+$', ''), '\\s') as words from documents)"""
@@ -18,7 +19,7 @@ tf as (select doc_id, term, count(*) as tf from raw group by all)"""
 
 
 def documents(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    return spread(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
 
 
 @query(f"""with {LISTED} select doc_id, len(words)::bigint as tokens,
@@ -48,7 +49,9 @@ def count_vec_long(spark, folder):
 select doc_id, term, tf, df, round(tf * ln(((select count(*) from documents) + 1) / (df + 1)), 6) as weight
 from tf join dfs using (term)""")
 def idf_spark(spark, folder):
-    weights = corpus.tfidf_plain(documents(spark, folder), "doc_id", features.spark_tokens("text"))
+    docs = documents(spark, folder)
+    rows = corpus.token_rows(docs, ["doc_id"], features.spark_tokens("text"))
+    weights = corpus.tfidf_plain(docs, rows, "doc_id")
     return weights.select("doc_id", "term", "tf", "df", "weight").withColumns(rounded(6, "weight"))
 
 

@@ -8,6 +8,7 @@ from threadlens.checks.registry import query, rounded, table
 from threadlens.functions.text import topic_flags
 from threadlens.operators import sentiment
 from threadlens.operators.summary import count_by
+from threadlens.sources.tables import spread
 
 # Stand-in word list: abuse counts against a text; common words give the other label
 # enough rows and carry no meaning.
@@ -55,7 +56,7 @@ FLAGGED = """flagged as (
 
 
 def labelled_documents(spark, folder):
-    return sentiment.score_texts(table(spark, folder, "documents"), "text", LEXICON)
+    return sentiment.score_texts(spread(table(spark, folder, "documents")), "text", LEXICON)
 
 
 def flagged_documents(spark, folder):

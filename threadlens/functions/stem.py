@@ -1,13 +1,14 @@
-"""English suffix stemming (the published Porter2 rules) as column expressions.
+"""English suffix stemming (the published Porter2 rules) as one SQL expression.
 
 A word is carried as a struct of the word and the starts of its two suffix regions;
-each rule is one ``transform`` over the array, so the whole chain stays inside the
-JVM and inside the row. Words must be lower-case letters.
+each rule is a ``transform`` over the array, so the whole chain stays inside the JVM and
+inside the row. It is written as SQL text because one call then hands the whole chain to
+Spark. Words must be lower case.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -48,174 +49,95 @@ SECOND_REGION = [
     "ism", "ate", "iti", "ous", "ive", "ize", "ion",
 ]
 
-
-
-def _lookup(table: Mapping[str, str], key: Column) -> Column:
-    pairs = [F.lit(part) for item in table.items() for part in item]
-    return F.try_element_at(F.create_map(*pairs), key)
-
-
-def _without(word: Column, suffix: Column) -> Column:
-    return F.substring(word, F.lit(1), F.length(word) - F.length(suffix))
-
-
-def _state(word: Column, s: Column) -> Column:
-    return F.struct(word.alias("w"), s["p1"].alias("p1"), s["p2"].alias("p2"))
-
-
-def _suffix_rule(
-    alternatives: list[str], apply: Callable[[Column, Column, Column], Column]
-) -> Callable[[Column], Column]:
-    """A rule that sees the state, the longest listed suffix and what stands before it."""
-
-    def suffix(word: Column) -> Column:
-        # One test per possible last letter, then only the endings with that letter.
-        chosen = F
-        for last in sorted({ending[-1] for ending in alternatives}):
-            same = [e for e in alternatives if e[-1] == last]
-            longest = F
-            for ending in sorted(same, key=len, reverse=True):
-                longest = longest.when(word.endswith(ending), F.lit(ending))
-            chosen = chosen.when(word.endswith(last), longest.otherwise(F.lit("")))
-        return chosen.otherwise(F.lit(""))
-
-    def find(array: Column) -> Column:
-        return F.transform(array, lambda s: F.struct(s.alias("s"), suffix(s["w"]).alias("x")))
-
-    def step(array: Column) -> Column:
-        return F.transform(
-            find(array),
-            lambda m: F.when(m["x"] == "", m["s"]).otherwise(
-                _state(apply(m["s"], m["x"], _without(m["s"]["w"], m["x"])), m["s"])
-            ),
-        )
-
-    return step
-
-
-def _in_region(s: Column, before: Column, region: str) -> Column:
-    return F.length(before) >= s[region]
-
-
-def _plural(s: Column, x: Column, before: Column) -> Column:
-    ies = F.when(F.length(before) > 1, F.concat(before, F.lit("i"))).otherwise(
-        F.concat(before, F.lit("ie"))
-    )
-    return (
-        F.when(x == "sses", F.concat(before, F.lit("ss")))
-        .when(x.isin("ied", "ies"), ies)
-        .when((x == "s") & before.rlike("[aeiouy]."), before)
-        .otherwise(s["w"])
+# What follows the first consonant after a vowel.
+REGION = "^[^aeiouy]*[aeiouy]+[^aeiouy](.*)"
+
+# The rules in order: endings, and what becomes of a word {w} that has the
+# ending {x} after {b}; {p1} and {p2} are the starts of the regions.
+SHORT = "{b} rlike '[^aeiouy][aeiouy][^aeiouywxY]$|^[aeiouy][^aeiouy]$'"
+PLURAL = """case when {x} = 'sses' then {b} || 'ss'
+  when {x} in ('ied', 'ies') then {b} || if(length({b}) > 1, 'i', 'ie')
+  when {x} = 's' and {b} rlike '[aeiouy].' then {b} else {w} end"""
+PAST = f"""case when {{x}} in ('eed', 'eedly') then if(length({{b}}) >= {{p1}}, {{b}} || 'ee', {{w}})
+  when not {{b}} rlike '[aeiouy]' then {{w}}
+  when {{b}} rlike '(at|bl|iz)$' then {{b}} || 'e'
+  when {{b}} rlike '(bb|dd|ff|gg|mm|nn|pp|rr|tt)$' then left({{b}}, length({{b}}) - 1)
+  when length({{b}}) <= {{p1}} and {SHORT} then {{b}} || 'e' else {{b}} end"""
+FINAL_Y = "if({b} rlike '.[^aeiouy]$', {b} || 'i', {w})"
+DROP_LAST = f"""case when {{x}} = 'l' then if(length({{b}}) >= {{p2}} and endswith({{b}}, 'l'), {{b}}, {{w}})
+  when length({{b}}) >= {{p2}} or (length({{b}}) >= {{p1}} and not {SHORT}) then {{b}} else {{w}} end"""
+IN_FIRST = """case when length({b}) >= {p1} and ({x} != 'ogi' or endswith({b}, 'l'))
+  and ({x} != 'li' or {b} rlike '[cdeghkmnrt]$') then {b} || %s else {w} end"""
+IN_FIRST_AGAIN = """case when length({b}) >= {p1} and ({x} != 'ative' or length({b}) >= {p2})
+  then {b} || %s else {w} end"""
+IN_SECOND = """case when length({b}) >= {p2} and ({x} != 'ion' or {b} rlike '[st]$') then {b}
+  else {w} end"""
+
+
+def _lookup(table: Mapping[str, str], key: str) -> str:
+    pairs = " ".join(f"when '{ending}' then '{new}'" for ending, new in table.items())
+    return f"case {key} {pairs} end"
+
+
+def _ending_of(word: str, endings: Iterable[str]) -> str:
+    """The longest listed ending of a word: first by its last letter, then by length."""
+    endings = sorted(endings, key=len, reverse=True)
+    branches = []
+    for last in sorted({ending[-1] for ending in endings}):
+        same = [f"when endswith({word}, '{e}') then '{e}'" for e in endings if e[-1] == last]
+        branches.append(f"when endswith({word}, '{last}') then case {' '.join(same)} else '' end")
+    return f"case {' '.join(branches)} else '' end"
+
+
+def _rule(states: str, endings: Iterable[str], outcome: str) -> str:
+    found = f"transform({states}, s -> struct(s, {_ending_of('s.w', endings)} as x))"
+    word = outcome.format(
+        w="m.s.w", x="m.x", b="left(m.s.w, length(m.s.w) - length(m.x))", p1="m.s.p1", p2="m.s.p2"
     )
+    changed = f"named_struct('w', {word}, 'p1', m.s.p1, 'p2', m.s.p2)"
+    return f"transform({found}, m -> if(m.x = '', m.s, {changed}))"
 
 
-def _past(s: Column, x: Column, before: Column) -> Column:
-    eed = F.when(_in_region(s, before, "p1"), F.concat(before, F.lit("ee"))).otherwise(s["w"])
-    short = (F.length(before) <= s["p1"]) & before.rlike(
-        "(^|.*[^aeiouy])[aeiouy][^aeiouywxY]$|^[aeiouy][^aeiouy]$"
+def _start(words: str) -> str:
+    """Consonant y marked as Y, and the starts of the regions."""
+    marked = (
+        f"transform({words}, w -> if(contains(w, 'y'), "
+        "regexp_replace(regexp_replace(w, '^y', 'Y'), '([aeiouy])y', '$1Y'), w))"
     )
-    mended = (
-        F.when(before.rlike("(at|bl|iz)$"), F.concat(before, F.lit("e")))
-        .when(
-            before.rlike("(bb|dd|ff|gg|mm|nn|pp|rr|tt)$"),
-            F.substring(before, F.lit(1), F.length(before) - 1),
-        )
-        .when(short, F.concat(before, F.lit("e")))
-        .otherwise(before)
+    first = (
+        f"transform({marked}, w -> named_struct('w', w, 'r', case "
+        "when startswith(w, 'gener') or startswith(w, 'arsen') then substring(w, 6) "
+        f"when startswith(w, 'commun') then substring(w, 7) else regexp_extract(w, '{REGION}', 1) end))"
     )
+    second = f"if(length(s.r) > 2, length(regexp_extract(s.r, '{REGION}', 1)), 0)"
     return (
-        F.when(x.isin("eed", "eedly"), eed)
-        .when(before.rlike("[aeiouy]"), mended)
-        .otherwise(s["w"])
+        f"transform({first}, s -> named_struct('w', s.w, 'p1', length(s.w) - length(s.r), "
+        f"'p2', length(s.w) - {second}))"
     )
 
 
-def _first(s: Column, x: Column, before: Column) -> Column:
-    allowed = (
-        F.when(x == "ogi", before.endswith("l"))
-        .when(x == "li", before.rlike("[cdeghkmnrt]$"))
-        .otherwise(F.lit(True))
-    )
-    ok = _in_region(s, before, "p1") & allowed
-    return F.when(ok, F.concat(before, _lookup(FIRST_REGION, x))).otherwise(s["w"])
-
-
-def _first_again(s: Column, x: Column, before: Column) -> Column:
-    ok = _in_region(s, before, "p1") & ((x != "ative") | _in_region(s, before, "p2"))
-    return F.when(ok, F.concat(before, _lookup(FIRST_REGION_AGAIN, x))).otherwise(s["w"])
-
-
-def _second(s: Column, x: Column, before: Column) -> Column:
-    ok = _in_region(s, before, "p2") & ((x != "ion") | before.rlike("[st]$"))
-    return F.when(ok, before).otherwise(s["w"])
-
-
-def _last_letter(s: Column, x: Column, before: Column) -> Column:
-    in_second = _in_region(s, before, "p2")
-    short = before.rlike("[^aeiouy][aeiouy][^aeiouywxY]$|^[aeiouy][^aeiouy]$")
-    drop_e = in_second | (_in_region(s, before, "p1") & ~short)
-    drop = F.when(x == "e", drop_e).otherwise(in_second & before.endswith("l"))
-    return F.when(drop, before).otherwise(s["w"])
-
-
-def _start(word: Column) -> Column:
-    """Mark consonant y as Y and find where the two regions start."""
-    marked = F.regexp_replace(F.regexp_replace(word, "^y", "Y"), "([aeiouy])y", "$1Y")
-    return F.when(word.contains("y"), marked).otherwise(word)
-
-
-# What follows the first consonant after a vowel.
-REGION = r"^[^aeiouy]*[aeiouy]+[^aeiouy](.*)"
-
-
-def _regions(w: Column) -> Column:
-    first = (
-        F.when(w.startswith("gener") | w.startswith("arsen"), F.substring(w, 6, 1000))
-        .when(w.startswith("commun"), F.substring(w, 7, 1000))
-        .otherwise(F.regexp_extract(w, REGION, 1))
-    )
-    return F.struct(w.alias("w"), first.alias("r1"))
-
-
-def _region_starts(s: Column) -> Column:
-    size, second = F.length(s["w"]), F.regexp_extract(s["r1"], REGION, 1)
-    return F.struct(
-        s["w"].alias("w"),
-        (size - F.length(s["r1"])).alias("p1"),
-        (size - F.when(F.length(s["r1"]) > 2, F.length(second)).otherwise(0)).alias("p2"),
+def stems_sql(words: str) -> str:
+    """SQL for the stems of an array of words, given as SQL."""
+    states = _start(words)
+    states = _rule(states, ["sses", "ied", "ies", "us", "ss", "s"], PLURAL)
+    states = _rule(states, ["eedly", "ingly", "edly", "eed", "ing", "ed"], PAST)
+    states = _rule(states, ["y", "Y"], FINAL_Y)
+    states = _rule(states, FIRST_REGION, IN_FIRST % _lookup(FIRST_REGION, "{x}"))
+    states = _rule(states, FIRST_REGION_AGAIN, IN_FIRST_AGAIN % _lookup(FIRST_REGION_AGAIN, "{x}"))
+    states = _rule(states, SECOND_REGION, IN_SECOND)
+    states = _rule(states, ["e", "l"], DROP_LAST)
+    listed = ", ".join(f"'{word}'" for word in IRREGULAR)
+    return (
+        f"zip_with({words}, {states}, (w, s) -> case when w in ({listed}) then {_lookup(IRREGULAR, 'w')} "
+        "when length(w) <= 2 then w else translate(s.w, 'Y', 'y') end)"
     )
 
 
-RULES = [
-    _suffix_rule(["sses", "ied", "ies", "us", "ss", "s"], _plural),
-    _suffix_rule(["eedly", "ingly", "edly", "eed", "ing", "ed"], _past),
-    _suffix_rule(
-        ["y", "Y"],
-        lambda s, x, before: F.when(
-            before.rlike(".[^aeiouy]$"), F.concat(before, F.lit("i"))
-        ).otherwise(s["w"]),
-    ),
-    _suffix_rule(list(FIRST_REGION), _first),
-    _suffix_rule(list(FIRST_REGION_AGAIN), _first_again),
-    _suffix_rule(SECOND_REGION, _second),
-    _suffix_rule(["e", "l"], _last_letter),
-]
-
-
-def stem_tokens(tokens: Column) -> Column:
-    """Stem of every word of an array, in order."""
-    state = F.transform(F.transform(F.transform(tokens, _start), _regions), _region_starts)
-    for rule in RULES:
-        state = rule(state)
-    stems = F.transform(state, lambda s: F.translate(s["w"], "Y", "y"))
-    return F.zip_with(
-        tokens,
-        stems,
-        lambda word, stem: F.when(word.isin(list(IRREGULAR)), _lookup(IRREGULAR, word))
-        .when(F.length(word) <= 2, word)
-        .otherwise(stem),
-    )
+def stem_tokens(words: str) -> Column:
+    """Stem of every word of an array column, in order."""
+    return F.expr(stems_sql(words))
 
 
-def stem_word(word: Column) -> Column:
-    return stem_tokens(F.array(word))[0]
+def stem_word(word: str) -> Column:
+    """Stem of a word column."""
+    return F.expr(f"element_at({stems_sql(f'array({word})')}, 1)")

@@ -34,22 +34,35 @@ def letters_only(text: Column) -> Column:
     return F.regexp_replace(text, "[^a-zA-Z]", " ")
 
 
-def letter_tokens(text: Column) -> Column:
+def _listed(words: Iterable[str]) -> str:
+    return ", ".join(f"'{word}'" for word in words)
+
+
+def letter_tokens_sql(text: str) -> str:
     """Lower, trim, squeeze, letters only, split: one regex pass for the lot."""
-    spaced = F.regexp_replace(F.lower(text), "[^a-z]+", " ")
-    return F.filter(F.split(spaced, " "), lambda word: word != "")
+    return f"filter(split(regexp_replace(lower({text}), '[^a-z]+', ' '), ' '), w -> w != '')"
+
+
+def kept_tokens_sql(text: str, stop_words: Iterable[str] = STOP_WORDS) -> str:
+    return f"filter({letter_tokens_sql(text)}, w -> w not in ({_listed(stop_words)}))"
+
+
+def letter_tokens(text: str) -> Column:
+    """Words of a text column: runs of letters, lower case."""
+    return F.expr(letter_tokens_sql(text))
 
 
-def without_stop_words(tokens: Column, stop_words: Iterable[str] = STOP_WORDS) -> Column:
-    listed = list(stop_words)
-    return F.filter(tokens, lambda word: ~word.isin(listed))
+def kept_tokens(text: str, stop_words: Iterable[str] = STOP_WORDS) -> Column:
+    """The same without stop words."""
+    return F.expr(kept_tokens_sql(text, stop_words))
 
 
-def clean_tokens(text: Column, stop_words: Iterable[str] = STOP_WORDS) -> Column:
-    return stem_tokens(without_stop_words(letter_tokens(text), stop_words))
+def clean_tokens(text: str, stop_words: Iterable[str] = STOP_WORDS) -> Column:
+    """The stems of the kept words."""
+    return stem_tokens(kept_tokens_sql(text, stop_words))
 
 
-def clean_text(text: Column, stop_words: Iterable[str] = STOP_WORDS) -> Column:
+def clean_text(text: str, stop_words: Iterable[str] = STOP_WORDS) -> Column:
     return F.array_join(clean_tokens(text, stop_words), " ")
 
 

@@ -10,19 +10,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlens.functions.stem import stem_tokens, stem_word
-from threadlens.functions.text import (
-    clean_text,
-    clean_tokens,
-    letter_tokens,
-    without_stop_words,
-)
+from threadlens.functions.text import clean_text, kept_tokens, letter_tokens
 from threadlens.functions.words import STOP_WORDS
 from threadlens.operators.ranks import attach
 
+FREQUENT = 500_000
+
 
 def clean_column(df: DataFrame, column: str, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
     """The column's texts cleaned in place: letters, no stop words, stems."""
-    return df.withColumn(column, clean_text(F.col(column), stop_words))
+    return df.withColumn(column, clean_text(column, stop_words))
 
 
 def annotated_clean(
@@ -41,7 +38,7 @@ def annotated_clean(
         remover.setStopWords(list(stop_words))
     stages = Pipeline(stages=[tokenizer, remover])
     found = stages.fit(df).transform(df.select(ident, text).filter(F.col(text).isNotNull()))
-    normal = F.transform(stem_tokens(F.col("_kept")), lambda w: F.regexp_replace(w, r"[^\w\d\s]", ""))
+    normal = F.transform(stem_tokens("_kept"), lambda w: F.regexp_replace(w, r"[^\w\d\s]", ""))
     result = F.array(F.array_join(F.filter(normal, lambda w: w != ""), " "))
     return found.select(ident, result.alias("result")).select(
         ident, F.explode("result").alias("clean_text")
@@ -57,21 +54,21 @@ def word_counts(
     """(groups, word, count) of stems. Raw words are counted first, so every distinct word
     is stemmed once and only counts are shuffled."""
     words = df.select(
-        *groups, F.explode(without_stop_words(letter_tokens(F.col(text)), stop_words)).alias("raw")
+        *groups, F.explode(kept_tokens(text, stop_words)).alias("raw")
     )
     raw = words.groupBy(*groups, "raw").agg(F.count(F.lit(1)).alias("n"))
-    stems = raw.select(*groups, stem_word(F.col("raw")).alias("word"), "n")
+    stems = raw.select(*groups, stem_word("raw").alias("word"), "n")
     return stems.groupBy(*groups, "word").agg(F.sum("n").alias("count"))
 
 
 def stem_table(df: DataFrame, text: str) -> DataFrame:
     """(word, stem, count) for the whole vocabulary of the corpus."""
     raw = (
-        df.select(F.explode(letter_tokens(F.col(text))).alias("word"))
+        df.select(F.explode(letter_tokens(text)).alias("word"))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    return raw.select("word", stem_word(F.col("word")).alias("stem"), "count")
+    return raw.select("word", stem_word("word").alias("stem"), "count")
 
 
 def sorted_by_count(counts: DataFrame) -> DataFrame:
@@ -91,14 +88,34 @@ def top_words_per_group(counts: DataFrame, group: str, n: int = 50) -> DataFrame
     return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 
 
-def term_counts(df: DataFrame, ident: str, tokens: Column) -> DataFrame:
-    """(id, term, tf)."""
-    return (
-        df.select(ident, F.explode(tokens).alias("term"))
-        .groupBy(ident, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-        .filter("tf > 0")
+def token_rows(df: DataFrame, keep: Sequence[str], tokens: Column) -> DataFrame:
+    """One row per token: the kept columns and ``term``."""
+    return df.select(*keep, F.explode(tokens).alias("term"))
+
+
+def stem_rows(
+    df: DataFrame, keep: Sequence[str], text: str, stop_words: Iterable[str] = STOP_WORDS
+) -> DataFrame:
+    """One row per cleaned token: the kept columns and its stem as ``term``.
+
+    Stemming costs far more than a lookup. Words that make up at least one in
+    ``FREQUENT`` tokens, of which there can be no more than ``FREQUENT``, are stemmed once
+    and broadcast; the rare rest is stemmed where it stands.
+    """
+    raw = df.select(*keep, F.explode(kept_tokens(text, stop_words)).alias("_raw"))
+    counts = raw.groupBy("_raw").agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    frequent = counts.filter(F.col("_n") * FREQUENT >= total).select(
+        "_raw", stem_word("_raw").alias("_stem")
     )
+    return raw.join(F.broadcast(frequent), "_raw", "left").select(
+        *keep, F.coalesce("_stem", stem_word("_raw")).alias("term")
+    )
+
+
+def term_counts(rows: DataFrame, ident: str) -> DataFrame:
+    """(id, term, tf)."""
+    return rows.groupBy(ident, "term").agg(F.count(F.lit(1)).alias("tf")).filter("tf > 0")
 
 
 def document_frequencies(counts: DataFrame) -> DataFrame:
@@ -106,23 +123,21 @@ def document_frequencies(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def _weighted(df: DataFrame, counts: DataFrame, idf: Column) -> DataFrame:
+def _weighted(documents: DataFrame, counts: DataFrame, idf: Column) -> DataFrame:
     frequencies = attach(
-        document_frequencies(counts), df.agg(F.count(F.lit(1)).alias("docs")), []
+        document_frequencies(counts), documents.agg(F.count(F.lit(1)).alias("docs")), []
     )
     return counts.join(frequencies.select("term", "df", idf.alias("idf")), "term")
 
 
 def tfidf_normalised(
-    df: DataFrame, ident: str, tokens: Column, min_length: int = 2
+    documents: DataFrame, rows: DataFrame, ident: str, min_length: int = 2
 ) -> DataFrame:
-    """(id, term, tf, df, idf, weight) with idf = ln((1+n)/(1+df)) + 1 and rows of
-    Euclidean length 1. Terms shorter than ``min_length`` are left out."""
-    long_enough = F.filter(tokens, lambda t: F.length(t) >= min_length)
+    """(id, term, tf, df, idf, weight) with idf = ln((1+n)/(1+df)) + 1 and the weights of
+    a document of Euclidean length 1. Shorter terms than ``min_length`` are left out."""
+    counts = term_counts(rows.filter(F.length("term") >= min_length), ident)
     idf = F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1
-    weighted = _weighted(df, term_counts(df, ident, long_enough), idf).withColumn(
-        "raw", F.col("tf") * F.col("idf")
-    )
+    weighted = _weighted(documents, counts, idf).withColumn("raw", F.col("tf") * F.col("idf"))
     # A window over one document's terms: a group no larger than a document.
     row = Window.partitionBy(ident)
     return weighted.withColumn(
@@ -130,10 +145,10 @@ def tfidf_normalised(
     ).select(ident, "term", "tf", "df", "idf", "weight")
 
 
-def tfidf_plain(df: DataFrame, ident: str, tokens: Column) -> DataFrame:
-    """(id, term, tf, df, idf, weight) with idf = ln((n+1)/(df+1)), rows not scaled."""
+def tfidf_plain(documents: DataFrame, rows: DataFrame, ident: str) -> DataFrame:
+    """(id, term, tf, df, idf, weight) with idf = ln((n+1)/(df+1)), weights not scaled."""
     idf = F.log((F.col("docs") + 1) / (F.col("df") + 1))
-    weighted = _weighted(df, term_counts(df, ident, tokens), idf)
+    weighted = _weighted(documents, term_counts(rows, ident), idf)
     return weighted.withColumn("weight", F.col("tf") * F.col("idf")).select(
         ident, "term", "tf", "df", "idf", "weight"
     )
@@ -147,7 +162,3 @@ def important_terms(weights: DataFrame, n: int = 50) -> DataFrame:
         .orderBy(F.desc("weight"), F.asc("term"))
         .limit(n)
     )
-
-
-def cleaned(text: str) -> Column:
-    return clean_tokens(F.col(text))

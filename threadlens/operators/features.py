@@ -15,7 +15,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.operators.corpus import term_counts
+from threadlens.operators.corpus import term_counts, token_rows
 
 # Fixed value: the vectoriser's default vocabulary size.
 VOCABULARY = 1 << 18
@@ -62,7 +62,7 @@ def count_vectors_long(
     df: DataFrame, ident: str, tokens: Column, vocabulary: int = VOCABULARY
 ) -> DataFrame:
     """(id, term, tf) over the most frequent terms; equal counts in order of the term."""
-    counts = term_counts(df, ident, tokens)
+    counts = term_counts(token_rows(df, [ident], tokens), ident)
     terms = (
         counts.groupBy("term")
         .agg(F.sum("tf").alias("total"))

@@ -37,11 +37,13 @@ RANGES = 1023
 
 def _place(rows: DataFrame, value: str, ranges: int) -> DataFrame:
     """Add ``_range``, the number of cut points that are not above the value, by halving."""
-    rows = rows.withColumn("_range", F.lit(0))
-    for step in [1 << bit for bit in reversed(range(ranges.bit_length()))]:
-        beyond = F.get("_cuts", F.col("_range") + (step - 1)) <= F.col(value)
-        rows = rows.withColumn("_range", F.col("_range") + F.when(beyond, step).otherwise(0))
-    return rows
+    steps = [1 << bit for bit in reversed(range(ranges.bit_length()))]
+
+    def halve(passed: Column, step: Column) -> Column:
+        beyond = F.get("_cuts", passed + step - 1) <= F.col(value)
+        return passed + F.when(beyond, step).otherwise(0)
+
+    return rows.withColumn("_range", F.aggregate(F.lit(steps), F.lit(0), halve))
 
 
 def running_totals(

@@ -22,18 +22,18 @@ from threadlens.operators.summary import count_by, normalise, pivot_counts, rati
 
 
 def lexicon_score(tokens: Column, lexicon: Mapping[str, float]) -> Column:
-    """Sum of word weights; words of equal weight are tested against one hash set."""
+    """Sum of word weights in one pass; words of equal weight form one hash set."""
     by_weight: dict[float, list[str]] = defaultdict(list)
     for word, weight in lexicon.items():
-        by_weight[weight].append(word)
+        by_weight[float(weight)].append(word)
 
-    def hits(words: list[str]) -> Column:
-        return F.size(F.filter(tokens, lambda t: t.isin(words)))
+    def add(total: Column, word: Column) -> Column:
+        weight_of = F
+        for weight, words in sorted(by_weight.items()):
+            weight_of = weight_of.when(word.isin(words), F.lit(weight))
+        return total + weight_of.otherwise(F.lit(0.0))
 
-    score = F.lit(0.0)
-    for weight, words in sorted(by_weight.items()):
-        score = score + hits(words) * F.lit(float(weight))
-    return score
+    return F.aggregate(tokens, F.lit(0.0), add)
 
 
 def label_of(score: Column, margin: float = 0.0) -> Column:
@@ -49,7 +49,7 @@ def score_texts(
     df: DataFrame, text: str, lexicon: Mapping[str, float], margin: float = 0.0
 ) -> DataFrame:
     """Adds ``sentiment_score`` and ``sentiment`` to the row; a NULL text stays unlabelled."""
-    score = F.when(F.col(text).isNotNull(), lexicon_score(letter_tokens(F.col(text)), lexicon))
+    score = F.when(F.col(text).isNotNull(), lexicon_score(letter_tokens(text), lexicon))
     return df.withColumn("sentiment_score", score).withColumn(
         "sentiment", label_of(F.col("sentiment_score"), margin)
     )
@@ -91,8 +91,10 @@ def engagement_bins(
     """
     binned = df.select(
         right_closed(F.col(value), ENGAGEMENT_EDGES, ENGAGEMENT_LABELS).alias(name), "sentiment"
-    ).na.drop()
-    counted = count_by(binned, name, "sentiment")
+    )
+    # NULLs are dropped from the few counts: a filter on the label before the count would
+    # be pushed below the scoring and make Spark score every text twice.
+    counted = count_by(binned, name, "sentiment").filter("count > 0").na.drop()
     if not every_cell:
         return counted
     cells = df.sparkSession.createDataFrame(
