@@ -18,17 +18,15 @@ TREES = 20
 
 def length_texts(spark, folder):
     """Documents with a number to predict from their words."""
-    docs = table(spark, folder, "documents").select(
-        "doc_id", "text", F.log(F.col("n_chars").cast("double")).alias("target")
-    )
-    return spread(docs)
+    docs = spread(table(spark, folder, "documents"))
+    return docs.select("doc_id", "text", F.log(F.col("n_chars").cast("double")).alias("target"))
 
 
 def balanced_texts(spark, folder):
     """Cleaned texts, equally many per language; cleaned once for all the fits that follow."""
-    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    docs = spread(table(spark, folder, "documents").select("doc_id", "lang", "text"))
     balanced = sampling.balance_classes(docs, "lang", "doc_id", groups=LANGUAGES)
-    return stage(corpus.clean_column(spread(balanced), "text"), "texts")
+    return stage(corpus.clean_column(balanced, "text"), "texts")
 
 
 def vectors(df, text="text"):

@@ -15,6 +15,7 @@ from threadlens.functions.words import STOP_WORDS
 from threadlens.operators.ranks import attach
 
 FREQUENT = 500_000
+LONGEST = 40
 
 
 def clean_column(df: DataFrame, column: str, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
@@ -99,15 +100,15 @@ def stem_rows(
     """One row per cleaned token: the kept columns and its stem as ``term``.
 
     Stemming costs far more than a lookup. Words that make up at least one in
-    ``FREQUENT`` tokens, of which there can be no more than ``FREQUENT``, are stemmed once
-    and broadcast; the rare rest is stemmed where it stands.
+    ``FREQUENT`` tokens are stemmed once and broadcast: there can be no more than
+    ``FREQUENT`` of them, and they are short. The rest is stemmed where it stands.
     """
     raw = df.select(*keep, F.explode(kept_tokens(text, stop_words)).alias("_raw"))
     counts = raw.groupBy("_raw").agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    frequent = counts.filter(F.col("_n") * FREQUENT >= total).select(
-        "_raw", stem_word("_raw").alias("_stem")
-    )
+    frequent = counts.filter(
+        (F.col("_n") * FREQUENT >= total) & (F.length("_raw") <= LONGEST)
+    ).select("_raw", stem_word("_raw").alias("_stem"))
     return raw.join(F.broadcast(frequent), "_raw", "left").select(
         *keep, F.coalesce("_stem", stem_word("_raw")).alias("term")
     )

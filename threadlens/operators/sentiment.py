@@ -85,22 +85,26 @@ def topic_share(df: DataFrame, flags: Sequence[str]) -> DataFrame:
 def engagement_bins(
     df: DataFrame, value: str, name: str = "range", every_cell: bool = True
 ) -> DataFrame:
-    """Rows per engagement range and sentiment. The binning comes before the one count.
+    """Rows per engagement range and sentiment; NULLs are left out.
 
+    All cells are counted side by side in one aggregation. A filter or join on the label
+    would be pushed below the scoring and make Spark score every text twice.
     ``every_cell`` lists empty range and sentiment pairs with 0.
     """
     binned = df.select(
-        right_closed(F.col(value), ENGAGEMENT_EDGES, ENGAGEMENT_LABELS).alias(name), "sentiment"
+        right_closed(F.col(value), ENGAGEMENT_EDGES, ENGAGEMENT_LABELS).alias("_range"), "sentiment"
     )
-    # NULLs are dropped from the few counts: a filter on the label before the count would
-    # be pushed below the scoring and make Spark score every text twice.
-    counted = count_by(binned, name, "sentiment").filter("count > 0").na.drop()
-    if not every_cell:
-        return counted
-    cells = df.sparkSession.createDataFrame(
-        [(r, s) for r in ENGAGEMENT_LABELS for s in SENTIMENTS], f"{name} string, sentiment string"
-    )
-    return cells.join(counted, [name, "sentiment"], "left").na.fill(0, ["count"])
+    cells = [
+        F.struct(
+            F.lit(label).alias(name),
+            F.lit(sentiment).alias("sentiment"),
+            F.count_if((F.col("_range") == label) & (F.col("sentiment") == sentiment)).alias("count"),
+        )
+        for label in ENGAGEMENT_LABELS
+        for sentiment in SENTIMENTS
+    ]
+    counted = binned.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    return counted if every_cell else counted.filter("count > 0")
 
 
 def sentiment_series(

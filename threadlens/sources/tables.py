@@ -33,8 +33,8 @@ def write_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows out to all cores when the input comes in fewer pieces than that.
 
-    Meant for work that is heavy per row on a small file; a large input already has more
-    pieces and is returned as it is, without a shuffle.
+    For work that is heavy per row, on a table as it was read: counting the pieces of a
+    scan runs nothing. A large input has more pieces than cores and is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
