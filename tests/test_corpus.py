@@ -87,7 +87,21 @@ def test_words_as_json_lines(spark, tmp_path):
 def test_rare_words_are_stemmed_without_the_table(spark, monkeypatch):
     df = spark.createDataFrame([(1, "running runs dogs"), (2, "running the running")], "id bigint, text string")
     results = []
-    for frequent in (500_000, 3, 0):
+    for frequent in (500_000, 3, 1):
         monkeypatch.setattr(corpus, "FREQUENT", frequent)
         results.append(sorted(map(tuple, corpus.stem_rows(df, ["id"], "text").collect())))
     assert results[0] == results[1] == results[2] == [(1, "dog"), (1, "run"), (1, "run"), (2, "run"), (2, "run")]
+
+
+def test_library_idf_matches_the_long_form(spark):
+    df = texts(spark)
+    model = features.fit_tfidf(df, "text")
+    terms = features.vocabulary_of(model)
+    want = {
+        (r.id, terms[i]): w
+        for r in model.transform(df).collect()
+        for i, w in zip(r.features.indices, r.features.values)
+    }
+    rows = corpus.token_rows(df, ["id"], features.spark_tokens("text"))
+    got = {(r.id, r.term): r.weight for r in corpus.tfidf_plain(df, rows, "id").collect()}
+    assert set(got) == set(want) and all(math.isclose(got[k], want[k], abs_tol=1e-12) for k in got)

@@ -86,8 +86,9 @@ def test_lengths(spark):
 
 
 def test_epochs(spark):
-    got = column(spark, ["1609459200", "x", None], "string", lambda c: timeparts.safe_int(c))
-    assert got == [1609459200, 0, 0]
+    got = column(spark, ["1609459200", "x", None, "12.7", "1e3"], "string", timeparts.safe_int)
+    assert got == [1609459200, 0, 0, 12, 1000]
+    assert column(spark, [10**17, -(10**17)], "bigint", timeparts.from_epoch) == [None, None]
     times = column(spark, [1609459200, 0], "bigint", lambda c: timeparts.null_epoch_zero(timeparts.from_epoch(c)))
     assert str(times[0]) == "2021-01-01 00:00:00" and times[1] is None
     back = column(spark, [1609459261], "bigint", lambda c: timeparts.to_epoch(timeparts.from_epoch(c)))

@@ -10,6 +10,7 @@ from threadlens.functions.timeparts import is_election_year, time_of_day
 from threadlens.operators import cleaning, sampling, summary
 from threadlens.operators.joins import align
 from threadlens.operators.ranks import global_quantile
+from threadlens.operators.reshape import stack_frames
 
 COMMUNITIES = ["click", "error", "purchase", "signup", "view"]
 
@@ -220,6 +221,20 @@ def profile(spark, folder):
     return cleaning.profile(table(spark, folder, "orders"))
 
 
+@query("select count(*)::bigint as total_rows from orders")
+def partition_total(spark, folder):
+    sizes = cleaning.partition_sizes(table(spark, folder, "orders"))
+    return sizes.agg(F.sum("row_count").alias("total_rows"))
+
+
+@query("""select event_id, event_type from events where event_type = 'view'
+union all select event_id, event_type from events where event_type = 'error'
+union all select event_id, event_type from events where event_type = 'signup'""")
+def union_communities(spark, folder):
+    events = table(spark, folder, "events").select("event_id", "event_type")
+    return stack_frames([events.filter(F.col("event_type") == t) for t in ("view", "error", "signup")])
+
+
 @query(f"""with {POSTS}, picked as (
   select *, row_number() over (partition by community order by md5(id::varchar), id) as r from posts)
 select id, community, num_comments, score from picked

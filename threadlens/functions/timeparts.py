@@ -14,8 +14,14 @@ DAY_PARTS = ["Night", "Morning", "Afternoon", "Evening"]
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
+# The epochs of the years 1 and 9999.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
 def from_epoch(seconds: Column) -> Column:
-    return F.expr(EPOCH) + F.make_dt_interval(secs=seconds)
+    """UTC time of whole seconds since 1970; numbers that are no date become NULL."""
+    sound = F.when(seconds.between(FIRST_SECOND, LAST_SECOND), seconds)
+    return F.expr(EPOCH) + F.make_dt_interval(secs=sound)
 
 
 def to_epoch(ts: Column) -> Column:
@@ -29,8 +35,12 @@ def null_epoch_zero(ts: Column) -> Column:
 
 
 def safe_int(text: Column) -> Column:
-    """Number in a string; anything else, NULL included, becomes 0."""
-    return F.coalesce(text.try_cast("bigint"), F.lit(0).cast("bigint"))
+    """Whole part of the number in a string; anything else, NULL included, becomes 0."""
+    return F.coalesce(
+        text.try_cast("bigint"),
+        text.try_cast("double").try_cast("bigint"),
+        F.lit(0).cast("bigint"),
+    )
 
 
 def time_of_day(hour: Column, include_midnight: bool = False) -> Column:

@@ -19,7 +19,7 @@ LONGEST = 40
 
 
 def clean_column(df: DataFrame, column: str, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
-    """The column's texts cleaned in place: letters, no stop words, stems."""
+    """The column's texts cleaned in place, row by row: letters, no stop words, stems."""
     return df.withColumn(column, clean_text(column, stop_words))
 
 
@@ -86,7 +86,8 @@ def top_words_per_group(counts: DataFrame, group: str, n: int = 50) -> DataFrame
     Spark keeps only n rows per group and task before the shuffle (group limit).
     """
     order = Window.partitionBy(group).orderBy(F.desc("count"), F.asc("word"))
-    return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+    ranked = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def token_rows(df: DataFrame, keep: Sequence[str], tokens: Column) -> DataFrame:
@@ -94,26 +95,32 @@ def token_rows(df: DataFrame, keep: Sequence[str], tokens: Column) -> DataFrame:
     return df.select(*keep, F.explode(tokens).alias("term"))
 
 
-def stem_rows(
-    df: DataFrame, keep: Sequence[str], text: str, stop_words: Iterable[str] = STOP_WORDS
-) -> DataFrame:
-    """One row per cleaned token: the kept columns and its stem as ``term``.
+def with_stems(words: DataFrame, raw: str, name: str) -> DataFrame:
+    """The stem of each row's word in place of the word; NULL stays NULL.
 
     Stemming costs far more than a lookup. Words that make up at least one in
-    ``FREQUENT`` tokens are stemmed once and broadcast: there can be no more than
+    ``FREQUENT`` rows are stemmed once and broadcast: there can be no more than
     ``FREQUENT`` of them, and they are short. The rest is stemmed where it stands.
     """
-    raw = df.select(*keep, F.explode(kept_tokens(text, stop_words)).alias("_raw"))
-    counts = raw.groupBy("_raw").agg(F.count(F.lit(1)).alias("_n"))
+    counts = words.filter(F.col(raw).isNotNull()).groupBy(raw).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
     frequent = counts.filter(
-        (F.col("_n") * FREQUENT >= total) & (F.length("_raw") <= LONGEST)
-    ).select("_raw", stem_word("_raw").alias("_stem"))
-    return raw.join(F.broadcast(frequent), "_raw", "left").select(
-        *keep, F.coalesce("_stem", stem_word("_raw")).alias("term")
+        (F.col("_n") >= total / FREQUENT) & (F.length(raw) <= LONGEST)
+    ).select(raw, stem_word(raw).alias("_stem"))
+    others = [c for c in words.columns if c != raw]
+    return words.join(F.broadcast(frequent), raw, "left").select(
+        *others, F.coalesce("_stem", stem_word(raw)).alias(name)
     )
 
 
+def stem_rows(
+    df: DataFrame, keep: Sequence[str], text: str, stop_words: Iterable[str] = STOP_WORDS
+) -> DataFrame:
+    """One row per cleaned token: the kept columns and its stem as ``term``."""
+    raw = df.select(*keep, F.explode(kept_tokens(text, stop_words)).alias("_raw"))
+    return with_stems(raw, "_raw", "term")
+
+
 def term_counts(rows: DataFrame, ident: str) -> DataFrame:
     """(id, term, tf)."""
     return rows.groupBy(ident, "term").agg(F.count(F.lit(1)).alias("tf")).filter("tf > 0")
