@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from threadlens.plans.indicators import indicator_summaries, load_indicators
+from threadlens.sources.indicators import read_saved_indicators
 
 MONTHS = "January February March April May June July August September October November December".split()
 
@@ -73,3 +74,14 @@ def test_plotting_table(indicators):
     rows = indicator_summaries(indicators)["plotting"]
     assert rows.columns == ["date", "variable", "value"] and rows.count() == 48
     assert str(indicators.selectExpr("min(date)").first()[0]) == "2020-01-01"
+
+
+def test_saved_table_reads_the_same(spark, indicators, tmp_path):
+    lines = [",Year,Month,CPI,Unemp_Rate,DOW"]
+    for y in CPI:
+        for m, month in enumerate(MONTHS):
+            values = CPI[y].split()[m], UNEMPLOYMENT[y].split()[m], DOW[y].split()[m]
+            lines.append(f'{m},{y},{month},{values[0]},{values[1]},"{values[2]}"')
+    (tmp_path / "saved.csv").write_text("\n".join(lines))
+    saved = read_saved_indicators(spark, str(tmp_path / "saved.csv"))
+    assert sorted(map(tuple, saved.collect())) == sorted(map(tuple, indicators.drop("date").collect()))

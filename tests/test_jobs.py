@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadlens.plans import engagement, learning, sentiments, texts
-from threadlens.schemas import COMMENTS, SUBMISSIONS
+from threadlens.schemas import COMMENTS, POSTS_WITH_COMMENTS, SAMPLED_POSTS, SUBMISSIONS
 from threadlens.sources import tables
 
 HOURS = [0, 6, 7, 12, 13, 18, 19, 23]
@@ -67,7 +67,31 @@ def test_comments_are_first_level_and_linked(archive, sampled):
     assert joined.select("id").distinct().count() == sampled.count()
     rows = engagement.joined_features(joined)
     assert rows.filter("comment_time is null").count() == joined.filter("com_body is null").count()
-    assert {"sub_time_of_day", "comment_length", "dummy_police"} <= set(rows.columns)
+    assert {"sub_time_of_day", "comment_length", "dummy_police", "username"} <= set(rows.columns)
+    assert not {"com_subreddit", "com_id"} & set(rows.columns)
+
+
+def test_joined_rows_survive_a_headerless_csv(spark, archive, sampled, tmp_path):
+    joined = engagement.posts_and_comments(sampled, engagement.first_level_comments(archive[1]))
+    tables.write_csv(joined, str(tmp_path / "joined"))
+    back = tables.read_csv(spark, str(tmp_path / "joined"), POSTS_WITH_COMMENTS)
+    wanted = ["id", "body", "comment_time", "sub_hour", "comment_length", "dummy_climate"]
+    a, b = (engagement.joined_features(df).select(wanted).collect() for df in (joined, back))
+    assert sorted(map(str, a)) == sorted(map(str, b))
+
+
+def test_comments_through_sentiment_and_training(spark, archive):
+    comments = engagement.comment_features(engagement.first_level_comments(archive[1]))
+    months = spark.createDataFrame(
+        [(2021, 1, 260.0, 6.0, 30000.0)], "Year int, Month int, CPI double, Unemp_Rate double, DOW double"
+    ).withColumn("date", F.make_date("Year", "Month", F.lit(1)))
+    texts_ = sentiments.scored(texts.with_indicators(comments, "body", months), "body", LEXICON).cache()
+    found = sentiments.comment_tables(texts_)
+    assert found["by_community"].agg(F.sum("count")).first()[0] == texts_.count() > 0
+    assert found["series"].count() == texts_.select("sentiment").distinct().count()
+    sets = learning.community_set(texts_, "body", vocabulary=200)
+    sizes = [r["count"] for r in sets.groupBy("subreddit").count().collect()]
+    assert len(sizes) == 3 and max(sizes) == min(sizes) > 0
 
 
 def test_midnight_has_no_part_of_the_day(featured):
@@ -146,7 +170,5 @@ def test_models_from_texts_to_comparison(with_months):
 
 def test_posts_survive_a_headerless_csv(spark, sampled, tmp_path):
     tables.write_csv(sampled, str(tmp_path / "posts"))
-    from threadlens.schemas import SAMPLED_POSTS
-
     back = tables.read_csv(spark, str(tmp_path / "posts"), SAMPLED_POSTS)
     assert sorted(map(str, back.select("id", "title").collect())) == sorted(map(str, sampled.select("id", "title").collect()))

@@ -31,6 +31,13 @@ def test_plan_has_no_cross_join_and_no_python(spark, folder, name):
         assert node not in plan, node
 
 
+def test_filters_and_columns_reach_the_reader(spark, folder):
+    plan = QUERIES["stratified_sample"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line]
+    assert scans and all("In(event_type" in line for line in scans)
+    assert all("props" not in line and "user_id" not in line for line in scans)
+
+
 @pytest.mark.parametrize("name", ["dt_reg", "gbt_reg"])
 def test_regressors_beat_the_mean(spark, folder, name):
     row = QUERIES[name](spark, folder).first()

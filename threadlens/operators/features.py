@@ -71,7 +71,9 @@ def count_vectors_long(
         .select("term")
     )
     # The vocabulary is bounded by its own size limit.
-    return counts.join(F.broadcast(terms) if vocabulary <= VOCABULARY else terms, "term", "left_semi")
+    return counts.join(F.broadcast(terms) if vocabulary <= VOCABULARY else terms, "term", "left_semi").select(
+        ident, "term", "tf"
+    )
 
 
 def fit_indexer(df: DataFrame, label: str, index: str) -> StringIndexerModel:

@@ -24,7 +24,7 @@ def keep_ids(df: DataFrame, column: str, ids: DataFrame, id_column: str, at_most
     wanted = ids.select(F.col(id_column).alias(column)).distinct()
     if at_most is not None and at_most <= 1_000_000:
         wanted = F.broadcast(wanted)
-    return df.join(wanted, column, "left_semi")
+    return df.join(wanted, column, "left_semi").select(*df.columns)
 
 
 def posts_with_comments(posts: DataFrame, comments: DataFrame, post_id: str, link: str) -> DataFrame:
@@ -75,7 +75,8 @@ def attach_group_value(
     """
     if groups is not None:
         per_group = F.broadcast(per_group.filter(F.col(key).isin(list(groups))))
-    return rows.join(per_group, key)
+    added = [c for c in per_group.columns if c != key]
+    return rows.join(per_group, key).select(*rows.columns, *added)
 
 
 def align(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

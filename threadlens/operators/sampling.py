@@ -21,6 +21,12 @@ def hash_key(ident: str, seed: str = "") -> Column:
     return F.md5(F.concat(F.lit(seed), text) if seed else text)
 
 
+def with_content_key(df: DataFrame, columns: Sequence[str], name: str = "id") -> DataFrame:
+    """A key made from a row's own content; identical rows get the same key."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    return df.withColumn(name, F.md5(F.concat_ws("\u0001", *parts)))
+
+
 def _per_group(df: DataFrame, known_groups: Sequence | None) -> DataFrame:
     """Broadcast a one-row-per-group frame only when the list of groups is given."""
     return F.broadcast(df) if known_groups is not None else df
@@ -37,6 +43,7 @@ def sample_per_group(
 ) -> DataFrame:
     """The n rows of each group with the smallest hash; all rows of smaller groups.
 
+    ``ident`` tells rows apart; rows that share it are kept or left out together.
     ``groups`` names the groups to keep, which bounds the per-group tables. ``digits``
     is how many hash digits after the leading zeros tell prefixes apart: with 2, the rows
     that have to be sorted are at most about a sixteenth of n; each further digit divides

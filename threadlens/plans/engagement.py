@@ -25,6 +25,7 @@ POSTS_PER_COMMUNITY = 20_000
 FIRST_TOPICS = {name: TOPIC_TERMS[name] for name in ("police", "healthcare", "climate", "economy")}
 POST_COLUMNS = ["subreddit", "title", "score", "num_comments", "created_utc", "id"]
 COMMENT_COLUMNS = ["author", "body", "created_utc", "link_id", "score", "subreddit"]
+JOINED_NAMES = {"com_author": "username", "com_body": "body", "com_link_id": "com_id"}
 MEASURES = ["score", "num_comments", "year", "month", "hour", "title_length"]
 
 
@@ -76,9 +77,26 @@ def post_features(posts: DataFrame, election: int = 2022) -> DataFrame:
     )
 
 
+def comment_features(comments: DataFrame) -> DataFrame:
+    """Comments with a key, time parts, lengths and topic flags of their text."""
+    body = F.col("body")
+    keyed = sampling.with_content_key(comments, ["link_id", "author", "created_utc", "body"])
+    timed = keyed.withColumn("time", from_epoch(F.col("created_utc")))
+    return timed.withColumns(
+        {
+            "year": F.year("time"),
+            "month": F.month("time"),
+            "comment_length": char_length(body),
+            **topic_flags(body, FIRST_TOPICS),
+        }
+    )
+
+
 def joined_features(joined: DataFrame) -> DataFrame:
-    """Features of joined rows; corrupt epochs become NULL times, as was meant."""
-    numbers = joined.withColumns({c: safe_int(F.col(c).cast("string")) for c in ("created_utc", "com_created_utc")})
+    """Features of joined rows, fresh or read back from CSV; corrupt epochs become NULL
+    times, as was meant."""
+    named = cleaning.rename(joined, JOINED_NAMES)
+    numbers = named.withColumns({c: safe_int(F.col(c).cast("string")) for c in ("created_utc", "com_created_utc")})
     timed = numbers.withColumns(
         {
             "submission_time": null_epoch_zero(from_epoch(F.col("created_utc"))),
@@ -93,10 +111,10 @@ def joined_features(joined: DataFrame) -> DataFrame:
             "sub_hour": hour,
             "sub_time_of_day": time_of_day(hour),
             "title_length": char_length(title),
-            "comment_length": char_length(F.col("com_body")),
+            "comment_length": char_length(F.col("body")),
             **topic_flags(title, FIRST_TOPICS),
         }
-    ).drop("com_subreddit", "com_link_id")
+    ).drop("com_subreddit", "com_id")
 
 
 def summary_tables(posts: DataFrame) -> dict[str, DataFrame]:

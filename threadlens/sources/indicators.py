@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from threadlens.functions.timeparts import first_of_month, month_name, month_number, short_month
 from threadlens.operators.cleaning import strip_thousands
 from threadlens.operators.reshape import MONTHS, months_to_rows
+from threadlens.schemas import INDICATORS
+from threadlens.sources.tables import read_summary_csv
 
 YEAR_ROW = r"^\d{4}$"
 MONTH_ROW = r"^[A-Z][a-z]{2} \d{2}$"
@@ -61,5 +63,11 @@ def typed_indicators(indicators: DataFrame) -> DataFrame:
     )
 
 
+def read_saved_indicators(spark: SparkSession, path: str) -> DataFrame:
+    """The joined table as it was saved, with a row-number column in front, typed."""
+    saved = read_summary_csv(spark, path, f"_c0 string, {INDICATORS}", saved_index="_c0")
+    return typed_indicators(saved)
+
+
 def with_date(indicators: DataFrame) -> DataFrame:
     return indicators.withColumn("date", first_of_month(F.col("Year"), F.col("Month")))
