@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadlens.llm import tokens, warc
+from threadlens.llm import quality, simhash, tokens, warc
 from threadlens.llm.common import table
 
 QUERIES = {}
@@ -50,3 +50,13 @@ def op10_tokens(spark, folder):
     path = public_tokenizers.path("byte_bpe_50k.json")
     written = tokens.write_tokens(docs, path, 2, public_tokenizers.PATTERN)
     return tokens.token_digests(spark, written)
+
+
+@query()
+def op7_simhash(spark, folder):
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op8_quality(spark, folder):
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
