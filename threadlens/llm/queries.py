@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadlens.llm import quality, simhash, tokens, warc
+from threadlens.llm import decontam, quality, simhash, tokens, warc
 from threadlens.llm.common import table
 
 QUERIES = {}
@@ -60,3 +60,33 @@ def op7_simhash(spark, folder):
 @query()
 def op8_quality(spark, folder):
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+_WORDS = """regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+
+@query(
+    f"""
+    with d as (select doc_id, {_WORDS} as w from documents),
+    i as (select item_id, {_WORDS} as w from benchmark),
+    cut as (select item_id, w, least(10, len(w)) as n, unnest(range(1, len(w) - least(10, len(w)) + 2)) as k
+      from i where len(w) > 0),
+    windows as (select distinct item_id, n, array_to_string(w[k:k + n - 1], ' ') as win from cut),
+    places as (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as k
+      from d, (select distinct n from windows)),
+    hits as (select doc_id, k, n, item_id
+      from (select doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') as win from places) join windows using (n, win)),
+    words as (select doc_id, count(distinct p) as n_hit
+      from (select doc_id, unnest(range(k, k + n)) as p from hits) group by all),
+    items as (select doc_id, count(distinct item_id) as n_items,
+      string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as listed from hits group by all)
+    select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+      coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(listed, '')) as items_sha256,
+      coalesce(n_hit, 0) > 0 as contaminated
+    from d left join words using (doc_id) left join items using (doc_id)
+    """
+)
+def op6_decontamination(spark, folder):
+    return decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
