@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadlens.llm import decontam, quality, simhash, tokens, warc
+from threadlens.llm import decontam, quality, simhash, tokens, vectors, warc
 from threadlens.llm.common import table
 
 QUERIES = {}
@@ -90,3 +90,8 @@ _WORDS = """regexp_extract_all(
 )
 def op6_decontamination(spark, folder):
     return decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op9_vectors(spark, folder):
+    return vectors.near_duplicates(table(spark, folder, "embeddings"))
