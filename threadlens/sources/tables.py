@@ -47,7 +47,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, label)
     write_parquet(df, path)
-    return read_parquet(df.sparkSession, path, df.schema)
+    staged = read_parquet(df.sparkSession, path, df.schema)
+    staged.staged_at = path
+    return staged
+
+
+def drop_stage(staged: DataFrame) -> None:
+    """Delete the files behind a frame of ``stage`` that nothing will read again."""
+    spark = staged.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(staged.staged_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_csv(
