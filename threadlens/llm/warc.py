@@ -10,7 +10,9 @@ archive, ISO times, record types and payload digests.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import io
 import re
 import uuid
 import zlib
@@ -51,12 +53,7 @@ TAIL = member(b"")
 
 def unpacked(content: bytes) -> bytes:
     """The bytes of all gzip members of a file."""
-    parts = []
-    while content:
-        reader = zlib.decompressobj(31)
-        parts.append(reader.decompress(content) + reader.flush())
-        content = reader.unused_data
-    return b"".join(parts)
+    return gzip.GzipFile(fileobj=io.BytesIO(content)).read()
 
 
 def _field(text: str | None) -> str:
@@ -158,8 +155,8 @@ def iso_time(date: str) -> str:
 CONVERTED = "record_id string, page_id bigint, url string, date string, ip string, digest string, n_bytes bigint, packed binary"
 
 
-def read_arc(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of ARC files with what WARC asks for; ``packed`` is the zipped block."""
+def read_arc(spark: SparkSession, folder: str, blocks: bool = True) -> DataFrame:
+    """The records of ARC files with what WARC asks for; ``packed`` is the zipped block, if wanted."""
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,7 +173,7 @@ def read_arc(spark: SparkSession, folder: str) -> DataFrame:
                             "ip": fields["IP-address"],
                             "digest": hashlib.sha256(payload).hexdigest(),
                             "n_bytes": len(payload),
-                            "packed": zlib.compress(block, LEVEL),
+                            "packed": zlib.compress(block, LEVEL) if blocks else None,
                         }
                     )
                 if rows:
@@ -193,16 +190,18 @@ ARROW = pa.schema(
 )
 
 
-def with_revisits(records: DataFrame) -> DataFrame:
+def with_revisits(records: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """The record that each revisit refers to as ``refers_to_id``; null for responses.
 
     Of equal payloads of at least ``SMALL`` bytes the smallest page_id answers, a null one
     last; among equal page_ids the record id decides. Digests are folded before they are
     shuffled; the join back is one that adaptive execution splits on a hot digest.
+    ``index`` holds the same records without their blocks, cheaper to go through first.
     """
     order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "record_id")
     first = (
-        records.filter(F.col("n_bytes") >= SMALL)
+        (records if index is None else index)
+        .filter(F.col("n_bytes") >= SMALL)
         .groupBy("digest")
         .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
@@ -263,9 +262,10 @@ def warc_records(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = end + 4 + length + 4
 
 
-def read_warc(spark: SparkSession, folder: str) -> DataFrame:
+def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     """(record_id, record_type, page_id, url, date, digest, n_bytes, refers_to_id, payload); verifies
-    digests. n_bytes and payload are those held in the record, so null for revisits."""
+    digests. n_bytes and payload are those held in the record, so null for revisits; without
+    ``payloads`` the payload is null."""
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,7 +283,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
                             "url": fields["WARC-Target-URI"], "date": fields["WARC-Date"], "digest": digest,
                             "n_bytes": len(payload) if kind == "response" else None,
                             "refers_to_id": fields.get("WARC-Refers-To"),
-                            "payload": payload if kind == "response" else None,
+                            "payload": payload if payloads and kind == "response" else None,
                         }
                     )
                 if rows:
@@ -307,7 +307,7 @@ READ = pa.schema(
 
 def convert(spark: SparkSession, arc_folder: str) -> str:
     """ARC files to WARC files; gives the folder of the WARC files."""
-    return write_warc(with_revisits(read_arc(spark, arc_folder)))
+    return write_warc(with_revisits(read_arc(spark, arc_folder), read_arc(spark, arc_folder, blocks=False)))
 
 
 def page_digests(spark: SparkSession, warc_folders: list[str]) -> DataFrame:
@@ -315,7 +315,7 @@ def page_digests(spark: SparkSession, warc_folders: list[str]) -> DataFrame:
 
     The files are read once; the few columns needed are written before they are joined.
     """
-    frames = [read_warc(spark, folder).drop("payload", "url", "date") for folder in warc_folders]
+    frames = [read_warc(spark, folder, payloads=False).drop("payload", "url", "date") for folder in warc_folders]
     found = frames[0]
     for frame in frames[1:]:
         found = found.unionByName(frame)
