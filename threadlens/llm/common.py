@@ -24,9 +24,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return importable(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def forget(spark: SparkSession, *frames: DataFrame) -> None:
+def forget(spark: SparkSession) -> None:
     """Let Spark drop shuffle files that no frame needs any more, once their result is written."""
-    del frames
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadlens.llm import decontam, quality, simhash, tokens, vectors, warc
+from threadlens.llm import decontam, quality, simhash, suffixes, tokens, vectors, warc
 from threadlens.llm.common import table
 
 QUERIES = {}
@@ -38,8 +38,10 @@ def op3_warc(spark, folder):
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     odd = F.coalesce(F.col("page_id") % 2 != 0, F.lit(False))
     arcs = [warc.write_arc(pages.filter(odd), 1), warc.write_arc(pages.filter(~odd), 2)]
-    records = warc.read_arc(spark, arcs[0]).unionByName(warc.read_arc(spark, arcs[1]))
-    return warc.page_digests(spark, [warc.write_warc(warc.with_revisits(records))])
+    records, index = (
+        warc.read_arc(spark, arcs[0], blocks).unionByName(warc.read_arc(spark, arcs[1], blocks)) for blocks in (True, False)
+    )
+    return warc.page_digests(spark, [warc.write_warc(warc.with_revisits(records, index))])
 
 
 @query()
@@ -95,3 +97,8 @@ def op6_decontamination(spark, folder):
 @query()
 def op9_vectors(spark, folder):
     return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query()
+def op5_suffixes(spark, folder):
+    return suffixes.repeat_digests(table(spark, folder, "documents"))
