@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadlens.llm import decontam, quality, simhash, suffixes, tokens, vectors, warc
+from threadlens.llm import decontam, mixing, quality, simhash, suffixes, tokens, vectors, warc
 from threadlens.llm.common import table
 
 QUERIES = {}
@@ -102,3 +102,47 @@ def op9_vectors(spark, folder):
 @query()
 def op5_suffixes(spark, folder):
     return suffixes.repeat_digests(table(spark, folder, "documents"))
+
+
+#: No source is repeated more often by the registered mix.
+REPEATS = 2.0
+
+
+@query(
+    f"""
+    with recursive d as (
+      select doc_id, source, case when source is null then 'n' else 's:' || source end as key,
+        ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 8))::bigint % 256 as block,
+        len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\r\\f]+')) as tokens from documents),
+    blocks as (select key, block, sum(tokens)::bigint as tokens from d group by all),
+    totals as (select key, sum(tokens)::bigint as total from blocks group by key having sum(tokens) > 0),
+    shares as (select key, total, total / (select sum(total) from totals)::double as share from totals),
+    bisect as (
+      select 0 as step, 0.0::double as low, 1.0::double as high
+      union all
+      select step + 1, case when fits then low else mid end, case when fits then mid else high end
+      from (select step, low, high, (low + high) / 2 as mid,
+          (select max(pow(share, (low + high) / 2 - 1)) / min(pow(share, (low + high) / 2 - 1)) from shares) <= {REPEATS} as fits
+        from bisect where step < 45)),
+    chosen as (select case when (select max(1 / share) / min(1 / share) from shares) <= {REPEATS} then 0.0 else high end as e
+      from bisect order by step desc limit 1),
+    budgets as (select key, total,
+        round(total * pow(share, e - 1) / (select min(pow(share, e - 1)) from shares))::bigint as budget from shares, chosen),
+    dealt as (select b.key, block, tokens, total, budget,
+        unnest(case when total is null then [0] else range(0, ((budget - 1) // total + 1)::bigint) end) as pass
+      from blocks b left join budgets using (key)),
+    ranked as (select *, row_number() over w - 1 as place,
+        sum(tokens) over (w rows between unbounded preceding and current row) as until
+      from dealt window w as (partition by key, pass order by md5(key || ':' || block || ':' || pass), block)),
+    plan as (select key, block, pass, place, budget from ranked
+      where total is null or budget - total * pass >= total or 2 * until - tokens <= 2 * (budget - total * pass))
+    select doc_id, d.source, tokens::bigint as tokens, pass::bigint as pass, place::bigint as place, budget
+    from d join plan using (key, block)
+    """
+)
+def op2_mixing(spark, folder):
+    found = mixing.mixed(table(spark, folder, "documents").select("doc_id", "source", "text"), repeats=REPEATS)
+    return found.select(
+        "doc_id", "source", mixing.word_count(F.coalesce("text", F.lit(""))).cast("bigint").alias("tokens"),
+        F.col("mix_pass").alias("pass"), F.col("mix_place").alias("place"), F.col("mix_budget").alias("budget"),
+    )
