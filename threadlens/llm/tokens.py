@@ -26,14 +26,16 @@ CHECKSUMS = 0x80
 
 FILE_BYTES = 8 << 20
 LEVEL = 3
-CACHE = 400_000
+CACHE = 600_000
+
+_encoders: dict[tuple[str, int, str | None], Encoder] = {}
 
 
 class Encoder:
     """Ids of texts as bytes.
 
     Byte-level vocabularies cut a text at every space that a visible character follows, so
-    such pieces are encoded once each and kept (``CACHE`` pieces at most, then afresh).
+    such pieces are encoded once each and kept (about ``CACHE`` pieces, then afresh).
     Other tokenizers, and texts with special strings or runs of white space, are encoded
     whole.
     """
@@ -97,6 +99,15 @@ class Encoder:
             return b"".join(map(self.words.__getitem__, words)) + self.end
 
 
+def encoder_for(definition: str, end_id: int, pattern: str | None) -> Encoder:
+    """One encoder per worker, so that later tasks find the pieces of earlier ones."""
+    key = (definition, end_id, pattern)
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
+
+
 def pack_file(ids: Sequence[int | None], documents: Sequence[bytes]) -> bytes:
     """One file without its last four bytes (``MAGIC``)."""
     import xxhash
@@ -160,7 +171,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, pattern: str | No
         definition = spark.sparkContext.broadcast(file.read())
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(definition.value, end_id, pattern)
+        encoder = encoder_for(definition.value, end_id, pattern)
         ids: list[int | None] = []
         documents: list[bytes] = []
         size = 0
@@ -201,12 +212,8 @@ def file_totals(spark: SparkSession, folder: str) -> DataFrame:
     return sizes.select("part", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
 
 
-def read_tokens(spark: SparkSession, folder: str, wanted: Sequence[int] | None = None) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) from the files, ids as little-endian 32-bit numbers.
-
-    ``start`` counts the ids of all documents before. With ``wanted``, only the frames of
-    those documents are unpacked. Checksums are verified.
-    """
+def _read(spark: SparkSession, folder: str, wanted: Sequence[int] | None = None) -> DataFrame:
+    """(part, chunk, doc_id, before, n_tokens, ids): documents of each file and the ids before them in it."""
     asked = None if wanted is None else frozenset(wanted)
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,14 +239,27 @@ def read_tokens(spark: SparkSession, folder: str, wanted: Sequence[int] | None =
                     yield pa.RecordBatch.from_pydict(columns)
 
     files = read_blobs(spark, folder).select("content", "part", "chunk")
-    found = files.mapInArrow(
+    return files.mapInArrow(
         documents, "part bigint, chunk bigint, doc_id bigint, before bigint, n_tokens bigint, ids binary"
     )
+
+
+def _placed(spark: SparkSession, folder: str, found: DataFrame, last: str) -> DataFrame:
     return found.join(file_totals(spark, folder), ["part", "chunk"]).select(
-        "doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids"
+        "doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", last
     )
 
 
+def read_tokens(spark: SparkSession, folder: str, wanted: Sequence[int] | None = None) -> DataFrame:
+    """(doc_id, start, n_tokens, ids) from the files, ids as little-endian 32-bit numbers.
+
+    ``start`` counts the ids of all documents before. With ``wanted``, only the frames of
+    those documents are unpacked. Checksums are verified.
+    """
+    return _placed(spark, folder, _read(spark, folder, wanted), "ids")
+
+
 def token_digests(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files."""
-    return read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    digests = _read(spark, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return _placed(spark, folder, digests, "ids_crc32")
