@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadlens.llm import decontam, mixing, quality, simhash, suffixes, tokens, vectors, warc
+from threadlens.llm import decontam, lines, mixing, quality, simhash, suffixes, tokens, vectors, warc
 from threadlens.llm.common import table
 
 QUERIES = {}
@@ -146,3 +146,8 @@ def op2_mixing(spark, folder):
         "doc_id", "source", mixing.word_count(F.coalesce("text", F.lit(""))).cast("bigint").alias("tokens"),
         F.col("mix_pass").alias("pass"), F.col("mix_place").alias("place"), F.col("mix_budget").alias("budget"),
     )
+
+
+@query()
+def op1_lines(spark, folder):
+    return lines.line_digests(table(spark, folder, "documents"))
