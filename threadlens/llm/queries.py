@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadlens.llm import decontam, lines, mixing, quality, simhash, suffixes, tokens, vectors, warc
+from threadlens.llm import decontam, lines, mixing, pii, quality, simhash, suffixes, tokens, vectors, warc
 from threadlens.llm.common import table
 
 QUERIES = {}
@@ -151,3 +151,8 @@ def op2_mixing(spark, folder):
 @query()
 def op1_lines(spark, folder):
     return lines.line_digests(table(spark, folder, "documents"))
+
+
+@query()
+def op4_pii(spark, folder):
+    return pii.personal_data(table(spark, folder, "documents"))
