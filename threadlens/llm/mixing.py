@@ -73,8 +73,9 @@ def exponent_for(totals: DataFrame, entropy: float | None = None, repeats: float
             low, high = rows[k - 1].exponent, rows[k].exponent
         else:
             # Entropy falls as the exponent grows: the last that is high enough.
-            aim = min(entropy, rows[0].entropy) if low == 0.0 else entropy
-            k = max((k for k, r in enumerate(rows) if r.entropy >= aim - 1e-12), default=0)
+            k = max((k for k, r in enumerate(rows) if r.entropy > entropy), default=0)
+            if rows[k].entropy <= entropy:
+                return rows[k].exponent
             if k == TRIED:
                 return rows[TRIED].exponent
             low, high = rows[k].exponent, rows[k + 1].exponent
