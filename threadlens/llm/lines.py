@@ -21,10 +21,11 @@ from threadlens.llm.common import forget, importable
 from threadlens.llm.components import components
 from threadlens.sources.tables import drop_stage, stage
 
+#: A power of two.
 SHINGLE = 8
 BANDS = 9
 ROWS = 3
-#: Prime number of bins, of which the bands read the first.
+#: A prime number of bins; the bands read the first of them.
 BINS = 31
 SIMILAR = 0.8
 #: Characters of text hashed together.
@@ -38,11 +39,12 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles of lines of at least ``SHINGLE`` characters, and where each line's start."""
     points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     sizes = np.array([len(line) for line in lines])
-    n = max(0, len(points) - SHINGLE + 1)
-    h = np.zeros(n, dtype=np.uint64)
-    for k in range(SHINGLE):
-        h = (h ^ points[k : k + n]) * _A
-        h ^= h >> np.uint64(31)
+    # Runs of 2, 4 and 8 characters, each from two runs of half the length.
+    h, width = points, 1
+    while width < SHINGLE:
+        h = (h[:-width] * _A ^ (h[:-width] >> np.uint64(31))) * _B + h[width:]
+        width *= 2
+    n = len(h)
     # Shingles that run over a line's end are left out.
     ends = np.cumsum(sizes)
     starts = ends - sizes
@@ -61,7 +63,7 @@ def signatures(lines: list[str]) -> np.ndarray:
     counts = np.diff(np.append(starts, len(h)))
     owner = np.repeat(np.arange(len(lines)), counts)
     # The bin from the upper bits, the value from all of them.
-    place = owner * BINS + ((h >> np.uint64(33)) % np.uint64(BINS)).astype(np.int64)
+    place = owner * BINS + ((h >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
     least = np.full(len(lines) * BINS, _EMPTY, dtype=np.uint64)
     np.minimum.at(least, place, h * _A)
     least = least.reshape(len(lines), BINS)

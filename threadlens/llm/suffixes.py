@@ -56,7 +56,7 @@ class Buckets:
             part = np.frombuffer(padded, dtype="<u8", offset=k, count=(len(padded) - k) // 8)
             mine = first[k::8]
             mine[:] = part[: len(mine)]
-        self.levels = {8: first}
+        self.levels = {8: first[: max(0, self.size - 7)]}
 
     def ids(self, width: int) -> np.ndarray:
         """Ids of the first ``width`` bytes; the last ``width - 1`` suffixes of the piece have none."""

@@ -57,7 +57,6 @@ class Encoder:
             and cutter.get("use_regex", True)
         )
         self.special = [t["content"] for t in spec.get("added_tokens") or []]
-        self.odd_space = regex.compile(r" (?:[\s\x1c-\x1f]|$)")
         self.cut = regex.compile(pattern or "").findall
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
@@ -73,13 +72,17 @@ class Encoder:
             found = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: set[str]) -> bool:
+        """Keep the ids of words that follow a space; no, if a word's space belongs to more blanks."""
         if len(self.words) > CACHE:
             self.words.clear()
         if len(self.pieces) > CACHE:
             self.pieces.clear()
         for word in words.difference(self.words):
-            self.words[word] = b"".join([self._piece(p) for p in self.cut(word)])
+            if not word or word[0].isspace():
+                return False
+            self.words[word] = b"".join([self._piece(p) for p in self.cut(" " + word)])
+        return True
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -88,15 +91,21 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return self.end
-        if not self.by_piece or self.odd_space.search(text) or any(s in text for s in self.special):
+        if not self.by_piece or any(s in text for s in self.special):
+            return self._whole(text) + self.end
+        first, *words = text.split(" ")
+        if first:
+            head = b"".join([self._piece(p) for p in self.cut(first)])
+        elif words and self._learn({words[0]}):
+            head = b""
+        else:
             return self._whole(text) + self.end
-        first, *rest = text.split(" ")
-        words = [first, *[" " + w for w in rest]]
         try:
-            return b"".join(map(self.words.__getitem__, words)) + self.end
+            return head + b"".join(map(self.words.__getitem__, words)) + self.end
         except KeyError:
-            self._learn(set(words))
-            return b"".join(map(self.words.__getitem__, words)) + self.end
+            if not self._learn(set(words)):
+                return self._whole(text) + self.end
+            return head + b"".join(map(self.words.__getitem__, words)) + self.end
 
 
 def encoder_for(definition: str, end_id: int, pattern: str | None) -> Encoder:

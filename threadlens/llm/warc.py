@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from datetime import datetime
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ ARC_FIELDS = {
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 FILE_BYTES = 8 << 20
-LEVEL = 1
+LEVEL = 3
 SMALL = 100
 
 
@@ -159,6 +160,7 @@ def read_arc(spark: SparkSession, folder: str, blocks: bool = True) -> DataFrame
     """The records of ARC files with what WARC asks for; ``packed`` is the zipped block, if wanted."""
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=LEVEL)
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 place, rows = path.as_py().rsplit("/", 1)[-1], []
@@ -173,7 +175,7 @@ def read_arc(spark: SparkSession, folder: str, blocks: bool = True) -> DataFrame
                             "ip": fields["IP-address"],
                             "digest": hashlib.sha256(payload).hexdigest(),
                             "n_bytes": len(payload),
-                            "packed": zlib.compress(block, LEVEL) if blocks else None,
+                            "packed": packer.compress(block) if blocks else None,
                         }
                     )
                 if rows:
@@ -213,7 +215,7 @@ def with_revisits(records: DataFrame, index: DataFrame | None = None) -> DataFra
 
 
 def warc_record(row: dict) -> bytes:
-    block = zlib.decompress(row["packed"])
+    block = zstandard.ZstdDecompressor().decompress(row["packed"])
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if row['refers_to_id'] else 'response'}",
