@@ -42,7 +42,7 @@ def test_small_vocabulary_keeps_the_most_frequent(spark):
 def test_normalised_rows_have_length_one(spark):
     tokens = F.filter(F.split(F.lower("text"), r"\s+"), lambda t: t != "")
     df = texts(spark)
-    rows = corpus.tfidf_normalised(df, corpus.token_rows(df, ["id"], tokens), "id").collect()
+    rows = corpus.tfidf_normalised(df, corpus.term_counts(corpus.token_rows(df, ["id"], tokens), "id"), "id").collect()
     lengths = Counter()
     for r in rows:
         lengths[r.id] += r.weight**2
@@ -53,7 +53,7 @@ def test_normalised_rows_have_length_one(spark):
 
 def test_plain_weights(spark):
     df = texts(spark)
-    rows = corpus.tfidf_plain(df, corpus.token_rows(df, ["id"], F.split("text", " ")), "id").collect()
+    rows = corpus.tfidf_plain(df, corpus.term_counts(corpus.token_rows(df, ["id"], F.split("text", " ")), "id"), "id").collect()
     dog = next(r for r in rows if r.term == "dog" and r.id == 2)
     assert (dog.tf, dog.df) == (2, 2) and math.isclose(dog.weight, 2 * math.log(7 / 3))
 
@@ -61,7 +61,7 @@ def test_plain_weights(spark):
 def test_annotated_clean_keeps_the_id(spark):
     df = spark.createDataFrame([(1, "Running, RUNNING! the dogs"), (2, None), (3, "!!")], "id bigint, text string")
     got = {r.id: r.clean_text for r in corpus.annotated_clean(df, "id", "text").collect()}
-    assert got == {1: "run run dog", 3: ""}
+    assert got == {1: "run run dog", 2: None, 3: ""}
 
 
 def test_word_counts_fold_stems(spark):
@@ -84,13 +84,18 @@ def test_words_as_json_lines(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == [("a", 2), ("b", 1)]
 
 
-def test_rare_words_are_stemmed_without_the_table(spark, monkeypatch):
-    df = spark.createDataFrame([(1, "running runs dogs"), (2, "running the running")], "id bigint, text string")
-    results = []
-    for frequent in (500_000, 3, 1):
-        monkeypatch.setattr(corpus, "FREQUENT", frequent)
-        results.append(sorted(map(tuple, corpus.stem_rows(df, ["id"], "text").collect())))
-    assert results[0] == results[1] == results[2] == [(1, "dog"), (1, "run"), (1, "run"), (2, "run"), (2, "run")]
+def test_words_are_counted_by_stem_where_the_text_is(spark):
+    rows = [(1, "running runs dogs"), (2, "running the running"), (3, None), (4, "")]
+    counts = corpus.stem_counts(spark.createDataFrame(rows, "id bigint, text string"), "id", "text")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, counts.collect())) == [(1, "dog", 1), (1, "run", 2), (2, "run", 2)]
+
+
+def test_null_texts_keep_their_row(spark):
+    df = spark.createDataFrame([(1, "Dogs running!"), (2, None), (3, "")], "id bigint, text string")
+    found = {r.id: r.clean_text for r in corpus.annotated_clean(df, "id", "text").collect()}
+    assert found == {1: "dog run", 2: None, 3: ""}
 
 
 def test_library_idf_matches_the_long_form(spark):
@@ -102,6 +107,6 @@ def test_library_idf_matches_the_long_form(spark):
         for r in model.transform(df).collect()
         for i, w in zip(r.features.indices, r.features.values)
     }
-    rows = corpus.token_rows(df, ["id"], features.spark_tokens("text"))
+    rows = features.count_vectors_long(df, "id", features.spark_tokens("text"))
     got = {(r.id, r.term): r.weight for r in corpus.tfidf_plain(df, rows, "id").collect()}
     assert set(got) == set(want) and all(math.isclose(got[k], want[k], abs_tol=1e-12) for k in got)

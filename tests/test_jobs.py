@@ -61,7 +61,7 @@ def test_comments_are_first_level_and_linked(archive, sampled):
     comments = engagement.first_level_comments(archive[1])
     assert comments.filter(F.col("body").isNull() | F.col("body").startswith("[")).count() == 0
     assert comments.filter(F.col("link_id").startswith("t3_")).count() == 0
-    joined = engagement.posts_and_comments(sampled, comments, posts_at_most=150)
+    joined = engagement.posts_and_comments(sampled, comments)
     kept = comments.join(sampled, comments.link_id == sampled.id, "left_semi").count()
     assert joined.filter("com_body is not null").count() == kept > 0
     assert joined.select("id").distinct().count() == sampled.count()
@@ -74,7 +74,7 @@ def test_comments_are_first_level_and_linked(archive, sampled):
 def test_joined_rows_survive_a_headerless_csv(spark, archive, sampled, tmp_path):
     joined = engagement.posts_and_comments(sampled, engagement.first_level_comments(archive[1]))
     tables.write_csv(joined, str(tmp_path / "joined"))
-    back = tables.read_csv(spark, str(tmp_path / "joined"), POSTS_WITH_COMMENTS)
+    back = tables.read_back_csv(spark, str(tmp_path / "joined"), POSTS_WITH_COMMENTS)
     wanted = ["id", "body", "comment_time", "sub_hour", "comment_length", "dummy_climate"]
     a, b = (engagement.joined_features(df).select(wanted).collect() for df in (joined, back))
     assert sorted(map(str, a)) == sorted(map(str, b))
@@ -170,5 +170,13 @@ def test_models_from_texts_to_comparison(with_months):
 
 def test_posts_survive_a_headerless_csv(spark, sampled, tmp_path):
     tables.write_csv(sampled, str(tmp_path / "posts"))
-    back = tables.read_csv(spark, str(tmp_path / "posts"), SAMPLED_POSTS)
+    back = tables.read_back_csv(spark, str(tmp_path / "posts"), SAMPLED_POSTS)
     assert sorted(map(str, back.select("id", "title").collect())) == sorted(map(str, sampled.select("id", "title").collect()))
+
+
+def test_line_ends_quotes_and_empty_texts_survive_csv(spark, tmp_path):
+    rows = [(1, 'two\nlines, "quoted"'), (2, ""), (3, None), (4, "back\\slash\\n and \\s"), (5, "\r\n"), (6, "\\N"), (7, ' pad, "')]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    tables.write_csv(df, str(tmp_path / "texts"))
+    back = tables.read_back_csv(spark, str(tmp_path / "texts"), "id bigint, text string")
+    assert sorted(map(tuple, back.collect())) == sorted(rows)

@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.sql import functions as F
 
-from threadlens.operators import metrics, models, sentiment
+from threadlens.operators import metrics, models, sentiment, summary
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +109,16 @@ def test_score_of_missing_text_and_margin(spark):
     assert got == {1: "positive", 2: None, 3: "neutral", 4: "negative"}
     wide = {r.id: r.sentiment for r in sentiment.score_texts(df, "t", words, margin=1.0).collect()}
     assert wide[1] == wide[4] == "neutral"
+
+
+def test_topic_shares_without_a_class(spark):
+    df = spark.createDataFrame([("negative", True)] * 2 + [("positive", True)], "sentiment string, dummy_a boolean")
+    row = sentiment.topic_share(df, ["dummy_a"]).first()
+    assert (row.neutral, round(row.pct_negative, 2)) == (0, 66.67)
+    assert sentiment.topic_share(df, ["dummy_a"], absent_as_zero=False).first().pct_negative is None
+
+
+def test_nan_is_no_measurement(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", 3.0), ("a", None)], "g string, v double")
+    row = summary.describe_by(df, ["g"], ["v"]).first()
+    assert (row["count"], row["mean"], row.q50, row["max"]) == (2, 2.0, 2.0, 3.0)

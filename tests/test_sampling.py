@@ -73,3 +73,31 @@ def test_split_keeps_every_row_once(spark, rows):
     train, test = sampling.hash_split(df, "id")
     a, b = ({r.id for r in part.collect()} for part in (train, test))
     assert not a & b and len(a) + len(b) == len(rows) and 0.78 < len(a) / len(rows) < 0.82
+
+
+def test_no_rows_for_a_size_of_zero(spark, rows):
+    df = spark.createDataFrame(rows, "id bigint, g string")
+    assert sampling.sample_per_group(df, "g", "id", 0).count() == 0
+    counts = {r.g for r in sampling.limit_some_groups(df, "g", "id", {"hot": 0}).select("g").distinct().collect()}
+    assert "hot" not in counts and "g2" in counts
+    for call in (lambda: sampling.sample_per_group(df, "g", "id", -1), lambda: sampling.limit_some_groups(df, "g", "id", {"hot": -1})):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_rows_that_share_an_id_stay_together(spark):
+    df = spark.createDataFrame([(7, "a")] * 500 + [(k, "a") for k in range(20)], "id bigint, g string")
+    kept = sampling.sample_per_group(df, "g", "id", 10).groupBy("id").count().collect()
+    counts = {r.id: r["count"] for r in kept}
+    assert counts.get(7, 501) == 501 and sum(counts.values()) >= 10
+
+
+def test_content_keys_tell_null_from_empty(spark):
+    df = spark.createDataFrame([("a", None), ("a", ""), ("a", None)], "x string, y string")
+    assert sampling.with_content_key(df, ["x", "y"]).select("id").distinct().count() == 2
+
+
+def test_fraction_by_hash_is_about_right_and_the_same_again(spark):
+    df = spark.range(20_000)
+    picks = [{r.id for r in sampling.hash_fraction(d, "id", 0.05).collect()} for d in (df, df.repartition(7))]
+    assert picks[0] == picks[1] and 800 < len(picks[0]) < 1200

@@ -11,7 +11,6 @@ from threadlens.checks.stem_sql import STEMS, STOP_LIST
 from threadlens.functions.text import topic_flags
 from threadlens.functions.words import STOP_WORDS, TOPIC_TERMS
 from threadlens.operators import corpus, summary
-from threadlens.sources.tables import spread
 
 WORDS = f"""listed as (select doc_id, lang, {tokens_sql("text")} as words from documents),
 raw as (select doc_id, lang, unnest(words) as word, generate_subscripts(words, 1) as pos from listed),
@@ -22,7 +21,7 @@ stemmed as (select doc_id, lang, pos, stem as term from kept join stems using (w
 
 
 def documents(spark, folder):
-    return spread(table(spark, folder, "documents").select("doc_id", "lang", "text"))
+    return table(spark, folder, "documents").select("doc_id", "lang", "text")
 
 
 @query(f"""with {WORDS}, joined as (select doc_id, string_agg(term, ' ' order by pos) as t from stemmed group by doc_id)
@@ -89,7 +88,7 @@ weights as (select doc_id, term, tf, df,
 @query(f"with {TFIDF} select doc_id, term, tf, df, round(weight, 6) as weight from weights")
 def tfidf_sklearn(spark, folder):
     docs = documents(spark, folder)
-    weights = corpus.tfidf_normalised(docs, corpus.stem_rows(docs, ["doc_id"], "text"), "doc_id")
+    weights = corpus.tfidf_normalised(docs, corpus.stem_counts(docs, "doc_id", "text"), "doc_id")
     return weights.select("doc_id", "term", "tf", "df", "weight").withColumns(rounded(6, "weight"))
 
 
@@ -97,7 +96,7 @@ def tfidf_sklearn(spark, folder):
 order by sum(weight) desc, term limit 50""")
 def tfidf_top(spark, folder):
     docs = documents(spark, folder)
-    weights = corpus.tfidf_normalised(docs, corpus.stem_rows(docs, ["doc_id"], "text"), "doc_id")
+    weights = corpus.tfidf_normalised(docs, corpus.stem_counts(docs, "doc_id", "text"), "doc_id")
     return corpus.important_terms(weights, 50).withColumns(rounded(4, "weight"))
 
 
@@ -114,7 +113,7 @@ def length_hist(spark, folder):
 def _flag_sql() -> str:
     parts = []
     for name, terms in (TOPIC_TERMS | TOPICS).items():
-        looks = "".join(f"|{term}" for term in terms)[1:]
+        looks = "|".join(terms)
         parts.append(f"regexp_matches(text, '{looks}') as dummy_{name}")
     return ", ".join(parts)
 

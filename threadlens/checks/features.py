@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from threadlens.checks.registry import query, rounded, table
 from threadlens.operators import corpus, features
-from threadlens.sources.tables import spread
 
 LISTED = """listed as (
   select doc_id, string_split_regex(regexp_replace(lower(text), '\\s+$', ''), '\\s') as words from documents)"""
@@ -19,7 +18,7 @@ tf as (select doc_id, term, count(*) as tf from raw group by all)"""
 
 
 def documents(spark, folder):
-    return spread(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
+    return table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
 
 
 @query(f"""with {LISTED} select doc_id, len(words)::bigint as tokens,
@@ -36,9 +35,7 @@ def tokenize(spark, folder):
     )
 
 
-@query(f"""with {COUNTED},
-terms as (select term from tf group by term order by sum(tf) desc, term limit {features.VOCABULARY})
-select doc_id, term, tf from tf where term in (select term from terms)""")
+@query(f"with {COUNTED} select doc_id, term, tf from tf")
 def count_vec_long(spark, folder):
     return features.count_vectors_long(
         documents(spark, folder), "doc_id", features.spark_tokens("text")
@@ -50,8 +47,8 @@ select doc_id, term, tf, df, round(tf * ln(((select count(*) from documents) + 1
 from tf join dfs using (term)""")
 def idf_spark(spark, folder):
     docs = documents(spark, folder)
-    rows = corpus.token_rows(docs, ["doc_id"], features.spark_tokens("text"))
-    weights = corpus.tfidf_plain(docs, rows, "doc_id")
+    counts = features.count_vectors_long(docs, "doc_id", features.spark_tokens("text"))
+    weights = corpus.tfidf_plain(docs, counts, "doc_id")
     return weights.select("doc_id", "term", "tf", "df", "weight").withColumns(rounded(6, "weight"))
 
 

@@ -73,9 +73,7 @@ select l_orderkey::varchar as com_link_id, l_linenumber::bigint as com_line,
 from lineitem where l_orderkey in (select o_orderkey from picked where r <= 200)""")
 def semi_by_ids(spark, folder):
     ids = sampling.sample_per_group(posts(spark, folder), "community", "id", 200, groups=STATUSES)
-    return joins.keep_ids(
-        comment_lines(spark, folder), "com_link_id", ids, "id", at_most=200 * len(STATUSES)
-    )
+    return joins.keep_ids(comment_lines(spark, folder), "com_link_id", ids, "id")
 
 
 @query(f"""with {MONTHLY} select o_orderkey::varchar as id, o_orderstatus as community,

@@ -1,97 +1,176 @@
-"""Fitted models over whole tables. Their numbers have no SQL twin; tests check that
-they beat a constant guess. Sizes are smaller than the library's defaults."""
+"""Fitted models over whole tables, at the study's sizes and with the full vocabulary.
+
+A model's own numbers have no SQL twin. Each query returns what SQL can state of them: the
+rows a model had to predict, their labels, and whether it did; the relations its measures
+must have to each other; and whether it beat a constant guess.
+"""
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from threadlens.checks.registry import query, table
+from threadlens.checks.registry import query, rounded, table
 from threadlens.checks.sampling import LANGUAGES
+from threadlens.functions.words import SENTIMENTS
 from threadlens.operators import corpus, features, metrics, models, sampling
 from threadlens.session import new_path
-from threadlens.sources.tables import spread, stage
+from threadlens.sources.tables import stage
+
+#: Rows per class that the forests are fitted on and tried with at most, those of smallest hash.
+PER_CLASS = 400
 
-VOCABULARY = 2000
-TREES = 20
+TESTED = "('0x' || substr(md5(doc_id::varchar), 1, 8))::bigint % 100 >= 80"
+BALANCED = f"""sizes as (select lang, count(*) as n from documents where lang in ('de', 'en', 'es', 'fr') group by lang),
+picked as (select doc_id, lang, row_number() over (partition by lang order by md5(doc_id::varchar), doc_id) as r
+  from documents where lang in ('de', 'en', 'es', 'fr')),
+balanced as (select doc_id, lang from picked where r <= least({PER_CLASS}, (select min(n) from sizes)))"""
 
 
 def length_texts(spark, folder):
     """Documents with a number to predict from their words."""
-    docs = spread(table(spark, folder, "documents"))
+    docs = table(spark, folder, "documents")
     return docs.select("doc_id", "text", F.log(F.col("n_chars").cast("double")).alias("target"))
 
 
 def balanced_texts(spark, folder):
     """Cleaned texts, equally many per language; cleaned once for all the fits that follow."""
-    docs = spread(table(spark, folder, "documents").select("doc_id", "lang", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
     balanced = sampling.balance_classes(docs, "lang", "doc_id", groups=LANGUAGES)
-    return stage(corpus.clean_column(balanced, "text"), "texts")
+    few = sampling.sample_per_group(balanced, "lang", "doc_id", PER_CLASS, groups=LANGUAGES)
+    return stage(corpus.clean_column(few.repartition("doc_id"), "text"), "texts")
 
 
 def vectors(df, text="text"):
-    model = features.fit_tfidf(df, text, vocabulary=VOCABULARY)
+    model = features.fit_tfidf(df, text)
     return model, stage(model.transform(df).drop("words", "rawFeatures", text), "vectors")
 
 
 def regression_run(spark, folder, estimator):
-    text_model, rows = vectors(length_texts(spark, folder))
+    text_model, rows = vectors(length_texts(spark, folder).repartition("doc_id"))
     train, test = sampling.hash_split(rows, "doc_id")
-    fitted = estimator.fit(train)
-    return text_model, fitted, models.predicted_and_actual(fitted.transform(test), "target")
-
-
-def forest_run(spark, folder, **options):
-    _, rows = vectors(balanced_texts(spark, folder))
-    train, test = sampling.hash_split(rows, "doc_id")
-    fitted = models.fit_forest(train, "lang", **options)
-    return fitted.transform(test)
-
-
-@query()
+    return text_model, estimator.fit(train), train, test
+
+
+def regression_facts(spark, folder, estimator):
+    """Rows tried, their mean, and whether the measures fit together and beat the training mean."""
+    _, fitted, train, test = regression_run(spark, folder, estimator)
+    found = stage(models.predicted_and_actual(fitted.transform(test), "target"), "predicted")
+    guess = train.agg(F.avg("target")).first()[0]
+    floor = found.agg(
+        F.count(F.lit(1)).alias("test_rows"),
+        F.count("prediction").alias("predicted_rows"),
+        F.avg("label").alias("mean_label"),
+        F.avg(F.pow(F.col("label") - guess, 2)).alias("floor"),
+    )
+    measured = metrics.regression_metrics(found).select("mse", "rmse", "mae")
+    both = floor.withColumn("m", measured.select(F.struct("*")).scalar())
+    close = F.abs(F.col("m.rmse") * F.col("m.rmse") - F.col("m.mse")) <= 1e-9 * F.col("m.mse")
+    return both.select(
+        "test_rows",
+        "predicted_rows",
+        "mean_label",
+        (close & (F.col("m.mae") <= F.col("m.rmse"))).alias("consistent"),
+        (F.col("m.mse") < F.col("floor")).alias("beats_mean"),
+    ).withColumns(rounded(6, "mean_label"))
+
+
+REGRESSION_SQL = f"""select count(*) as test_rows, count(*) as predicted_rows,
+round(avg(ln(n_chars)), 6) as mean_label, true as consistent, true as beats_mean from documents where {TESTED}"""
+
+
+@query(REGRESSION_SQL)
 def dt_reg(spark, folder):
-    _, _, found = regression_run(spark, folder, models.decision_tree("target"))
-    return metrics.regression_metrics(found)
+    return regression_facts(spark, folder, models.decision_tree("target"))
 
 
-@query()
+@query(REGRESSION_SQL)
 def gbt_reg(spark, folder):
-    _, _, found = regression_run(spark, folder, models.boosted_trees("target", depth=5))
-    return metrics.regression_metrics(found)
+    return regression_facts(spark, folder, models.boosted_trees("target"))
 
 
-@query()
+def forest_facts(spark, folder, **options):
+    """Rows tried, and whether the measures fit together and beat the largest class."""
+    _, rows = vectors(balanced_texts(spark, folder))
+    train, test = sampling.hash_split(rows, "doc_id")
+    scored = models.fit_forest(train, "lang", **options).transform(test)
+    found = stage(scored.select("lang", "label_ix", "prediction", "predicted_label"), "scored")
+    measured = metrics.class_metrics(found, "label_ix", "prediction").select("accuracy", "weighted_recall")
+    largest = found.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
+    facts = found.agg(
+        F.count(F.lit(1)).alias("test_rows"), F.count_if(F.col("predicted_label").isin(LANGUAGES)).alias("named_rows")
+    )
+    facts = facts.withColumn("m", measured.select(F.struct("*")).scalar()).withColumn("top", largest.scalar())
+    return facts.select(
+        "test_rows",
+        "named_rows",
+        F.col("top").alias("largest_class"),
+        (F.abs(F.col("m.accuracy") - F.col("m.weighted_recall")) < 1e-9).alias("consistent"),
+        (F.col("m.accuracy") * F.col("test_rows") > F.col("top")).alias("beats_majority"),
+    )
+
+
+FOREST_SQL = f"""with {BALANCED},
+tested as (select * from balanced where {TESTED})
+select count(*) as test_rows, count(*) as named_rows,
+  (select max(n) from (select count(*) as n from tested group by lang)) as largest_class,
+  true as consistent, true as beats_majority from tested"""
+
+
+@query(FOREST_SQL)
 def rf_gini(spark, folder):
-    found = forest_run(spark, folder, trees=TREES, impurity="gini", seed=42)
-    return metrics.class_metrics(found, "label_ix", "prediction")
+    return forest_facts(spark, folder, trees=1000, impurity="gini", seed=42)
 
 
-@query()
+@query(FOREST_SQL)
 def rf_entropy(spark, folder):
-    found = forest_run(spark, folder, trees=TREES, impurity="entropy", seed=5)
-    return metrics.class_metrics(found, "label_ix", "prediction")
+    return forest_facts(spark, folder, trees=500, impurity="entropy", seed=5)
 
 
-@query()
+@query("""with listed as (
+  select string_split_regex(regexp_replace(lower(text), '\\s+$', ''), '\\s') as words from documents),
+terms as (select distinct unnest(words) as term from listed)
+select 10::bigint as listed, 10::bigint as known_terms, true as sorted, true as bounded
+from (select count(*) as n from terms) where n >= 10""")
 def top_importances(spark, folder):
-    text_model, fitted, _ = regression_run(spark, folder, models.decision_tree("target"))
-    return models.top_importances(spark, fitted, text_model, 10)
-
-
-@query()
+    """The ten most telling terms: all of them words of the corpus, in order, adding up to 1 at most."""
+    text_model, fitted, _, _ = regression_run(spark, folder, models.decision_tree("target"))
+    top = stage(models.top_importances(spark, fitted, text_model, 10), "importances")
+    words = table(spark, folder, "documents").select(F.explode(features.spark_tokens("text")).alias("term")).distinct()
+    known = top.join(words, "term", "left_semi").agg(F.count(F.lit(1)))
+    facts = top.agg(F.count(F.lit(1)).alias("listed"), F.sum("importance").alias("total"), F.collect_list("importance").alias("given"))
+    return facts.select(
+        "listed",
+        known.scalar().alias("known_terms"),
+        (F.sort_array("given", asc=False) == F.col("given")).alias("sorted"),
+        F.col("total").between(0, 1 + 1e-9).alias("bounded"),
+    )
+
+
+@query(f"""select doc_id, round(ln(n_chars), 6) as label, true as predicted, true as same_bare
+from documents where {TESTED}""")
 def save_load_predict(spark, folder):
-    texts = length_texts(spark, folder)
-    train, test = sampling.hash_split(texts, "doc_id")
-    stages = [*features.tfidf_stages("text", vocabulary=VOCABULARY), models.decision_tree("target")]
-    path = new_path(spark, "model")
-    models.save_model(Pipeline(stages=stages).fit(train), path)
-    loaded = models.load_pipeline(path)
-    return models.predicted_and_actual(loaded.transform(test), "target")
-
-
-@query()
+    """A saved pipeline and the bare tree in it, loaded again, predict alike."""
+    train, test = sampling.hash_split(length_texts(spark, folder), "doc_id")
+    fitted = Pipeline(stages=[*features.tfidf_stages("text"), models.decision_tree("target")]).fit(train)
+    paths = [new_path(spark, "model"), new_path(spark, "tree")]
+    models.save_model(fitted, paths[0])
+    models.save_model(fitted.stages[-1], paths[1])
+    scored = models.load_model(paths[0]).transform(test).withColumnRenamed("prediction", "first")
+    both = models.load_model(paths[1]).transform(scored)
+    return both.select(
+        "doc_id",
+        F.col("target").alias("label"),
+        F.col("first").isNotNull().alias("predicted"),
+        (F.col("first") == F.col("prediction")).alias("same_bare"),
+    ).withColumns(rounded(6, "label"))
+
+
+@query("""select doc_id, text is not null as labelled, true as known from documents""")
 def trained_sentiment(spark, folder):
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
-    model = models.train_sentiment(docs.join(labels, "doc_id"), "text", "label", VOCABULARY)
-    return models.trained_sentiment(model, docs, "text").select("doc_id", "sentiment")
+    model = models.train_sentiment(docs.join(labels, "doc_id"), "text", "label")
+    found = models.trained_sentiment(model, docs, "text", above=0.6, below=0.4)
+    known = F.col("sentiment").isNull() | F.col("sentiment").isin(list(SENTIMENTS))
+    return found.select("doc_id", F.col("sentiment").isNotNull().alias("labelled"), known.alias("known"))

@@ -156,7 +156,7 @@ def csv_roundtrip(spark, folder):
     path = new_path(spark, "csv")
     tables.write_csv(orders, path)
     schema = "o_orderkey string, o_orderstatus string, o_totalprice double, o_note string"
-    return tables.read_csv(spark, path, schema)
+    return tables.read_back_csv(spark, path, schema)
 
 
 @query("""select o_orderstatus, count(*) as orders, round(avg(o_totalprice), 2) as mean_price
@@ -185,9 +185,9 @@ def parquet_roundtrip(spark, folder):
 
 
 @query("""select o_orderkey, name as status_name from orders
-join (values ('F', 'filled'), ('O', 'open')) as names(code, name) on o_orderstatus = code""")
+join (values ('F', 'filled'), ('O', 'open'), ('P', 'partial')) as names(code, name) on o_orderstatus = code""")
 def local_dim(spark, folder):
-    names = tables.local_table(spark, [("F", "filled"), ("O", "open")], "code string, status_name string")
+    names = tables.local_table(spark, [("F", "filled"), ("O", "open"), ("P", "partial")], "code string, status_name string")
     orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_orderstatus").alias("code"))
     return orders.join(names, "code").drop("code")
 

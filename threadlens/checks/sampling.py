@@ -51,16 +51,16 @@ def hash_split(spark, folder):
     )
 
 
-@query()
+@query("""select event_id, event_type from events
+where ('0x' || substr(md5('s' || event_id), 1, 8))::bigint < round(0.01 * 4294967296)""")
 def fraction_sample(spark, folder):
     events = table(spark, folder, "events").select("event_id", "event_type")
-    return sampling.fraction_sample(events, 0.01, 123)
+    return sampling.hash_fraction(events, "event_id", 0.01, "s")
 
 
-@query()
+@query("select event_id, 1::bigint as times from events")
 def random_split(spark, folder):
+    """Spark's own split depends on the layout; every row must be in one part, once."""
     events = table(spark, folder, "events").select("event_id", "event_type")
-    train, test = sampling.random_split(events, 0.8, 24)
-    return stack_frames(
-        [train.withColumn("part", F.lit("train")), test.withColumn("part", F.lit("test"))]
-    )
+    both = stack_frames(list(sampling.random_split(events, 0.8, 24)))
+    return both.groupBy("event_id").agg(F.count(F.lit(1)).alias("times"))

@@ -8,7 +8,6 @@ from threadlens.checks.registry import query, rounded, table
 from threadlens.functions.text import topic_flags
 from threadlens.operators import sentiment
 from threadlens.operators.summary import count_by
-from threadlens.sources.tables import spread
 
 # Stand-in word list: abuse counts against a text; common words give the other label
 # enough rows and carry no meaning.
@@ -56,7 +55,7 @@ FLAGGED = """flagged as (
 
 
 def labelled_documents(spark, folder):
-    return sentiment.score_texts(spread(table(spark, folder, "documents")), "text", LEXICON)
+    return sentiment.score_texts(table(spark, folder, "documents"), "text", LEXICON)
 
 
 def flagged_documents(spark, folder):
@@ -104,7 +103,7 @@ cells as (select topic, nullif(count(*) filter (where sentiment = 'negative'), 0
 select *, round(negative / (negative + neutral + positive) * 100, 6) as pct_negative,
   round(positive / (negative + neutral + positive) * 100, 6) as pct_positive from cells""")
 def topic_share(spark, folder):
-    found = sentiment.topic_share(flagged_documents(spark, folder), FLAGS)
+    found = sentiment.topic_share(flagged_documents(spark, folder), FLAGS, absent_as_zero=False)
     return found.withColumns(rounded(6, "pct_negative", "pct_positive"))
 
 

@@ -97,4 +97,4 @@ def topic_flags(
 
 def topic_name(flag_name: Column) -> Column:
     """``dummy_police`` -> ``police``."""
-    return F.substring(flag_name, len("dummy_") + 1, 1000)
+    return F.right(flag_name, F.length(flag_name) - len("dummy_"))

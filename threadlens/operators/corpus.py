@@ -14,9 +14,6 @@ from threadlens.functions.text import clean_text, kept_tokens, letter_tokens
 from threadlens.functions.words import STOP_WORDS
 from threadlens.operators.ranks import attach
 
-FREQUENT = 500_000
-LONGEST = 40
-
 
 def clean_column(df: DataFrame, column: str, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
     """The column's texts cleaned in place, row by row: letters, no stop words, stems."""
@@ -29,7 +26,7 @@ def annotated_clean(
     """Second cleaning job: tokens, stop words, stems, then characters other than
     ``[A-Za-z0-9_]`` removed; one row per id and element of the result array.
 
-    Without a list, Spark's own English stop words are used, case-insensitively.
+    A NULL text gives a NULL result. Without a list, Spark's own English stop words are used, case-insensitively.
     """
     tokenizer = RegexTokenizer(
         inputCol=text, outputCol="_tokens", gaps=False, pattern=r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]+"
@@ -38,9 +35,11 @@ def annotated_clean(
     if stop_words is not None:
         remover.setStopWords(list(stop_words))
     stages = Pipeline(stages=[tokenizer, remover])
-    found = stages.fit(df).transform(df.select(ident, text).filter(F.col(text).isNotNull()))
+    texts = df.select(ident, F.coalesce(F.col(text), F.lit("")).alias(text), F.col(text).isNull().alias("_none"))
+    found = stages.fit(texts).transform(texts)
     normal = F.transform(stem_tokens("_kept"), lambda w: F.regexp_replace(w, r"[^\w\d\s]", ""))
-    result = F.array(F.array_join(F.filter(normal, lambda w: w != ""), " "))
+    joined = F.array_join(F.filter(normal, lambda w: w != ""), " ")
+    result = F.array(F.when(~F.col("_none"), joined))
     return found.select(ident, result.alias("result")).select(
         ident, F.explode("result").alias("clean_text")
     )
@@ -95,30 +94,16 @@ def token_rows(df: DataFrame, keep: Sequence[str], tokens: Column) -> DataFrame:
     return df.select(*keep, F.explode(tokens).alias("term"))
 
 
-def with_stems(words: DataFrame, raw: str, name: str) -> DataFrame:
-    """The stem of each row's word in place of the word; NULL stays NULL.
-
-    Stemming costs far more than a lookup. Words that make up at least one in
-    ``FREQUENT`` rows are stemmed once and broadcast: there can be no more than
-    ``FREQUENT`` of them, and they are short. The rest is stemmed where it stands.
-    """
-    counts = words.filter(F.col(raw).isNotNull()).groupBy(raw).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    frequent = counts.filter(
-        (F.col("_n") >= total / FREQUENT) & (F.length(raw) <= LONGEST)
-    ).select(raw, stem_word(raw).alias("_stem"))
-    others = [c for c in words.columns if c != raw]
-    return words.join(F.broadcast(frequent), raw, "left").select(
-        *others, F.coalesce("_stem", stem_word(raw)).alias(name)
-    )
-
-
-def stem_rows(
-    df: DataFrame, keep: Sequence[str], text: str, stop_words: Iterable[str] = STOP_WORDS
+def stem_counts(
+    df: DataFrame, ident: str, text: str, stop_words: Iterable[str] = STOP_WORDS
 ) -> DataFrame:
-    """One row per cleaned token: the kept columns and its stem as ``term``."""
-    raw = df.select(*keep, F.explode(kept_tokens(text, stop_words)).alias("_raw"))
-    return with_stems(raw, "_raw", "term")
+    """(id, term, tf) over cleaned tokens. Texts are dealt by id once; a document's words are
+    then counted, stemmed once each and added up by stem where they are."""
+    dealt = df.select(ident, text).repartition(ident)
+    raw = dealt.select(ident, F.explode(kept_tokens(text, stop_words)).alias("_raw"))
+    counts = raw.groupBy(ident, "_raw").agg(F.count(F.lit(1)).alias("_n"))
+    stems = counts.select(ident, stem_word("_raw").alias("term"), "_n")
+    return stems.groupBy(ident, "term").agg(F.sum("_n").alias("tf"))
 
 
 def term_counts(rows: DataFrame, ident: str) -> DataFrame:
@@ -139,11 +124,11 @@ def _weighted(documents: DataFrame, counts: DataFrame, idf: Column) -> DataFrame
 
 
 def tfidf_normalised(
-    documents: DataFrame, rows: DataFrame, ident: str, min_length: int = 2
+    documents: DataFrame, counts: DataFrame, ident: str, min_length: int = 2
 ) -> DataFrame:
-    """(id, term, tf, df, idf, weight) with idf = ln((1+n)/(1+df)) + 1 and the weights of
+    """(id, term, tf, df, idf, weight) of term counts, with idf = ln((1+n)/(1+df)) + 1 and the weights of
     a document of Euclidean length 1. Shorter terms than ``min_length`` are left out."""
-    counts = term_counts(rows.filter(F.length("term") >= min_length), ident)
+    counts = counts.filter(F.length("term") >= min_length)
     idf = F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1
     weighted = _weighted(documents, counts, idf).withColumn("raw", F.col("tf") * F.col("idf"))
     # A window over one document's terms: a group no larger than a document.
@@ -153,10 +138,10 @@ def tfidf_normalised(
     ).select(ident, "term", "tf", "df", "idf", "weight")
 
 
-def tfidf_plain(documents: DataFrame, rows: DataFrame, ident: str) -> DataFrame:
-    """(id, term, tf, df, idf, weight) with idf = ln((n+1)/(df+1)), weights not scaled."""
+def tfidf_plain(documents: DataFrame, counts: DataFrame, ident: str) -> DataFrame:
+    """(id, term, tf, df, idf, weight) of term counts, with idf = ln((n+1)/(df+1)), weights not scaled."""
     idf = F.log((F.col("docs") + 1) / (F.col("df") + 1))
-    weighted = _weighted(documents, term_counts(rows, ident), idf)
+    weighted = _weighted(documents, counts, idf)
     return weighted.withColumn("weight", F.col("tf") * F.col("idf")).select(
         ident, "term", "tf", "df", "idf", "weight"
     )

@@ -59,10 +59,14 @@ def vocabulary_of(model) -> list[str]:
 
 
 def count_vectors_long(
-    df: DataFrame, ident: str, tokens: Column, vocabulary: int = VOCABULARY
+    df: DataFrame, ident: str, tokens: Column, vocabulary: int | None = None
 ) -> DataFrame:
-    """(id, term, tf) over the most frequent terms; equal counts in order of the term."""
-    counts = term_counts(token_rows(df, [ident], tokens), ident)
+    """(id, term, tf) over all terms, or the ``vocabulary`` most frequent ones; equal counts
+    in order of the term. Rows are dealt by id once and counted where they are."""
+    dealt = df.repartition(ident)
+    counts = term_counts(token_rows(dealt, [ident], tokens), ident)
+    if vocabulary is None:
+        return counts
     terms = (
         counts.groupBy("term")
         .agg(F.sum("tf").alias("total"))
@@ -70,10 +74,7 @@ def count_vectors_long(
         .limit(vocabulary)
         .select("term")
     )
-    # The vocabulary is bounded by its own size limit.
-    return counts.join(F.broadcast(terms) if vocabulary <= VOCABULARY else terms, "term", "left_semi").select(
-        ident, "term", "tf"
-    )
+    return counts.join(terms, "term", "left_semi").select(ident, "term", "tf")
 
 
 def fit_indexer(df: DataFrame, label: str, index: str) -> StringIndexerModel:

@@ -15,15 +15,10 @@ from pyspark.sql import functions as F
 from threadlens.operators.ranks import attach
 
 
-def keep_ids(df: DataFrame, column: str, ids: DataFrame, id_column: str, at_most: int | None = None) -> DataFrame:
-    """Rows whose key is among the ids.
-
-    ``at_most`` states a proven bound on the number of ids (a sample's size); up to a
-    million they are broadcast and the big side is not shuffled.
-    """
+def keep_ids(df: DataFrame, column: str, ids: DataFrame, id_column: str) -> DataFrame:
+    """Rows whose key is among the ids. The ids' measured size decides whether they are
+    broadcast."""
     wanted = ids.select(F.col(id_column).alias(column)).distinct()
-    if at_most is not None and at_most <= 1_000_000:
-        wanted = F.broadcast(wanted)
     return df.join(wanted, column, "left_semi").select(*df.columns)
 
 
@@ -50,8 +45,13 @@ def attach_months(
     """Facts with the indicators of their month; the indicator keys are dropped.
 
     ``inner`` loses facts of months that have no indicators, as the study does;
-    ``left`` keeps them.
+    ``left`` keeps them. The indicators are folded to one row per month first (the first
+    of each in order of the values), so they have no more rows than the calendar has months
+    and are broadcast; the facts are not shuffled.
     """
+    values = [c for c in indicators.columns if c not in ("Year", "Month")]
+    folded = indicators.groupBy("Year", "Month").agg(F.min(F.struct(*values)).alias("_values"))
+    indicators = F.broadcast(folded.select("Year", "Month", "_values.*"))
     same = (facts[year] == indicators["Year"]) & (facts[month] == indicators["Month"])
     return facts.join(indicators, same, how).drop(indicators["Year"], indicators["Month"])
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,8 +91,9 @@ def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load_pipeline(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str):
+    """Any saved model: its own metadata names the class, a bare tree or a pipeline alike."""
+    return DefaultParamsReader.loadParamsInstance(path, SparkSession.active())
 
 
 def train_sentiment(
@@ -104,9 +107,22 @@ def train_sentiment(
     return Pipeline(stages=stages).fit(labelled)
 
 
-def trained_sentiment(model: PipelineModel, df: DataFrame, text: str) -> DataFrame:
-    """Rows of ``df`` with the model's ``sentiment``; keys stay on the row."""
-    negative, _, positive = SENTIMENTS
-    scored = model.transform(df.filter(F.col(text).isNotNull()))
-    label = F.when(F.col("prediction") == 1, F.lit(negative)).otherwise(F.lit(positive))
-    return scored.select(*df.columns, label.alias("sentiment"))
+def trained_sentiment(
+    model: PipelineModel, df: DataFrame, text: str, above: float = 0.5, below: float | None = None
+) -> DataFrame:
+    """Rows of ``df`` with the model's ``sentiment``; keys stay on the row.
+
+    A probability of at least ``above`` is negative, one under ``below`` (``above`` if not
+    given) positive, and what lies between neutral. A NULL text keeps its row, unlabelled.
+    """
+    negative, neutral, positive = SENTIMENTS
+    original = df.withColumn("_text", F.col(text))
+    scored = model.transform(original.withColumn(text, F.coalesce(text, F.lit(""))))
+    chance = vector_to_array("probability")[1]
+    label = (
+        F.when(chance >= above, F.lit(negative))
+        .when(chance < (above if below is None else below), F.lit(positive))
+        .otherwise(F.lit(neutral))
+    )
+    kept = [F.col("_text").alias(text) if c == text else F.col(c) for c in df.columns]
+    return scored.select(*kept, F.when(F.col("_text").isNotNull(), label).alias("sentiment"))

@@ -90,9 +90,9 @@ def running_totals(
 
 
 def value_weights(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Distinct non-NULL values of each group with their number of rows, ``n``."""
+    """Distinct values of each group with their number of rows, ``n``; NULL and NaN are left out."""
     return (
-        df.filter(F.col(value).isNotNull())
+        df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter("n > 0")

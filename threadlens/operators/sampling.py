@@ -7,6 +7,7 @@ counted by a short prefix; only rows that share the prefix of the n-th one are s
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,7 +24,8 @@ def hash_key(ident: str, seed: str = "") -> Column:
 
 def with_content_key(df: DataFrame, columns: Sequence[str], name: str = "id") -> DataFrame:
     """A key made from a row's own content; identical rows get the same key."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    # A present value is marked, so that NULL and the empty string differ.
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in columns]
     return df.withColumn(name, F.md5(F.concat_ws("\u0001", *parts)))
 
 
@@ -32,6 +34,11 @@ def _per_group(df: DataFrame, known_groups: Sequence | None) -> DataFrame:
     return F.broadcast(df) if known_groups is not None else df
 
 
+def prefix_digits(n: int) -> int:
+    """Hash digits after the leading zeros that leave about sqrt(n) ids per prefix."""
+    return max(2, math.ceil(math.log(max(n, 1), 16) / 2))
+
+
 def sample_per_group(
     df: DataFrame,
     group: str,
@@ -39,16 +46,20 @@ def sample_per_group(
     n: int | Column,
     seed: str = "",
     groups: Sequence | None = None,
-    digits: int = 2,
+    digits: int | None = None,
 ) -> DataFrame:
     """The n rows of each group with the smallest hash; all rows of smaller groups.
 
     ``ident`` tells rows apart; rows that share it are kept or left out together.
-    ``groups`` names the groups to keep, which bounds the per-group tables. ``digits``
-    is how many hash digits after the leading zeros tell prefixes apart: with 2, the rows
-    that have to be sorted are at most about a sixteenth of n; each further digit divides
-    that by 16.
+    ``groups`` names the groups to keep, which bounds the per-group tables. No rows are
+    taken for n = 0; a negative n is refused. ``digits`` is how many hash digits after the
+    leading zeros tell prefixes apart; it grows with n, so that the ids that have to be
+    sorted and the prefixes that are counted both stay near the square root of n.
     """
+    if isinstance(n, int) and n < 0:
+        raise ValueError("a sample cannot have fewer than no rows")
+    if digits is None:
+        digits = prefix_digits(n) if isinstance(n, int) else 4
     if groups is not None:
         df = df.filter(F.col(group).isin(list(groups)))
     # Prefixes sort like the hashes they start: "0a3" < "1f".
@@ -70,16 +81,19 @@ def sample_per_group(
         .select(group, "_prefix", "_need")
     )
     edge_rows = attach(hashed, _per_group(edge, groups), [group, "_prefix"], "inner")
+    # Rows that share an id are counted first, so a repeated id is one row to sort.
+    edge_ids = edge_rows.groupBy(group, "_need", "_hash", ident).agg(F.count(F.lit(1)).alias("_rows"))
     in_edge = Window.partitionBy(group).orderBy("_hash", ident)
+    until = F.sum("_rows").over(in_edge.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cutoffs = (
-        edge_rows.withColumn("_at", F.row_number().over(in_edge))
-        .filter(F.col("_at") == F.col("_need"))
+        edge_ids.withColumn("_until", until)
+        .filter((F.col("_until") >= F.col("_need")) & (F.col("_until") - F.col("_rows") < F.col("_need")))
         .select(group, F.struct(F.col("_hash").alias("h"), F.col(ident).alias("i")).alias("_last"))
     )
     mine = F.struct(hash_key(ident, seed).alias("h"), F.col(ident).alias("i"))
     return (
         attach(df, _per_group(cutoffs, groups), [group])
-        .filter(F.col("_last").isNull() | (mine <= F.col("_last")))
+        .filter((wanted > 0) & (F.col("_last").isNull() | (mine <= F.col("_last"))))
         .drop("_last")
     )
 
@@ -95,16 +109,19 @@ def balance_classes(
     if groups is not None:
         df = df.filter(F.col(label).isin(list(groups)))
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
-    smallest = sizes.agg(F.min("_size")).scalar()
-    return sample_per_group(df, label, ident, smallest, seed, groups, digits=4)
+    smallest = sizes.agg(F.min("_size")).first()[0]
+    return sample_per_group(df, label, ident, smallest or 0, seed, groups)
 
 
 def limit_some_groups(
     df: DataFrame, group: str, ident: str, limits: dict[str, int], seed: str = ""
 ) -> DataFrame:
     """Listed groups cut to their own size, the other groups kept whole."""
+    if min(limits.values(), default=0) < 0:
+        raise ValueError("a sample cannot have fewer than no rows")
     wanted = F.coalesce(*[F.when(F.col(group) == g, F.lit(n)) for g, n in limits.items()])
-    cut = sample_per_group(df, group, ident, wanted, seed, groups=list(limits))
+    digits = prefix_digits(max(limits.values(), default=0))
+    cut = sample_per_group(df, group, ident, wanted, seed, list(limits), digits)
     rest = df.filter(~F.col(group).isin(list(limits)) | F.col(group).isNull())
     return cut.unionByName(rest)
 
@@ -125,3 +142,9 @@ def random_split(df: DataFrame, train: float = 0.8, seed: int = 24) -> tuple[Dat
 
 def fraction_sample(df: DataFrame, fraction: float = 0.01, seed: int = 123) -> DataFrame:
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+
+
+def hash_fraction(df: DataFrame, ident: str, fraction: float, seed: str = "") -> DataFrame:
+    """The rows whose id falls into the first ``fraction`` of the hash range; the same on every run."""
+    share = F.lit(round(fraction * (1 << 32)))
+    return df.filter(hash_number(F.col(ident), seed) < share)

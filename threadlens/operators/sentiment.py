@@ -70,9 +70,14 @@ def with_polarization(
     return attach_group_value(df, scores, group, groups)
 
 
-def topic_share(df: DataFrame, flags: Sequence[str]) -> DataFrame:
-    """Per topic: rows of each sentiment, and negative and positive per cent of all."""
-    table = pivot_counts(true_flags(df, ["sentiment"], flags), "topic", "sentiment", SENTIMENTS)
+def topic_share(df: DataFrame, flags: Sequence[str], absent_as_zero: bool = True) -> DataFrame:
+    """Per topic: rows of each sentiment, and negative and positive per cent of all.
+
+    ``absent_as_zero=False`` is the study's form: a sentiment no row has is NULL, and so
+    are the shares.
+    """
+    absent = 0 if absent_as_zero else None
+    table = pivot_counts(true_flags(df, ["sentiment"], flags), "topic", "sentiment", SENTIMENTS, absent)
     total = F.col("negative") + F.col("neutral") + F.col("positive")
     return table.select(
         topic_name(F.col("topic")).alias("topic"),

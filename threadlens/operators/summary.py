@@ -63,6 +63,8 @@ def describe_by(
     measures = [m for m in measures if m not in keys]
     if drop_null_keys:
         df = df.na.drop(subset=keys)
+    # NaN is no measurement; it would pass into every statistic.
+    df = df.withColumns({m: F.when(~F.isnan(F.col(m).cast("double")), F.col(m)) for m in measures})
     moments = df.groupBy(*keys).agg(
         *[
             F.struct(

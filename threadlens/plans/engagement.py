@@ -48,13 +48,9 @@ def first_level_comments(comments: DataFrame, communities: Sequence[str] = COMMU
     return cleaning.unprefix_links(cleaning.top_level_only(kept).select(*COMMENT_COLUMNS))
 
 
-def posts_and_comments(posts: DataFrame, comments: DataFrame, posts_at_most: int | None = None) -> DataFrame:
-    """Every post with each of its comments (``com_`` columns), or with NULLs.
-
-    ``posts_at_most`` is the proven size of the sample; the comments are then filtered by
-    a broadcast set of ids before anything is shuffled.
-    """
-    linked = joins.keep_ids(comments, "link_id", posts, "id", posts_at_most)
+def posts_and_comments(posts: DataFrame, comments: DataFrame) -> DataFrame:
+    """Every post with each of its comments (``com_`` columns), or with NULLs."""
+    linked = joins.keep_ids(comments, "link_id", posts, "id")
     return joins.posts_with_comments(posts, cleaning.prefix_columns(linked), "id", "com_link_id")
 
 

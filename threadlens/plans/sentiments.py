@@ -6,10 +6,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from threadlens.functions.words import TOPIC_TERMS
 from threadlens.operators import sentiment
 from threadlens.operators.summary import count_by
 
-TOPIC_FLAGS = ["dummy_police", "dummy_healthcare", "dummy_climate", "dummy_economy"]
+TOPIC_FLAGS = [f"dummy_{name}" for name in TOPIC_TERMS]
 
 
 def scored(texts: DataFrame, text: str, lexicon: Mapping[str, float], margin: float = 0.0) -> DataFrame:

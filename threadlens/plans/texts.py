@@ -22,7 +22,7 @@ def word_tables(texts: DataFrame, ident: str, text: str, group: str = "subreddit
     """Word counts, top words overall and per community, and the most telling terms."""
     counts = corpus.word_counts(texts, text)
     per_group = corpus.word_counts(texts, text, [group])
-    weights = corpus.tfidf_normalised(texts, corpus.stem_rows(texts, [ident], text), ident)
+    weights = corpus.tfidf_normalised(texts, corpus.stem_counts(texts, ident, text), ident)
     return {
         "bag_of_words": counts,
         "top_words": corpus.top_words(counts, 50),

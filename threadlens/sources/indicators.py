@@ -54,12 +54,12 @@ def join_indicators(
 
 
 def typed_indicators(indicators: DataFrame) -> DataFrame:
-    """Commas off, months as numbers, values as doubles."""
+    """Commas off, months as numbers, values as doubles; a figure that is no number is NULL."""
     plain = strip_thousands(indicators)
     return plain.select(
-        F.col("Year").cast("int").alias("Year"),
+        F.col("Year").try_cast("int").alias("Year"),
         month_number(F.col("Month")).alias("Month"),
-        *[F.col(c).cast("double").alias(c) for c in ("CPI", "Unemp_Rate", "DOW")],
+        *[F.col(c).try_cast("double").alias(c) for c in ("CPI", "Unemp_Rate", "DOW")],
     )
 
 

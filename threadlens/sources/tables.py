@@ -30,16 +30,6 @@ def write_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores when the input comes in fewer pieces than that.
-
-    For work that is heavy per row, on a table as it was read: counting the pieces of a
-    scan runs nothing. A large input has more pieces than cores and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a frame that several jobs will read to the shared folder, and read it back.
 
@@ -69,15 +59,49 @@ def read_csv(
 ) -> DataFrame:
     """CSV by position into a given schema; quotes inside quotes are doubled.
 
-    ``multiline`` is needed where texts hold line ends, and makes files unsplittable.
+    ``multiline`` is needed where texts of others' files hold line ends, and makes files
+    unsplittable.
     """
     return spark.read.csv(
         path, schema=schema, header=header, sep=sep, escape='"', multiLine=multiline
     )
 
 
+# What stands for characters that would end a row, and for NULL.
+ESCAPES = {"\\": "\\s", "\n": "\\n", "\r": "\\r"}
+NULL_MARK = "\\N"
+
+
+def _replaced(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    columns = {}
+    for name in texts:
+        column = F.col(name)
+        for old, new in pairs:
+            column = F.replace(column, F.lit(old), F.lit(new))
+        columns[name] = column
+    return df.withColumns(columns)
+
+
 def write_csv(df: DataFrame, path: str, header: bool = False) -> None:
-    df.write.mode("overwrite").csv(path, header=header, escape='"')
+    """CSV with a row per line: line ends inside texts are escaped, NULL differs from empty."""
+    escaped = _replaced(df, list(ESCAPES.items()))
+    escaped.write.mode("overwrite").csv(
+        path,
+        header=header,
+        escape='"',
+        nullValue=NULL_MARK,
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+
+
+def read_back_csv(spark: SparkSession, path: str, schema: str, header: bool = False) -> DataFrame:
+    """What ``write_csv`` wrote. Files stay splittable; a malformed row is an error."""
+    rows = spark.read.csv(
+        path, schema=schema, header=header, escape='"', nullValue=NULL_MARK, mode="FAILFAST"
+    )
+    return _replaced(rows, [(new, old) for old, new in reversed(ESCAPES.items())])
 
 
 def write_summary_csv(summary: DataFrame, path: str) -> None:
