@@ -32,12 +32,13 @@ def attach(rows: DataFrame, per_group: DataFrame, keys: Sequence[str], how: str
     return rows.join(side, same, how).drop(*[f"_on_{k}" for k in keys])
 
 
-RANGES = 1023
+#: Cut points are found by halving; so many bits are enough for 10^14 values.
+BITS = 24
 
 
-def _place(rows: DataFrame, value: str, ranges: int) -> DataFrame:
+def _place(rows: DataFrame, value: str) -> DataFrame:
     """Add ``_range``, the number of cut points that are not above the value, by halving."""
-    steps = [1 << bit for bit in reversed(range(ranges.bit_length()))]
+    steps = [1 << bit for bit in reversed(range(BITS))]
 
     def halve(passed: Column, step: Column) -> Column:
         beyond = F.get("_cuts", passed + step - 1) <= F.col(value)
@@ -46,25 +47,34 @@ def _place(rows: DataFrame, value: str, ranges: int) -> DataFrame:
     return rows.withColumn("_range", F.aggregate(F.lit(steps), F.lit(0), halve))
 
 
+def _cuts(rows: DataFrame, keys: Sequence[str], order: str, per_range: int | None = None) -> Column:
+    """The values of a share of the rows chosen by hash, which does not change between runs."""
+    if per_range is None:
+        share = rows.agg(F.greatest(F.lit(1), F.ceil(F.sqrt(F.count(F.lit(1))) / 4))).scalar()
+    else:
+        share = F.lit(per_range)
+    sample = rows.filter(F.pmod(F.xxhash64(order, *keys), share.cast("bigint")) == 0)
+    return sample.agg(F.array_sort(F.collect_set(order))).scalar()
+
+
 def running_totals(
     rows: DataFrame,
     keys: Sequence[str],
     order: str,
     sums: Sequence[str],
-    ranges: int = RANGES,
+    per_range: int | None = None,
 ) -> DataFrame:
     """Add ``before_<s>`` (sum over smaller ``order``) and ``total_<s>`` per group.
 
     ``rows`` holds each ``order`` value once per group, i.e. it is already aggregated.
-    One range holds about 1/``ranges`` of the rows of all groups together.
+    One range holds about ``per_range`` rows of all groups together; if it is not given,
+    a quarter of the square root of their number, so that neither a range nor the list of cuts grows
+    with the table.
     """
     keys, sums = list(keys), list(sums)
     rows = rows.select(*keys, order, *sums)
-    # The rows with the smallest hashes: a sample that does not change between runs.
-    sample = rows.orderBy(F.xxhash64(order, *keys), order, *keys, *sums).limit(ranges)
-    cuts = sample.agg(F.array_sort(F.collect_set(order))).scalar()
-    placed = _place(rows.withColumn("_cuts", cuts), order, ranges).drop("_cuts")
-    # At most `ranges` + 1 rows per group, whatever the group's size.
+    placed = _place(rows.withColumn("_cuts", _cuts(rows, keys, order, per_range)), order).drop("_cuts")
+    # At most one row per group and cut, whatever the group's size.
     per_range = placed.groupBy(*keys, "_range").agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -104,10 +114,10 @@ def exact_quantiles(
     keys: Sequence[str],
     value: str,
     points: Mapping[str, float],
-    ranges: int = RANGES,
+    per_range: int | None = None,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one column per entry of ``points``."""
-    ranked = running_totals(value_weights(df, keys, value), keys, value, ["n"], ranges)
+    ranked = running_totals(value_weights(df, keys, value), keys, value, ["n"], per_range)
     first, last = F.col("before_n"), F.col("before_n") + F.col("n")
 
     def at(rank: Column) -> Column:
