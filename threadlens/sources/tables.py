@@ -36,7 +36,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     Later jobs neither repeat the work nor depend on an executor's memory.
     """
     path = new_path(df.sparkSession, label)
-    write_parquet(df, path)
+    df.write.option("compression", "zstd").parquet(path)
     staged = read_parquet(df.sparkSession, path, df.schema)
     staged.staged_at = path
     return staged
