@@ -180,3 +180,30 @@ def test_line_ends_quotes_and_empty_texts_survive_csv(spark, tmp_path):
     tables.write_csv(df, str(tmp_path / "texts"))
     back = tables.read_back_csv(spark, str(tmp_path / "texts"), "id bigint, text string")
     assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
+def test_any_saved_model_predicts_after_loading(spark, tmp_path):
+    from pyspark.ml import Pipeline
+
+    from threadlens.operators import features, models
+
+    df = spark.createDataFrame([("a b", 1.0), ("b c", 2.0), ("c c a", 3.0)] * 5, "text string, y double")
+    fitted = Pipeline(stages=[*features.tfidf_stages("text"), models.decision_tree("y")]).fit(df)
+    boosted = models.boosted_trees("y", rounds=2, depth=2).fit(fitted.transform(df).drop("prediction"))
+    for name, model in {"pipe": fitted, "tree": fitted.stages[-1], "boost": boosted}.items():
+        models.save_model(model, str(tmp_path / name))
+        loaded = models.load_model(str(tmp_path / name))
+        rows = df if name == "pipe" else fitted.transform(df).drop("prediction")
+        assert loaded.transform(rows).filter("prediction is null").count() == 0
+
+
+def test_a_trained_scorer_can_leave_texts_neutral(spark, tmp_path):
+    from threadlens.operators import models
+
+    rows = [("bad awful", 1.0), ("good fine", 0.0)] * 10
+    model = models.train_sentiment(spark.createDataFrame(rows, "t string, y double"), "t", "y")
+    texts_ = spark.createDataFrame([(1, "bad"), (2, "good"), (3, "unseen"), (4, None)], "id int, t string")
+    found = sentiments.scored_by_model(texts_, "t", model)
+    assert {r.id: r.sentiment for r in found.collect()} == {1: "negative", 2: "positive", 3: "neutral", 4: None}
+    sentiments.save_tables({"scored": found}, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out" / "scored")).count() == 4

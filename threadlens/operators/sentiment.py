@@ -19,6 +19,7 @@ from threadlens.functions.words import SENTIMENTS
 from threadlens.operators.joins import attach_group_value, join_series
 from threadlens.operators.reshape import true_flags
 from threadlens.operators.summary import count_by, normalise, pivot_counts, ratio
+from threadlens.sources.tables import stage
 
 
 def lexicon_score(tokens: Column, lexicon: Mapping[str, float]) -> Column:
@@ -66,8 +67,11 @@ def polarization(
 def with_polarization(
     df: DataFrame, group: str = "subreddit", groups: Sequence[str] | None = None
 ) -> DataFrame:
-    scores = polarization(df, group).select(group, "polarization_score")
-    return attach_group_value(df, scores, group, groups)
+    """Each row with its group's score. The rows are written once, so texts are scored once
+    for both sides of the join."""
+    rows = stage(df, "scored-rows")
+    scores = polarization(rows, group).select(group, "polarization_score")
+    return attach_group_value(rows, scores, group, groups)
 
 
 def topic_share(df: DataFrame, flags: Sequence[str], absent_as_zero: bool = True) -> DataFrame:

@@ -18,6 +18,7 @@ from threadlens.functions.timeparts import (
 from threadlens.functions.words import REMOVED_BODIES, REMOVED_TITLES, TOPIC_TERMS
 from threadlens.operators import cleaning, joins, sampling, summary
 from threadlens.operators.ranks import global_quantile
+from threadlens.sources.tables import stage
 
 # Fixed values of the study.
 COMMUNITIES = ["politics", "Republican", "democrats"]
@@ -35,10 +36,12 @@ def sampled_posts(
     per_community: int = POSTS_PER_COMMUNITY,
     seed: str = "",
 ) -> DataFrame:
-    """Equally many posts per community, without removed titles."""
+    """Equally many posts per community, without removed titles; written once, so that the
+    tables made of them do not sample the archive again."""
     posts = cleaning.keep_communities(submissions, communities)
     posts = cleaning.drop_sentinels(posts, "title", REMOVED_TITLES).select(*POST_COLUMNS)
-    return sampling.sample_per_group(posts, "subreddit", "id", per_community, seed, communities)
+    picked = sampling.sample_per_group(posts, "subreddit", "id", per_community, seed, communities)
+    return stage(picked, "posts")
 
 
 def first_level_comments(comments: DataFrame, communities: Sequence[str] = COMMUNITIES) -> DataFrame:

@@ -4,17 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from threadlens.functions.words import TOPIC_TERMS
-from threadlens.operators import sentiment
+from threadlens.operators import models, sentiment
 from threadlens.operators.summary import count_by
+from threadlens.sources.tables import stage, write_parquet
 
 TOPIC_FLAGS = [f"dummy_{name}" for name in TOPIC_TERMS]
 
 
 def scored(texts: DataFrame, text: str, lexicon: Mapping[str, float], margin: float = 0.0) -> DataFrame:
-    return sentiment.score_texts(texts, text, lexicon, margin).drop("sentiment_score")
+    """Scored texts, written once: every table that follows reads them."""
+    return stage(sentiment.score_texts(texts, text, lexicon, margin).drop("sentiment_score"), "scored")
+
+
+def scored_by_model(
+    texts: DataFrame, text: str, model: PipelineModel, above: float = 0.6, below: float = 0.4
+) -> DataFrame:
+    """The same by a trained scorer; probabilities between the limits are neutral."""
+    return stage(models.trained_sentiment(model, texts, text, above, below), "scored")
+
+
+def save_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
+    """Each result table as parquet below a folder."""
+    for name, table in tables.items():
+        write_parquet(table, f"{folder}/{name}")
 
 
 def comment_tables(comments: DataFrame) -> dict[str, DataFrame]:
