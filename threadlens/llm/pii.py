@@ -55,7 +55,7 @@ HINTS = {
 AROUND = 24
 
 #: Decided proposals of each label that the trees learn from at most, those of smallest hash.
-PER_LABEL = 20_000
+PER_LABEL = 5_000
 TREES = 20
 DEPTH = 3
 #: Share of held-out proposals above a threshold that must be right.
@@ -199,8 +199,11 @@ def decided(spans: DataFrame) -> DataFrame:
         F.first("match").alias("match"), F.first("before").alias("before"), F.first("after").alias("after"),
     )
     one = one.withColumn("base", F.col("strict") & holds(F.col("kind"), F.col("match")))
-    reach = Window.partitionBy("row").orderBy("start", "end")
-    earlier, later = reach.rowsBetween(Window.unboundedPreceding, -1), reach.rowsBetween(1, Window.unboundedFollowing)
+    # Running values in both directions; a frame that looks ahead would be worked out anew for each row.
+    reach, back = ["start", "end", "kind"], [F.desc("start"), F.desc("end"), F.desc("kind")]
+    earlier, later = (
+        Window.partitionBy("row").orderBy(*o).rowsBetween(Window.unboundedPreceding, -1) for o in (reach, back)
+    )
     base_end, base_start = F.when(F.col("base"), F.col("end")), F.when(F.col("base"), F.col("start"))
     touched = F.coalesce(F.max(base_end).over(earlier) > F.col("start"), F.lit(False)) | F.coalesce(
         F.min(base_start).over(later) < F.col("end"), F.lit(False)
