@@ -28,7 +28,7 @@ LENGTH = 200
 GRAM = 32
 INSIDE = LENGTH - GRAM + 1
 #: Bytes looked at together; longer documents are looked at in overlapping pieces.
-PIECE = 1 << 20
+PIECE = 1 << 17
 
 # Odd multipliers that mix two ids into one.
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -269,7 +269,7 @@ def _per_text(docs: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def repeated_starts(docs: DataFrame) -> DataFrame:
-    """(row, first, last): ranges of places at which a repeated string starts.
+    """(row, first, last): ranges of places at which a repeated string starts, as a written table.
 
     ``docs`` (row, text) is a written table whose ``row`` tells rows apart. Texts are read
     once for the anchors, and those with open buckets once for each of two refinements.
@@ -326,7 +326,11 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     again = strings.groupBy("key", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "string")
     found = strings.filter("need").join(again, ["key", "string"], "left_semi")
     done.append(found.select("row", F.col("place").alias("first"), F.col("place").alias("last")))
-    return done[0].unionAll(done[1]).unionAll(done[2])
+    starts = stage(done[0].unionAll(done[1]).unionAll(done[2]), "repeats")
+    for used in (sized, known, strings):
+        drop_stage(used)
+    forget(spark)
+    return starts
 
 
 def covered(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -339,9 +343,10 @@ def covered(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        kept, removed, spans = [], [], []
+        kept, sizes, removed, spans = [], [], [], []
         for text, cell in zip(batch["text"], batch["places"]):
             raw = (text.as_py() or "").encode()
+            sizes.append(len(raw))
             if cell.values is None or not len(cell.values):
                 kept.append(raw)
                 removed.append(0)
@@ -353,8 +358,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             removed.append(int((end - start).sum()))
             spans.append(len(start))
         columns = {
-            "row": batch["row"], "kept": pa.array(kept, pa.binary()),
+            "doc_id": batch["doc_id"], "n_bytes": pa.array(sizes, pa.int64()),
             "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()),
+            "kept": pa.array(kept, pa.binary()),
         }
         yield pa.RecordBatch.from_pydict(columns)
 
@@ -367,14 +373,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     their ids. Texts of fewer than ``LENGTH`` bytes are kept whole. Other columns are not
     looked at. An empty table gives an empty result.
     """
-    wanted = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    wanted = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = stage(wanted.withColumn("row", F.monotonically_increasing_id()), "texts")
-    starts = stage(repeated_starts(rows), "repeats")
-    places = starts.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("places"))
-    joined = rows.join(places, "row", "left")
-    cut = joined.select("row", "text", "places").mapInArrow(_cut, "row bigint, kept binary, n_removed bigint, n_spans bigint")
-    sizes = rows.select("row", "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"))
-    return cut.join(sizes, "row").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept")
+    places = repeated_starts(rows).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("places"))
+    joined = rows.join(places, "row", "left").select("doc_id", "text", "places")
+    return joined.mapInArrow(_cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
 def repeat_digests(docs: DataFrame) -> DataFrame:
