@@ -29,7 +29,7 @@ ROWS = 3
 BINS = 31
 SIMILAR = 0.8
 #: Characters of text hashed together.
-PIECE = 1 << 20
+PIECE = 1 << 16
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -148,6 +148,14 @@ def line_rows(docs: DataFrame) -> DataFrame:
     return docs.select("row", "doc_id", split).filter(F.trim("line") != "")
 
 
+def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(id, line) of places (id, row, line_no); the places of a text are as many as its lines."""
+    wanted = places.groupBy("row").agg(F.collect_list(F.struct("id", "line_no")).alias("lines"))
+    texts = docs.select("row", F.split("text", "\n").alias("all")).join(wanted, "row")
+    each = texts.select("all", F.explode("lines").alias("x"))
+    return each.select("x.id", F.element_at("all", F.col("x.line_no") + 1).alias("line"))
+
+
 def kept_lines(docs: DataFrame) -> DataFrame:
     """(row, line_no) of one line per component, the first by doc_id (null last), row and number.
 
@@ -161,17 +169,15 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     places = distinct.select(F.monotonically_increasing_id().alias("id"), "at.*")
     places = stage(places, "line-places")
     forget(spark)
-    wanted = places.groupBy("row").agg(F.collect_list(F.struct("id", "line_no")).alias("lines"))
-    texts = docs.select("row", F.split("text", "\n").alias("all")).join(wanted, "row")
-    lines = texts.select("all", F.explode("lines").alias("x")).select("x.id", F.element_at("all", F.col("x.line_no") + 1).alias("line"))
-    lines = stage(lines, "lines")
+    bands = stage(lines_at(docs, places).mapInArrow(_banded, "id bigint, key bigint"), "bands")
     forget(spark)
-
-    bands = stage(lines.mapInArrow(_banded, "id bigint, key bigint"), "bands")
     shared = bands.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     met = stage(bands.join(shared.select("key", "first"), "key"), "met")
     drop_stage(bands)
     forget(spark)
+    # Only lines that share a band are compared, so only their text is kept at hand.
+    lines = stage(lines_at(docs, places.join(met.select("id").distinct(), "id", "left_semi")), "lines")
+    forget(spark)
     stars = met.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     links = stage(verified(stars, lines), "alike")
 
@@ -185,6 +191,9 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     pairs = across.join(other, "key").filter("c < d").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
     fresh = pairs.distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
     more = stage(verified(fresh, lines), "alike")
+    for used in (lines, met, labelled):
+        drop_stage(used)
+    forget(spark)
 
     # Sets already known stand for their links in the last round.
     last = components(sets.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
