@@ -3,13 +3,14 @@
 A line is the set of its runs of ``SHINGLE`` characters. Each shingle's hash puts it in one
 of ``BINS`` bins, a bin keeps its least hash, and empty bins borrow from others by a fixed
 rule. Bands of ``ROWS`` bins make candidates: a line meets the first line of each of its
-bands, and where two sets of already joined lines still share a band, all pairs across
-them. Exact Jaccard similarity decides, and union-find keeps one line per component.
+bands, then other lines that lead in turn, and where two sets of joined lines still share a
+band in the end, all pairs across them. Exact Jaccard similarity decides, and union-find keeps one line per component.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ ROWS = 3
 #: A prime number of bins; the bands read the first of them.
 BINS = 31
 SIMILAR = 0.8
+#: Rounds of leading lines before all pairs across the sets left are compared.
+ROUNDS = 3
 #: Characters of text hashed together.
 PIECE = 1 << 16
 
@@ -117,10 +120,14 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield made(ids, lines)
 
 
+@lru_cache(maxsize=64)
+def shingles(line: str) -> frozenset[str]:
+    return frozenset([line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))])
+
+
 def similarity(a: str, b: str) -> float:
     """Jaccard similarity of the shingles of two lines."""
-    x = {a[i : i + SHINGLE] for i in range(max(1, len(a) - SHINGLE + 1))}
-    y = {b[i : i + SHINGLE] for i in range(max(1, len(b) - SHINGLE + 1))}
+    x, y = shingles(a), shingles(b)
     both = len(x & y)
     return both / (len(x) + len(y) - both)
 
@@ -128,7 +135,6 @@ def similarity(a: str, b: str) -> float:
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b = batch["left"].to_pylist(), batch["right"].to_pylist()
-        # Sets of very different size cannot be alike; sizes bound the number of shingles from above only.
         near = [similarity(x, y) >= SIMILAR for x, y in zip(a, b)]
         yield pa.RecordBatch.from_arrays([batch["a"].filter(pa.array(near)), batch["b"].filter(pa.array(near))], ["a", "b"])
 
@@ -156,6 +162,23 @@ def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     return each.select("x.id", F.element_at("all", F.col("x.line_no") + 1).alias("line"))
 
 
+def _labelled(met: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, id, c): the members of each band with the set they belong to so far, as a written table."""
+    found = met.select("key", "id").join(sets, met["id"] == sets["node"], "left")
+    return stage(found.select("key", "id", F.coalesce("component", "id").alias("c")), "labelled")
+
+
+def _links(sets: DataFrame) -> DataFrame:
+    """Sets already known stand for the links that made them."""
+    return sets.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of ``id`` and ``other`` that were not compared yet."""
+    named = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+    return named.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+
+
 def kept_lines(docs: DataFrame) -> DataFrame:
     """(row, line_no) of one line per component, the first by doc_id (null last), row and number.
 
@@ -179,24 +202,36 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     lines = stage(lines_at(docs, places.join(met.select("id").distinct(), "id", "left_semi")), "lines")
     forget(spark)
     stars = met.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    links = stage(verified(stars, lines), "alike")
+    tried = stage(stars, "pairs")
+    sets = components(verified(tried, lines))
+
+    # Other lines of each band lead in turn: cheap rounds that join most of what belongs together.
+    for turn in range(ROUNDS):
+        labelled = _labelled(met, sets)
+        order = F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "c")
+        leads = labelled.groupBy("key").agg(F.min(order).alias("lead"), F.min("c").alias("low"), F.max("c").alias("high"))
+        leads = leads.filter("low <> high").select("key", F.col("lead.id").alias("other"), F.col("lead.c").alias("d"))
+        pairs = labelled.join(leads, "key").filter("c <> d")
+        fresh = stage(_untried(pairs, tried), "pairs")
+        more = stage(verified(fresh, lines), "alike")
+        drop_stage(labelled)
+        forget(spark)
+        tried = tried.unionAll(fresh)
+        if more.isEmpty():
+            break
+        sets = components(_links(sets).unionAll(more))
 
     # Bands that still hold lines of several sets: all pairs across the sets, none within one.
-    sets = components(links)
-    labelled = met.select("key", "id").join(sets, met["id"] == sets["node"], "left")
-    labelled = stage(labelled.select("key", "id", F.coalesce("component", "id").alias("c")), "labelled")
+    labelled = _labelled(met, sets)
     mixed = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("key")
     across = labelled.join(mixed, "key", "left_semi")
     other = across.select("key", F.col("id").alias("other"), F.col("c").alias("d"))
-    pairs = across.join(other, "key").filter("c < d").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-    fresh = pairs.distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    more = stage(verified(fresh, lines), "alike")
+    more = stage(verified(_untried(across.join(other, "key").filter("c < d"), tried), lines), "alike")
     for used in (lines, met, labelled):
         drop_stage(used)
     forget(spark)
 
-    # Sets already known stand for their links in the last round.
-    last = components(sets.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
+    last = components(_links(sets).unionAll(more))
     placed = places.join(last, places["id"] == last["node"], "left").withColumn("c", F.coalesce("component", "id"))
     first = placed.groupBy("c").agg(F.min(at).alias("at"))
     return first.select("at.row", "at.line_no")
