@@ -24,9 +24,9 @@ SKIPPABLE = 0x184D2A5E
 MAGIC = b"\xb1\xea\x92\x8f"
 CHECKSUMS = 0x80
 
-FILE_BYTES = 8 << 20
+FILE_BYTES = 4 << 20
 LEVEL = 3
-CACHE = 600_000
+CACHE = 200_000
 
 _encoders: dict[tuple[str, int, str | None], Encoder] = {}
 
@@ -65,11 +65,14 @@ class Encoder:
         self.words: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
+        # A space and a word is a word that follows a space: kept once, with those.
+        is_word = len(piece) > 1 and piece[0] == " " and not piece[1].isspace()
+        kept, key = (self.words, piece[1:]) if is_word else (self.pieces, piece)
+        found = kept.get(key)
         if found is None:
             letters = piece.encode().decode("latin-1").translate(self.letters)
             ids = [token.id for token in self.tokenizer.model.tokenize(letters)]
-            found = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            found = kept[key] = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
     def _learn(self, words: set[str]) -> bool:
@@ -117,6 +120,10 @@ def encoder_for(definition: str, end_id: int, pattern: str | None) -> Encoder:
     return _encoders[key]
 
 
+def forget_encoders() -> None:
+    _encoders.clear()
+
+
 def pack_file(ids: Sequence[int | None], documents: Sequence[bytes]) -> bytes:
     """One file without its last four bytes (``MAGIC``)."""
     import xxhash
@@ -226,6 +233,7 @@ def _read(spark: SparkSession, folder: str, wanted: Sequence[int] | None = None)
     asked = None if wanted is None else frozenset(wanted)
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()  # a worker that reads has written; its pieces only take room
         for batch in batches:
             for part, chunk, content in zip(batch["part"], batch["chunk"], batch["content"]):
                 raw = content.as_py()
