@@ -98,8 +98,10 @@ def stem_counts(
     df: DataFrame, ident: str, text: str, stop_words: Iterable[str] = STOP_WORDS
 ) -> DataFrame:
     """(id, term, tf) over cleaned tokens. Texts are dealt by id once; a document's words are
-    then counted, stemmed once each and added up by stem where they are."""
-    dealt = df.select(ident, text).repartition(ident)
+    then counted, stemmed once each and added up by stem where they are. The number of parts
+    is named, since stemming costs far more than the size of the texts tells Spark."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.select(ident, text).repartition(parts, ident)
     raw = dealt.select(ident, F.explode(kept_tokens(text, stop_words)).alias("_raw"))
     counts = raw.groupBy(ident, "_raw").agg(F.count(F.lit(1)).alias("_n"))
     stems = counts.select(ident, stem_word("_raw").alias("term"), "_n")
