@@ -17,7 +17,7 @@ from threadlens.operators import corpus, features, metrics, models, sampling
 from threadlens.session import new_path
 from threadlens.sources.tables import stage
 
-#: Rows per class that the forests are fitted on and tried with at most, those of smallest hash.
+#: Rows per class that the forests are fitted on at most, those of smallest hash; all test rows are tried.
 PER_CLASS = 50
 #: Rows that a regressor is fitted on at most, those of smallest hash; it predicts all others.
 FIT_ROWS = 200
@@ -39,8 +39,7 @@ def balanced_texts(spark, folder):
     """Cleaned texts, equally many per language; cleaned once for all the fits that follow."""
     docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
     balanced = sampling.balance_classes(docs, "lang", "doc_id", groups=LANGUAGES)
-    few = sampling.sample_per_group(balanced, "lang", "doc_id", PER_CLASS, groups=LANGUAGES)
-    return stage(corpus.clean_column(few.repartition("doc_id"), "text"), "texts")
+    return stage(corpus.clean_column(balanced.repartition("doc_id"), "text"), "texts")
 
 
 def vectors(df, text="text"):
@@ -100,7 +99,8 @@ def forest_facts(spark, folder, **options):
     """Rows tried, and whether the measures fit together and beat the largest class."""
     _, rows = vectors(balanced_texts(spark, folder))
     train, test = sampling.hash_split(rows, "doc_id")
-    scored = models.fit_forest(train, "lang", **options).transform(test)
+    few = stage(sampling.sample_per_group(train, "lang", "doc_id", PER_CLASS, groups=LANGUAGES), "learned")
+    scored = models.fit_forest(few, "lang", **options).transform(test)
     found = stage(scored.select("lang", "label_ix", "prediction", "predicted_label"), "scored")
     measured = metrics.class_metrics(found, "label_ix", "prediction").select("accuracy", "weighted_recall")
     largest = found.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
