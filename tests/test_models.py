@@ -2,6 +2,8 @@
 
 import compare
 from threadlens.checks import models as checks
+from threadlens.checks.registry import table
+from threadlens.operators import features, models, sampling
 
 
 def test_forests_try_every_row_whatever_they_are_fitted_on(spark, folder, monkeypatch):
@@ -10,3 +12,13 @@ def test_forests_try_every_row_whatever_they_are_fitted_on(spark, folder, monkey
     # The smallest class has 17 rows here, which the cap of 50 in the SQL leaves whole.
     rows, named, largest, *_ = compare.connect(folder).execute(checks.FOREST_SQL).fetchone()
     assert (found.test_rows, found.named_rows, found.largest_class) == (rows, named, largest)
+
+
+def test_terms_and_trees_learn_from_all_training_rows(spark, folder, monkeypatch):
+    monkeypatch.setattr(checks, "FIT_ROWS", 10, raising=False)
+    docs, _ = sampling.hash_split(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    lists = [r.w for r in docs.select(features.spark_tokens("text").alias("w")).collect()]
+    text_model, _, learned, _ = checks.regression_run(spark, folder, models.decision_tree("target", depth=2))
+    assert set(features.vocabulary_of(text_model)) == {w for some in lists for w in some}
+    assert text_model.stages[-1].numDocs == learned.count() == len(lists) > 10
+    assert learned.rdd.getNumPartitions() > 1

@@ -19,8 +19,6 @@ from threadlens.sources.tables import stage
 
 #: Rows per class that the forests are fitted on at most, those of smallest hash; all test rows are tried.
 PER_CLASS = 50
-#: Rows that a regressor is fitted on at most, those of smallest hash; it predicts all others.
-FIT_ROWS = 200
 
 TESTED = "('0x' || substr(md5(doc_id::varchar), 1, 8))::bigint % 100 >= 80"
 BALANCED = f"""sizes as (select lang, count(*) as n from documents where lang in ('de', 'en', 'es', 'fr') group by lang),
@@ -42,20 +40,21 @@ def balanced_texts(spark, folder):
     return stage(corpus.clean_column(balanced.repartition("doc_id"), "text"), "texts")
 
 
-def vectors(df, text="text"):
-    model = features.fit_tfidf(df, text)
-    return model, stage(model.transform(df).drop("words", "rawFeatures", text), "vectors")
+def vectors(model, df, text="text"):
+    return stage(model.transform(df).drop("words", "rawFeatures", text), "vectors")
 
 
-def fit_rows(train):
-    return train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
+def dealt(df):
+    """Rows in a named number of parts: a fit costs far more than the size of the texts tells Spark."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
 
 
 def regression_run(spark, folder, estimator):
-    """The fitted text and tree models, the rows learned from and those tried."""
+    """The text and tree models, both fitted on all training rows, these rows and those tried."""
     train, test = sampling.hash_split(length_texts(spark, folder), "doc_id")
-    text_model, few = vectors(fit_rows(train))
-    return text_model, estimator.fit(few), few, text_model.transform(test)
+    text_model = features.fit_tfidf(dealt(train), "text")
+    rows = dealt(vectors(text_model, train))
+    return text_model, estimator.fit(rows), rows, text_model.transform(test)
 
 
 def regression_facts(spark, folder, estimator):
@@ -97,10 +96,10 @@ def gbt_reg(spark, folder):
 
 def forest_facts(spark, folder, **options):
     """Rows tried, and whether the measures fit together and beat the largest class."""
-    _, rows = vectors(balanced_texts(spark, folder))
-    train, test = sampling.hash_split(rows, "doc_id")
-    few = stage(sampling.sample_per_group(train, "lang", "doc_id", PER_CLASS, groups=LANGUAGES), "learned")
-    scored = models.fit_forest(few, "lang", **options).transform(test)
+    train, test = sampling.hash_split(balanced_texts(spark, folder), "doc_id")
+    text_model = features.fit_tfidf(dealt(train), "text")
+    few = vectors(text_model, sampling.sample_per_group(train, "lang", "doc_id", PER_CLASS, groups=LANGUAGES))
+    scored = models.fit_forest(dealt(few), "lang", **options).transform(text_model.transform(dealt(test)))
     found = stage(scored.select("lang", "label_ix", "prediction", "predicted_label"), "scored")
     measured = metrics.class_metrics(found, "label_ix", "prediction").select("accuracy", "weighted_recall")
     largest = found.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
@@ -159,7 +158,7 @@ from documents where {TESTED}""")
 def save_load_predict(spark, folder):
     """A saved pipeline and the bare tree in it, loaded again, predict alike."""
     train, test = sampling.hash_split(length_texts(spark, folder), "doc_id")
-    fitted = Pipeline(stages=[*features.tfidf_stages("text"), models.decision_tree("target")]).fit(fit_rows(train))
+    fitted = Pipeline(stages=[*features.tfidf_stages("text"), models.decision_tree("target")]).fit(dealt(train))
     paths = [new_path(spark, "model"), new_path(spark, "tree")]
     models.save_model(fitted, paths[0])
     models.save_model(fitted.stages[-1], paths[1])
