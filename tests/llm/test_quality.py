@@ -79,3 +79,28 @@ def test_features_of_odd_texts():
     for text in (None, "", " ", "\n\n", "a", "日本語" * 1000, "x" * 100_000, "\x00\x01"):
         found = quality.describe(text)
         assert len(found) == len(quality.FEATURES) and all(abs(v) < 1e6 for v in found)
+
+
+def test_the_threshold_covers_all_labelled_rows(spark, monkeypatch):
+    monkeypatch.setattr(quality, "PER_LABEL", 25)
+    rng = random.Random(8)
+    rows, labels = [], []
+    for k, text in enumerate(sentences(9, 900)):
+        words = text.split()
+        good = k % 7 > 0
+        marked = rng.random() < (0.35 if good else 0.75)
+        share = rng.random() * (0.3 if marked else 0.1)
+        rows.append((k, " ".join(w + "!" if rng.random() < share else w for w in words), "s"))
+        labels.append((k, int(good), 0, 9, "x"))
+    weights, threshold = quality.learn(documents(spark, rows), table(spark, labels))
+    learned = [
+        (sum(w * x for w, x in zip(weights, quality.describe(t))), labels[i][1])
+        for i, t, _ in rows
+        if zlib.crc32(str(i).encode()) % 3 != 1
+    ]
+
+    def wrong(cut):
+        return sum((s > cut) != bool(q) for s, q in learned)
+
+    scores = sorted({s for s, _ in learned})
+    assert wrong(threshold) == min(wrong((a + b) / 2) for a, b in zip(scores, scores[1:]))

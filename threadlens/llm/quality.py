@@ -2,8 +2,8 @@
 
 Preference pairs set a document of label 1 over one of label 0. A logistic fit on the
 differences of their features gives each feature a weight; a document's strength is the
-weighted sum of its features. The threshold is the quantile of the strengths of the
-labelled documents that tells the two labels apart best.
+weighted sum of its features. The threshold is the quantile of the strengths of all
+labelled documents that are not held out that tells the two labels apart best.
 """
 
 from __future__ import annotations
@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.llm.common import columns_free_of, importable
-from threadlens.sources.tables import stage
+from threadlens.operators.ranks import exact_quantiles, running_totals
+from threadlens.sources.tables import drop_stage, stage
 
-#: At most so many labelled documents of each label are learned from, those of smallest hash.
+#: At most so many labelled documents of each label the weights are fitted on, those of smallest hash.
 PER_LABEL = 20_000
 #: Pairs per labelled document of label 1.
 RIVALS = 4
@@ -89,14 +90,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def known_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, label) of the labels that are not held out."""
+    named = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("label"))
+    return named.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
+
+
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, label, f) of the labelled documents learned from, a bounded number."""
-    known = (
-        labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("label"))
-        .filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-        .distinct()
-        .withColumn("at", F.xxhash64("doc_id"))
-    )
+    """(doc_id, label, f) of the labelled documents that the weights are fitted on, a bounded number."""
+    known = known_labels(labels).withColumn("at", F.xxhash64("doc_id"))
     some = None
     for label in (0, 1):
         part = known.filter(F.col("label") == label).orderBy("at", "doc_id").limit(PER_LABEL).drop("at")
@@ -106,6 +108,15 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(some), "doc_id").select("doc_id", "label", features("text").alias("f"))
 
 
+def all_labelled(docs: DataFrame, labels: DataFrame, weights: list[float]) -> DataFrame:
+    """(label, raw) of every labelled document that is not held out; scored first, so that no text is shuffled."""
+    ident = F.col("doc_id").cast("bigint")
+    texts = docs.select(ident.alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    scored = texts.select("doc_id", features("text").alias("f")).select("doc_id", strength("f", weights).alias("raw"))
+    return scored.join(known_labels(labels), "doc_id").select("label", "raw")
+
+
 def preference_pairs(rows: DataFrame) -> DataFrame:
     """(label, d): differences of features of better and worse documents, half of them turned.
 
@@ -149,25 +160,32 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[list[float], float]:
     pairs = stage(pairs, "pairs")
     fit = LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=60)
     weights = [float(w) for w in fit.fit(pairs).coefficients]
-    return weights, best_quantile(rows.select("label", strength("f", weights).alias("raw")))
+    return weights, best_quantile(all_labelled(docs, labels, weights))
 
 
 def best_quantile(scored: DataFrame) -> float:
     """The cut between two neighbouring scores with the fewest labelled rows on the wrong side.
 
-    Of equally good cuts it takes the middle one. The rows are a bounded number.
+    Of equally good cuts it takes the middle one. Rows are counted per score first.
     """
-    order = Window.orderBy("raw").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     per_score = scored.groupBy("raw").agg(
-        F.sum(F.expr("if(label = 0, 1, 0)")).alias("zeros"), F.sum("label").alias("ones")
+        F.sum(F.expr("if(label = 0, 1, 0)")).alias("zeros"), F.sum("label").alias("ones"), F.lit(1).alias("places")
     )
-    cuts = per_score.select(
+    counted = stage(per_score, "scores")
+    totals = stage(running_totals(counted, [], "raw", ["zeros", "ones", "places"]), "totals")
+    drop_stage(counted)
+    cuts = totals.select(
         "raw",
-        F.lead("raw").over(Window.orderBy("raw")).alias("next"),
-        (F.sum("zeros").over(order) - F.sum("ones").over(order)).alias("gain"),
-    ).filter("next is not null")
-    best = cuts.agg(F.max("gain")).scalar()
-    middle = cuts.filter(F.col("gain") == best).agg(F.expr("percentile((raw + next) / 2, 0.5)")).first()[0]
+        (F.col("before_places") + 1).alias("place"),
+        (F.col("before_zeros") + F.col("zeros") - F.col("before_ones") - F.col("ones")).alias("gain"),
+    ).filter(F.col("before_places") + 1 < F.col("total_places"))
+    best = cuts.filter(F.col("gain") == cuts.agg(F.max("gain")).scalar())
+    after = totals.select(F.col("before_places").alias("place"), F.col("raw").alias("next"))
+    middles = best.join(after, "place").select(((F.col("raw") + F.col("next")) / 2).alias("cut"))
+    few = stage(middles, "cuts")
+    drop_stage(totals)
+    middle = exact_quantiles(few, [], "cut", {"q": 0.5}).first()[0]
+    drop_stage(few)
     return float(middle) if middle is not None else 0.0
 
 
