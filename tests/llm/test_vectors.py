@@ -94,3 +94,26 @@ def test_pruning_drops_what_a_nearer_one_hides():
 @pytest.mark.parametrize("rows", [[], [(1, [1.0]), (2, [2.0])]])
 def test_tiny_tables(spark, rows):
     assert found(spark, rows) == slow(rows)
+
+
+def test_links_to_oneself_do_not_hide_lost_ones(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(100 * k, v) for k, v in enumerate(np.eye(210))]
+    rows += [(100 * 300, rows[0][1])]
+    rows[-1] = (rows[-1][0], rows[0][1] + 0.1 * rows[1][1])
+    units = vectors.unit_vectors(table(spark, rows))
+    nodes = units.select(F.col("vec_id").alias("rep"), F.col("vec_id").alias("node"), "unit", F.lit(1).cast("bigint").alias("weight"))
+    counts = spark.createDataFrame([(i, 1) for i, _ in rows], "node bigint, n bigint")
+    assert vectors.audited_recall(nodes, counts) == 0
+    assert vectors.audited_recall(nodes.filter("node <> 30000"), counts) == 1
+
+
+@pytest.mark.filterwarnings("ignore")
+def test_lost_links_are_found_by_comparing_all(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SHARD", 20)
+    monkeypatch.setattr(vectors, "TASK", 50)
+    monkeypatch.setattr(vectors, "EFFORTS", [(1, 1)])
+    rows = [(100 * k, v) for k, v in clouds(7, 2, 90, noise=0.22)]
+    rows += [(100 * k + 1, rows[0][1]) for k in range(300)]
+    assert found(spark, rows) == slow(rows)

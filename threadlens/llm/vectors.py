@@ -4,12 +4,12 @@ Vectors are cut into overlapping shards around cluster centres. Each shard's vec
 flat graph with robust pruning, a vector's neighbour lists of all its shards are put
 together, and every vector is then searched from the shards' medoids: greedily at first,
 then outwards over all vectors within range. Links are verified in double precision, and
-the recall is audited against a comparison with all vectors.
+the recall is audited against a comparison with all vectors; while it is too low the search
+is widened, and in the end all vectors are compared.
 """
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,13 +33,13 @@ PER_CLUSTER = 32
 TASK = 2500
 NEAR = 24
 FAR = 8
-#: (shards per vector, width of the beam), widened while the audited recall is too low.
+#: (shards per vector, width of the beam), widened while the audited recall is too low; then all are compared.
 EFFORTS = [(2, 32), (3, 64), (6, 128)]
 RECALL = 0.99
 AUDITED = 500
 
 _GRAPH = pa.schema([("node", pa.int64()), ("near", pa.list_(pa.int64()))])
-_FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+_FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("met", pa.int64())])
 
 
 def unit_vectors(vectors: DataFrame) -> DataFrame:
@@ -218,9 +218,12 @@ def _graph(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(nodes), pa.array(near, pa.list_(pa.int64()))], schema=_GRAPH)
 
 
-def _searcher(beam: int):
+def _searcher(beam: int | None):
     def search(table: pa.Table) -> pa.Table:
-        """Links of one task: its forest over the nodes, and how many own nodes each query found."""
+        """Links of one task: its forest over the nodes, and how many own rows and nodes each query found.
+
+        Without a beam, each query is compared with all nodes here.
+        """
         query_only = table["only"].to_numpy(zero_copy_only=False)
         nodes, own = table["node"].to_numpy(), table["own"].to_numpy(zero_copy_only=False)
         weight = table["weight"].to_numpy()
@@ -229,18 +232,24 @@ def _searcher(beam: int):
         if not len(held):
             return _FOUND.empty_table()
         ids = nodes[held]
-        order = np.argsort(ids)
-        near = []
-        for some in table["near"].take(pa.array(held)).to_pylist():
-            some = np.array(some or [], dtype=np.int64)
-            spot = order[np.minimum(np.searchsorted(ids, some, sorter=order), len(ids) - 1)]
-            near.append(np.unique(spot[ids[spot] == some]))
-        graph = Search(x[held], near)
+        if beam is not None:
+            order = np.argsort(ids)
+            near = []
+            for some in table["near"].take(pa.array(held)).to_pylist():
+                some = np.array(some or [], dtype=np.int64)
+                spot = order[np.minimum(np.searchsorted(ids, some, sorter=order), len(ids) - 1)]
+                near.append(np.unique(spot[ids[spot] == some]))
+            graph = Search(x[held], near)
         asks = np.flatnonzero(table["asks"].to_numpy(zero_copy_only=False))
         query, node = [], []
         spots = {int(i): k for k, i in enumerate(ids)}
         for first in range(0, len(asks), 1000):
             some = asks[first : first + 1000]
+            if beam is None:
+                r, c = np.nonzero(x[some] @ x[held].T >= COSINE - 1e-9)
+                query.append(some[r])
+                node.append(c)
+                continue
             r, c = graph.run(x[some], beam)
             query.append(some[r])
             node.append(c)
@@ -261,27 +270,36 @@ def _searcher(beam: int):
         q, c = q[sure], held[c[sure]]
         count = np.zeros(len(nodes), dtype=np.int64)
         np.add.at(count, q[own[c]], weight[c[own[c]]])
+        met_here = np.bincount(q[own[c]], minlength=len(nodes))
         label = join_roots(np.arange(len(nodes)), q, c)
         linked = np.flatnonzero((label != np.arange(len(nodes))) | (count > 0))
         return pa.Table.from_arrays(
-            [pa.array(nodes[linked]), pa.array(nodes[label[linked]]), pa.array(count[linked])], schema=_FOUND
+            [pa.array(nodes[linked]), pa.array(nodes[label[linked]]), pa.array(count[linked]), pa.array(met_here[linked])],
+            schema=_FOUND,
         )
 
     return search
 
 
-def searched(nodes: DataFrame, centre: np.ndarray, shards: int, beam: int) -> DataFrame:
-    """(a, b, n) rows: a is linked into b's component; n more links of a were found."""
+def searched(nodes: DataFrame, centre: np.ndarray, shards: int, beam: int | None) -> DataFrame:
+    """(a, b, n, met) rows: a is linked into b's component; n more links of a, to met more nodes, were found.
+
+    Without a beam no graph is built: what shares a cluster is compared.
+    """
     members = stage(assigned(nodes, centre, shards), "members")
     # A cluster's size, and into how many parts its nodes go: a row per cluster, at most CLUSTERS.
     sizes = members.groupBy("shard").agg(F.count(F.lit(1)).alias("size"))
     parts = F.broadcast(sizes.select("shard", F.ceil(F.col("size") / TASK).cast("bigint").alias("parts")))
     dealt = members.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
-    built = dealt.groupBy("shard", "part").applyInArrow(_graph, "node bigint, near array<bigint>")
-    lists = built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+    if beam is None:
+        linked = dealt.withColumn("near", F.lit(None).cast("array<bigint>"))
+    else:
+        built = dealt.groupBy("shard", "part").applyInArrow(_graph, "node bigint, near array<bigint>")
+        lists = built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+        linked = dealt.join(lists, "node")
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("other")
     # A cluster in one part is one task. Of a larger one, each part of its nodes meets each part of its searches.
-    held = dealt.join(lists, "node").select("shard", "part", every, "node", "weight", "unit", "own", "near")
+    held = linked.select("shard", "part", every, "node", "weight", "unit", "own", "near")
     held = held.withColumn("asks", F.col("part") == F.col("other")).withColumn("only", F.lit(False))
     asking = (
         dealt.filter("parts > 1")
@@ -294,13 +312,15 @@ def searched(nodes: DataFrame, centre: np.ndarray, shards: int, beam: int) -> Da
         )
     )
     tasks = held.unionByName(asking)
-    return tasks.groupBy("shard", "part", "other").applyInArrow(_searcher(beam), "a bigint, b bigint, n bigint")
+    return tasks.groupBy("shard", "part", "other").applyInArrow(_searcher(beam), "a bigint, b bigint, n bigint, met bigint")
 
 
 def audited_recall(nodes: DataFrame, counts: DataFrame) -> float:
     """Links found over links there are, for a bounded number of vectors compared with all.
 
-    The vectors are those of smallest hash whose id is divisible by 100.
+    The vectors are those of smallest hash whose id is divisible by 100. ``counts`` says how many
+    nodes each has found (node, n), itself among them. That one is sure, and so are folded
+    copies: only links between different nodes count, each once.
     """
     asked = nodes.filter("rep % 100 = 0").orderBy(F.xxhash64("node"), "node").limit(AUDITED)
     rows = asked.join(counts, "node", "left").select("node", "unit", F.coalesce("n", F.lit(0)).alias("n")).collect()
@@ -314,12 +334,13 @@ def audited_recall(nodes: DataFrame, counts: DataFrame) -> float:
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                total += (q @ _matrix(part["unit"]).T >= COSINE) @ part["weight"].to_numpy()
+                total += (q @ _matrix(part["unit"]).T >= COSINE).sum(axis=1)
         yield pa.RecordBatch.from_pydict({"q": np.arange(len(q)), "n": total})
 
-    there = nodes.select("unit", "weight").mapInArrow(compared, "q bigint, n bigint").groupBy("q").agg(F.sum("n").alias("n"))
-    truth = {r.q: r.n for r in there.collect()}  # a row per audited vector
-    return sum(min(r.n, truth[k]) for k, r in enumerate(rows)) / max(1, sum(truth.values()))
+    there = nodes.select("unit").mapInArrow(compared, "q bigint, n bigint").groupBy("q").agg(F.sum("n").alias("n"))
+    truth = {r.q: r.n - 1 for r in there.collect()}  # a row per audited vector
+    links = sum(truth.values())
+    return sum(max(0, min(r.n - 1, truth[k])) for k, r in enumerate(rows)) / links if links > 0 else 1.0
 
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:
@@ -341,11 +362,12 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
         centre = centres(mine, n)
         for shards, beam in EFFORTS:
             links = stage(searched(mine.select("node", "weight", "unit"), centre, shards, beam), "found")
-            recall = audited_recall(mine, links.groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "node"))
+            recall = audited_recall(mine, links.groupBy(F.col("a").alias("node")).agg(F.sum("met").alias("n")))
             if recall >= RECALL:
                 break
         else:
-            warnings.warn(f"the audited recall of vectors of length {w // 8} is {recall:.3f}", stacklevel=2)
+            # All in one cluster, whose parts meet each other.
+            links = stage(searched(mine.select("node", "weight", "unit"), centre[:1], 1, None), "found")
         found = links if found is None else found.unionAll(links)
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"))
     if found is None:
