@@ -103,3 +103,15 @@ def test_no_python_in_the_plan(spark):
 def test_empty_tables_and_texts(spark, text):
     assert pii.personal_data(documents(spark, [])).count() == 0
     assert pii.personal_data(documents(spark, [(1, text, "s")])).first().base_sha256 == EMPTY
+
+
+def test_a_rare_kind_is_judged_among_many_others(spark, monkeypatch):
+    monkeypatch.setattr(pii, "PER_LABEL", 40)
+    rng = random.Random(6)
+    rows = [(k, f"write to u{k}@mail{k % 90}.com or ping host 1.2.3.{k % 700} today", "s") for k in range(1500)]
+    for k in range(60):
+        shown = re.sub("(....)(?!$)", r"\1 ", card(rng))
+        rows.append((2000 + k, f"my card {shown} please, order {rng.randint(10**12, 10**13)} sent", "s"))
+    rows.append((5000, "my card 4012/8888/8888/1881 please", "s"))
+    found = check(spark, rows)
+    assert found[5000] == ["card:8:27"]

@@ -4,8 +4,8 @@ Spans that a strict format proves (an address, four numbers up to 255, a card nu
 passes its check, an international number of telephone length) always stand. Looser
 generators propose more, overlapping each other and the strict ones. Boosted trees learn
 from the proposals that the formats decide, by the shape of the span and the words around
-it, and score those that they leave open; per kind, the least score at which held-out
-proposals are nearly all right is the threshold to be added.
+it, and score those that they leave open; per kind, the least score at which all its held-out
+proposals together are nearly all right is the threshold to be added.
 
 Everything here is a Spark SQL function or an MLlib stage: no row is handled by Python.
 """
@@ -19,6 +19,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadlens.operators.ranks import running_totals
 from threadlens.sources.tables import stage
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -54,7 +55,7 @@ HINTS = {
 }
 AROUND = 24
 
-#: Decided proposals of each label that the trees learn from at most, those of smallest hash.
+#: Different decided proposals of each kind and label that the trees learn from at most, those of smallest hash.
 PER_LABEL = 5_000
 TREES = 20
 DEPTH = 3
@@ -220,26 +221,35 @@ def additions(marked: DataFrame) -> DataFrame:
     """
     nothing = marked.select("row", "kind", "start", "end").filter(F.lit(False))
     scored = marked.select("row", "kind", "start", "end", "label", F.array(*_features()).alias("f"))
-    key = F.xxhash64("kind", "f", "start")
-    known = scored.filter("label is not null").withColumn("h", key)
+    # Equal proposals are folded; a fifth of each fold, rounded by its hash, is held out.
+    known = scored.filter("label is not null").groupBy("kind", "label", "f").agg(F.count(F.lit(1)).alias("n"))
+    known = known.withColumn("h", F.xxhash64("kind", "f", "label"))
+    held = F.floor((F.col("n") + F.pmod("h", F.lit(5))) / 5)
+    known = known.withColumn("held", held).withColumn("features", array_to_vector("f")).drop("f")
+    folded = stage(known, "decided")
     some = None
-    for label in (0.0, 1.0):
-        part = known.filter(F.col("label") == label).orderBy("h", "row", "start").limit(PER_LABEL)
-        some = part if some is None else some.unionAll(part)
-    some = stage(some.select("label", "kind", "h", array_to_vector("f").alias("features")), "decided")
-    learnt, kept_out = some.filter("pmod(h, 5) > 0"), some.filter("pmod(h, 5) = 0")
+    for kind in KINDS:
+        for label in (0.0, 1.0):
+            fits = folded.filter((F.col("kind") == kind) & (F.col("label") == label) & (F.col("n") > F.col("held")))
+            part = fits.orderBy("h").limit(PER_LABEL)
+            some = part if some is None else some.unionAll(part)
+    # Kinds weigh the same, however many proposals they have. The rows are a bounded number.
+    share = F.col("n") - F.col("held")
+    learnt = some.withColumn("w", share / F.sum(share).over(Window.partitionBy("kind")) * F.count(F.lit(1)).over(Window.partitionBy("kind")))
+    learnt = stage(learnt.select("label", "features", F.col("w").cast("double").alias("w")), "learnt")
     if learnt.select("label").distinct().count() < 2:
         return nothing
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=11).fit(learnt)
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=11, weightCol="w").fit(learnt)
     right = vector_to_array("probability")[1]
     # Per kind the least held-out score from which on nearly all are right; never below a half.
-    order = Window.partitionBy("kind").orderBy(F.desc("p")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    judged = model.transform(kept_out).select("kind", "label", right.alias("p"))
+    judged = model.transform(folded.filter("held > 0")).select("kind", "label", "held", (-right).alias("falling"))
+    per_score = judged.groupBy("kind", "falling").agg(F.sum("held").alias("n"), F.sum(F.col("held") * F.col("label")).alias("ones"))
+    totals = running_totals(stage(per_score, "scores"), ["kind"], "falling", ["n", "ones"])
+    precision = (F.col("before_ones") + F.col("ones")) / (F.col("before_n") + F.col("n"))
     limits = (
-        judged.withColumn("precision", F.avg("label").over(order))
-        .filter((F.col("precision") >= PRECISION) & (F.col("p") >= 0.5))
+        totals.filter((precision >= PRECISION) & (F.col("falling") <= -0.5))
         .groupBy("kind")
-        .agg(F.min("p").alias("limit"))
+        .agg((-F.max("falling")).alias("limit"))
     )
     open_ = scored.filter("label is null").select("row", "kind", "start", "end", array_to_vector("f").alias("features"))
     chosen = model.transform(open_).select("row", "kind", "start", "end", right.alias("p"))
