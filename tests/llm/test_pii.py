@@ -115,3 +115,9 @@ def test_a_rare_kind_is_judged_among_many_others(spark, monkeypatch):
     rows.append((5000, "my card 4012/8888/8888/1881 please", "s"))
     found = check(spark, rows)
     assert found[5000] == ["card:8:27"]
+
+
+def test_only_kept_spans_shut_others_out(spark):
+    rows = [(1, "card", 0, 10), (1, "card", 5, 20), (1, "phone", 15, 30), (1, "card", 30, 31), (2, "ip", 5, 20), (2, "ip", 6, 7), (2, "ip", 20, 21)]
+    found = pii.kept_apart(spark.createDataFrame(rows, "row bigint, kind string, start int, end int")).collect()
+    assert sorted(map(tuple, found)) == [(1, "card", 0, 10), (1, "card", 30, 31), (1, "phone", 15, 30), (2, "ip", 5, 20), (2, "ip", 20, 21)]

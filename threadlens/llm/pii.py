@@ -213,11 +213,31 @@ def decided(spans: DataFrame) -> DataFrame:
     return one.withColumn("touched", touched).withColumn("label", label)
 
 
+def kept_apart(chosen: DataFrame) -> DataFrame:
+    """Of spans (row, kind, start, end), in order, those that overlap none kept before them.
+
+    Spans are folded by runs, which end where no span before reaches over the next start.
+    """
+    order = Window.partitionBy("row").orderBy("start", "end", "kind")
+    free = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)) <= F.col("start")
+    opened = chosen.withColumn("opens", F.coalesce(free, F.lit(True)).cast("int"))
+    run = F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    span = F.struct(*[F.col(c).alias(c) for c in ("start", "end", "kind")])
+    runs = opened.withColumn("run", run).groupBy("row", "run").agg(F.array_sort(F.collect_list(span)).alias("spans"))
+    kept = F.aggregate(
+        "spans",
+        F.slice("spans", 1, 1),
+        lambda kept, s: F.when(s["start"] >= F.element_at(kept, -1)["end"], F.concat(kept, F.array(s))).otherwise(kept),
+    )
+    each = runs.select("row", F.explode(kept).alias("s"))
+    return each.select("row", "s.kind", "s.start", "s.end")
+
+
 def additions(marked: DataFrame) -> DataFrame:
     """The open proposals that the model adds: (row, kind, start, end).
 
     Without both labels to learn from, nothing is added. One proposal that overlaps an
-    earlier one is left out; those that overlap base spans are labelled already.
+    earlier one that is added is left out; those that overlap base spans are labelled already.
     """
     nothing = marked.select("row", "kind", "start", "end").filter(F.lit(False))
     scored = marked.select("row", "kind", "start", "end", "label", F.array(*_features()).alias("f"))
@@ -254,9 +274,7 @@ def additions(marked: DataFrame) -> DataFrame:
     open_ = scored.filter("label is null").select("row", "kind", "start", "end", array_to_vector("f").alias("features"))
     chosen = model.transform(open_).select("row", "kind", "start", "end", right.alias("p"))
     chosen = chosen.join(F.broadcast(limits), "kind").filter("p >= limit")  # a row per kind
-    before = Window.partitionBy("row").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    free = F.coalesce(F.max("end").over(before) <= F.col("start"), F.lit(True))
-    return chosen.withColumn("free", free).filter("free").select("row", "kind", "start", "end")
+    return kept_apart(chosen.select("row", "kind", "start", "end"))
 
 
 def _joined(spans: Column) -> Column:
