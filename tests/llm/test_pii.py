@@ -121,3 +121,12 @@ def test_only_kept_spans_shut_others_out(spark):
     rows = [(1, "card", 0, 10), (1, "card", 5, 20), (1, "phone", 15, 30), (1, "card", 30, 31), (2, "ip", 5, 20), (2, "ip", 6, 7), (2, "ip", 20, 21)]
     found = pii.kept_apart(spark.createDataFrame(rows, "row bigint, kind string, start int, end int")).collect()
     assert sorted(map(tuple, found)) == [(1, "card", 0, 10), (1, "card", 30, 31), (1, "phone", 15, 30), (2, "ip", 5, 20), (2, "ip", 20, 21)]
+
+
+@pytest.mark.parametrize(
+    "shown",
+    ["john at example dot com", "john [At] example [Dot] com", "john AT mail.example Dot com", "john (at) example dot co dot uk", "john [at] example.com"],
+)
+def test_spelled_out_addresses_are_proposed(spark, shown):
+    _, spans = pii.proposals(documents(spark, [(1, f"Ask {shown}, please", "s"), (2, "meet at noon. Then go", "s")]))
+    assert [(r.kind, r.match) for r in spans.filter("not strict").collect()] == [("email", shown)]

@@ -33,11 +33,19 @@ STRICT = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 
-_AT = r" ?[\[({] ?(?:at|AT|@) ?[\])}] ?"
-_DOT = r" ?[\[({] ?(?:dot|DOT|\.) ?[\])}] ?"
+_AT = r" ?[\[({] ?(?:(?i:at)|@) ?[\])}] ?"
+_DOT = r"(?: ?[\[({] ?(?:(?i:dot)|\.) ?[\])}] ?| +(?i:dot) +)"
+# Without brackets, "at" is a word like others, unless a "dot" follows.
+_BARE_AT = r" +(?i:at) +"
+_NAME, _HOST, _PART = r"[A-Za-z0-9._%+-]{1,64}", r"[A-Za-z0-9-]{1,63}", r"[A-Za-z0-9-]{2,63}"
+_TAIL = rf"(?:{_DOT}|\.){_PART}"
 #: Looser proposals: kind and pattern. Numbers in general are proposed as cards and as telephones.
 LOOSE = [
-    ("email", rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}{_AT}[A-Za-z0-9-]{{1,63}}(?:(?:{_DOT}|\.)[A-Za-z0-9-]{{2,63}}){{1,4}}"),
+    (
+        "email",
+        rf"(?<![A-Za-z0-9._%+-]){_NAME}(?:{_AT}{_HOST}(?:{_TAIL}){{1,4}}"
+        rf"|{_BARE_AT}{_HOST}(?:\.{_PART}){{0,3}}{_DOT}{_PART}(?:{_TAIL}){{0,3}})",
+    ),
     ("ip", r"(?<![0-9.])[0-9]{1,3}(?:(?: ?\. ?| ?[\[(]\.[\])] ?)[0-9]{1,3}){3}(?![0-9.])"),
     ("card", r"(?<![0-9])[0-9]{4}(?:[ ._/-]{1,3}[0-9]{4}){3}(?![0-9])"),
     ("card", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,14}+(?![ -]?[0-9])"),
@@ -66,7 +74,7 @@ PRECISION = 0.99
 #: Cheap patterns that a text must hold before a generator is run on it.
 POSSIBLE = {"email": "@", "ip": "[0-9][.]", "card": "[0-9](?:[ -]?[0-9]){15}", "phone": r"\+[0-9]"}
 POSSIBLE_LOOSE = {
-    "email": r"[\[({] ?(?:at|AT|@) ?[\])}]", "ip": r"[0-9] ?[.\[(]", "card": "[0-9]{4}|[0-9][ -][0-9]",
+    "email": r"[\[({] ?(?:(?i:at)|@) ?[\])}]| (?i:at) +[A-Za-z0-9.-]{1,255} *[\[({ ] ?(?i:dot|\.)", "ip": r"[0-9] ?[.\[(]", "card": "[0-9]{4}|[0-9][ -][0-9]",
     "phone": "[0-9]{4}", "number": "[0-9](?:[ .()/-]{0,2}[0-9]){6}",
 }
 
