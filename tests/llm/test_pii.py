@@ -130,3 +130,13 @@ def test_only_kept_spans_shut_others_out(spark):
 def test_spelled_out_addresses_are_proposed(spark, shown):
     _, spans = pii.proposals(documents(spark, [(1, f"Ask {shown}, please", "s"), (2, "meet at noon. Then go", "s")]))
     assert [(r.kind, r.match) for r in spans.filter("not strict").collect()] == [("email", shown)]
+
+
+def test_long_texts_at_full_length(spark):
+    rng = random.Random(4)
+    rows = [(60, "a" * 300_000, "s"), (61, "1" * 300_000, "s"), (62, "1 " * 150_000, "s"), (63, "a." * 100_000 + "@b.c", "s")]
+    rows += [(64, "+1" * 100_000, "s"), (65, "1." * 100_000, "s"), (66, "x@" + "y." * 100_000, "s"), (67, "+1 " + "(" * 200_000, "s")]
+    rows += [(68, " and ".join(card(rng) for _ in range(3000)), "s")]
+    found = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone) for r in pii.personal_data(documents(spark, rows)).collect()}
+    some = {63: (1, 0, 0, 0), 65: (0, 25_000, 0, 0), 66: (1, 0, 0, 0), 68: (0, 0, 3000, 0)}
+    assert found == {i: some.get(i, (0, 0, 0, 0)) for i, *_ in rows}
