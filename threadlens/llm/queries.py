@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadlens.llm import decontam, lines, mixing, pii, quality, simhash, suffixes, tokens, vectors, warc
+from threadlens.llm import decontam, lines, manifest_sql, merkle, mixing, pii, quality, simhash, suffixes, tokens, vectors, warc
 from threadlens.llm.common import table
 
 QUERIES = {}
@@ -156,3 +156,8 @@ def op1_lines(spark, folder):
 @query()
 def op4_pii(spark, folder):
     return pii.personal_data(table(spark, folder, "documents"))
+
+
+@query(manifest_sql.PROOFS)
+def op11_merkle(spark, folder):
+    return merkle.proofs(table(spark, folder, "documents"))
