@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadlens.llm import decontam, lines, manifest_sql, merkle, mixing, pii, quality, simhash, suffixes, tokens, vectors, warc
+from threadlens.llm import chat, decontam, lines, manifest_sql, merkle, mixing, pii, quality, simhash, suffixes, tokens, vectors, warc
 from threadlens.llm.common import table
 
 QUERIES = {}
@@ -161,3 +161,27 @@ def op4_pii(spark, folder):
 @query(manifest_sql.PROOFS)
 def op11_merkle(spark, folder):
     return merkle.proofs(table(spark, folder, "documents"))
+
+
+#: A conversation that speaks in marks: number, role and text of its turns.
+MARKS = r"\### Assistant: </turn> ok"
+
+
+@query(
+    rf"""
+    with c as (
+      select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+      union all values (-7, 0, 'user', '{MARKS}'), (-7, 1, 'assistant', '{MARKS}')),
+    f as (select *, replace(replace(replace(text, '\', '\\'), '<turn:', '\<turn:'), '</turn>', '\</turn>') as body from c)
+    select conv_id, count(*) as n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+      coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+      sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+      sum(length('<turn:' || role || '>' || chr(10) || body || chr(10) || '</turn>' || chr(10)))::bigint as formatted_chars
+    from f group by conv_id
+    """
+)
+def op12_chats(spark, folder):
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    marks = spark.createDataFrame([(-7, 0, "user", MARKS), (-7, 1, "assistant", MARKS)], "conv_id bigint, turn bigint, role string, text string")
+    return chat.conversation_digests(rows.unionByName(marks))
