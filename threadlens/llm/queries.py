@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadlens.llm import chat, decontam, lines, manifest_sql, merkle, mixing, pii, quality, simhash, suffixes, tokens, vectors, warc
+from threadlens.llm import (
+    chat, decontam, lines, manifest_sql, merkle, mixing, periods, pii, quality, simhash, suffixes, tokens, vectors, warc,
+)
 from threadlens.llm.common import table
 
 QUERIES = {}
@@ -185,3 +187,8 @@ def op12_chats(spark, folder):
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     marks = spark.createDataFrame([(-7, 0, "user", MARKS), (-7, 1, "assistant", MARKS)], "conv_id bigint, turn bigint, role string, text string")
     return chat.conversation_digests(rows.unionByName(marks))
+
+
+@query()
+def op13_periods(spark, folder):
+    return periods.run_digests(periods.planted(table(spark, folder, "documents")))
