@@ -5,6 +5,7 @@ from pyspark.ml.feature import CountVectorizer, Tokenizer
 from pyspark.sql import functions as F
 
 from threadlens.operators import corpus, features
+from threadlens.operators.dealing import dealt_out
 from threadlens.sources import tables
 
 TEXTS = ["the cat  sat on a mat", "Cat and dog", "dog dog bird\n", "", "   ", "a b"]
@@ -110,3 +111,48 @@ def test_library_idf_matches_the_long_form(spark):
     rows = features.count_vectors_long(df, "id", features.spark_tokens("text"))
     got = {(r.id, r.term): r.weight for r in corpus.tfidf_plain(df, rows, "id").collect()}
     assert set(got) == set(want) and all(math.isclose(got[k], want[k], abs_tol=1e-12) for k in got)
+
+
+ODD = [(1, "Running dogs", "a"), (2, None, "b"), (3, "", None), (4, "the of", "c"), (4, "the of", "c"), (5, "dogs " * 3000, "d")]
+
+
+def test_words_are_changed_in_place(spark):
+    df = spark.createDataFrame(ODD, "_row int, text string, _word string")
+    want = [(1, "run dog", "a"), (2, None, "b"), (3, "", None), (4, "", "c"), (4, "", "c"), (5, " ".join(["dog"] * 3000), "d")]
+    found = corpus.clean_column(df, "text")
+    assert found.columns == df.columns and sorted(map(tuple, found.collect())) == sorted(want, key=lambda r: r[0])
+    alone = corpus.clean_column(df.select("text"), "text")
+    assert alone.columns == ["text"] and alone.count() == len(ODD)
+    assert corpus.clean_column(df.limit(0), "text").collect() == []
+
+
+def test_each_distinct_word_is_changed_once(spark):
+    df = spark.createDataFrame(ODD, "id int, text string, x string")
+    plan = corpus.clean_column(df, "text")._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.split("\n")
+    stems = next(i for i, line in enumerate(lines) if "AS _new" in line)
+    assert sum("AS _new" in line for line in lines) == 1 and "Aggregate [_word" in lines[stems]
+
+
+def test_coded_weights_equal_those_by_name(spark):
+    rows = [(1, "running runs dogs x"), (2, "running the running"), (3, None), (4, ""), (5, "dogs ate")]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    codes, terms = corpus.coded_words(df, "text", min_length=2)
+    weights = corpus.tfidf_coded(df, corpus.coded_counts(df, "id", "text", codes), "id")
+    got = {(r.id, r.term): (r.tf, r.df, round(r.weight, 12)) for r in weights.join(terms, "code").collect()}
+    plain = corpus.tfidf_normalised(df, corpus.stem_counts(df, "id", "text"), "id")
+    assert got == {(r.id, r.term): (r.tf, r.df, round(r.weight, 12)) for r in plain.collect()}
+    assert terms.select("code").distinct().count() == terms.count() == 3
+    top = [tuple(r) for r in corpus.important_coded(weights, terms, 2).collect()]
+    assert [t for t, _ in top] == [r.term for r in corpus.important_terms(plain, 2).collect()]
+
+
+def test_only_small_inputs_are_dealt_out(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert dealt_out(docs).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert "Repartition" not in dealt_out(docs)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

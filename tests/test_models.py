@@ -9,7 +9,6 @@ from threadlens.operators import features, models, sampling
 def test_forests_try_every_row_whatever_they_are_fitted_on(spark, folder, monkeypatch):
     monkeypatch.setattr(checks, "PER_CLASS", 3)
     found = checks.forest_facts(spark, folder, trees=5, impurity="gini", seed=42).first()
-    # The smallest class has 17 rows here, which the cap of 50 in the SQL leaves whole.
     rows, named, largest, *_ = compare.connect(folder).execute(checks.FOREST_SQL).fetchone()
     assert (found.test_rows, found.named_rows, found.largest_class) == (rows, named, largest)
 

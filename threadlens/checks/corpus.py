@@ -85,19 +85,22 @@ weights as (select doc_id, term, tf, df,
   raw / sqrt(sum(raw * raw) over (partition by doc_id)) as weight from raw_weights)"""
 
 
+def coded_weights(spark, folder):
+    docs = documents(spark, folder)
+    codes, terms = corpus.coded_words(docs, "text", min_length=2)
+    return corpus.tfidf_coded(docs, corpus.coded_counts(docs, "doc_id", "text", codes), "doc_id"), terms
+
+
 @query(f"with {TFIDF} select doc_id, term, tf, df, round(weight, 6) as weight from weights")
 def tfidf_sklearn(spark, folder):
-    docs = documents(spark, folder)
-    weights = corpus.tfidf_normalised(docs, corpus.stem_counts(docs, "doc_id", "text"), "doc_id")
-    return weights.select("doc_id", "term", "tf", "df", "weight").withColumns(rounded(6, "weight"))
+    weights, terms = coded_weights(spark, folder)
+    return weights.join(terms, "code").select("doc_id", "term", "tf", "df", "weight").withColumns(rounded(6, "weight"))
 
 
 @query(f"""with {TFIDF} select term, round(sum(weight), 4) as weight from weights group by term
 order by sum(weight) desc, term limit 50""")
 def tfidf_top(spark, folder):
-    docs = documents(spark, folder)
-    weights = corpus.tfidf_normalised(docs, corpus.stem_counts(docs, "doc_id", "text"), "doc_id")
-    return corpus.important_terms(weights, 50).withColumns(rounded(4, "weight"))
+    return corpus.important_coded(*coded_weights(spark, folder), 50).withColumns(rounded(4, "weight"))
 
 
 @query("""with edges as (select min(n_chars)::double as low, max(n_chars)::double as high from documents),

@@ -18,13 +18,13 @@ from threadlens.session import new_path
 from threadlens.sources.tables import stage
 
 #: Rows per class that the forests are fitted on at most, those of smallest hash; all test rows are tried.
-PER_CLASS = 50
+PER_CLASS = 400
 
 TESTED = "('0x' || substr(md5(doc_id::varchar), 1, 8))::bigint % 100 >= 80"
-BALANCED = f"""sizes as (select lang, count(*) as n from documents where lang in ('de', 'en', 'es', 'fr') group by lang),
+BALANCED = """sizes as (select lang, count(*) as n from documents where lang in ('de', 'en', 'es', 'fr') group by lang),
 picked as (select doc_id, lang, row_number() over (partition by lang order by md5(doc_id::varchar), doc_id) as r
   from documents where lang in ('de', 'en', 'es', 'fr')),
-balanced as (select doc_id, lang from picked where r <= least({PER_CLASS}, (select min(n) from sizes)))"""
+balanced as (select doc_id, lang from picked where r <= (select min(n) from sizes))"""
 
 
 def length_texts(spark, folder):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from threadlens.checks.registry import query, rounded, table
 from threadlens.functions.text import topic_flags
 from threadlens.operators import sentiment
+from threadlens.operators.dealing import dealt_out
 from threadlens.operators.summary import count_by
 
 # Stand-in word list: abuse counts against a text; common words give the other label
@@ -55,7 +56,7 @@ FLAGGED = """flagged as (
 
 
 def labelled_documents(spark, folder):
-    return sentiment.score_texts(table(spark, folder, "documents"), "text", LEXICON)
+    return sentiment.score_texts(dealt_out(table(spark, folder, "documents")), "text", LEXICON)
 
 
 def flagged_documents(spark, folder):

@@ -2,22 +2,54 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadlens.functions.stem import stem_tokens, stem_word
-from threadlens.functions.text import clean_text, kept_tokens, letter_tokens
+from threadlens.functions.stem import stem_word
+from threadlens.functions.text import kept_tokens, letter_tokens
 from threadlens.functions.words import STOP_WORDS
+from threadlens.operators.dealing import dealt_out
 from threadlens.operators.ranks import attach
+from threadlens.sources.tables import stage
+
+
+def by_word(df: DataFrame, words: Column, change: Callable[[str], Column], out: str) -> DataFrame:
+    """The rows with ``out``, the array ``words`` with every word changed; a column of that name is replaced.
+
+    ``change`` is worked out once per distinct word of all rows and put back by position. It is
+    given the name of a column. Where the dictionary is small, Spark broadcasts it and no
+    word is shuffled; a frequent word is a hot key of that join alone, which adaptive
+    execution splits. A row's words come together again within its own task before anything is
+    shuffled, so one short row per row is. A null array stays null.
+    """
+    own = [c for c in df.columns if c != out]
+    rows = df.select(
+        F.monotonically_increasing_id().alias("_row"),
+        (F.struct(*own) if own else F.lit(True)).alias("_own"),
+        words.alias("_words"),
+    )
+    placed = rows.select("_row", "_own", F.col("_words").isNull().alias("_none"), F.posexplode_outer("_words").alias("_pos", "_word"))
+    # The other columns travel with the first word alone.
+    first = F.when(F.coalesce("_pos", F.lit(0)) == 0, F.struct("_own", "_none"))
+    dictionary = df.select(F.explode(words).alias("_word")).distinct().select("_word", change("_word").alias("_new"))
+    changed = placed.select("_row", "_pos", "_word", first.alias("_first")).join(dictionary, "_word", "left")
+    at = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_new"))
+    together = changed.groupBy("_row").agg(
+        F.array_sort(F.collect_list(at)).alias("_all"), F.first("_first", ignorenulls=True).alias("_first")
+    )
+    result = F.when(~F.col("_first._none"), F.col("_all._new"))
+    kept = {name: F.col(f"_first._own.`{name}`") for name in own}
+    return together.select(*[kept.get(name, result).alias(name) for name in dict.fromkeys([*df.columns, out])])
 
 
 def clean_column(df: DataFrame, column: str, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
-    """The column's texts cleaned in place, row by row: letters, no stop words, stems."""
-    return df.withColumn(column, clean_text(column, stop_words))
+    """The column's texts cleaned in place: letters, no stop words, stems; a null text stays null."""
+    found = by_word(dealt_out(df), kept_tokens(column, stop_words), stem_word, column)
+    return found.withColumn(column, F.array_join(column, " "))
 
 
 def annotated_clean(
@@ -35,12 +67,12 @@ def annotated_clean(
     if stop_words is not None:
         remover.setStopWords(list(stop_words))
     stages = Pipeline(stages=[tokenizer, remover])
-    texts = df.select(ident, F.coalesce(F.col(text), F.lit("")).alias(text), F.col(text).isNull().alias("_none"))
-    found = stages.fit(texts).transform(texts)
-    normal = F.transform(stem_tokens("_kept"), lambda w: F.regexp_replace(w, r"[^\w\d\s]", ""))
-    joined = F.array_join(F.filter(normal, lambda w: w != ""), " ")
-    result = F.array(F.when(~F.col("_none"), joined))
-    return found.select(ident, result.alias("result")).select(
+    texts = dealt_out(df.select(ident, F.coalesce(F.col(text), F.lit("")).alias(text), F.col(text).isNull().alias("_none")))
+    # Written, so that texts are cut once for the dictionary and the words.
+    found = stage(stages.fit(texts).transform(texts).select(ident, F.when(~F.col("_none"), F.col("_kept")).alias("_kept")), "tokens")
+    normal = by_word(found, F.col("_kept"), lambda word: F.regexp_replace(stem_word(word), r"[^\w\d\s]", ""), "_kept")
+    joined = F.array_join(F.filter("_kept", lambda w: w != ""), " ")
+    return normal.select(ident, F.array(joined).alias("result")).select(
         ident, F.explode("result").alias("clean_text")
     )
 
@@ -53,7 +85,7 @@ def word_counts(
 ) -> DataFrame:
     """(groups, word, count) of stems. Raw words are counted first, so every distinct word
     is stemmed once and only counts are shuffled."""
-    words = df.select(
+    words = dealt_out(df.select(*groups, text)).select(
         *groups, F.explode(kept_tokens(text, stop_words)).alias("raw")
     )
     raw = words.groupBy(*groups, "raw").agg(F.count(F.lit(1)).alias("n"))
@@ -64,7 +96,7 @@ def word_counts(
 def stem_table(df: DataFrame, text: str) -> DataFrame:
     """(word, stem, count) for the whole vocabulary of the corpus."""
     raw = (
-        df.select(F.explode(letter_tokens(text)).alias("word"))
+        dealt_out(df.select(text)).select(F.explode(letter_tokens(text)).alias("word"))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("count"))
     )
@@ -108,6 +140,34 @@ def stem_counts(
     return stems.groupBy(ident, "term").agg(F.sum("_n").alias("tf"))
 
 
+def coded_words(
+    df: DataFrame, text: str, stop_words: Iterable[str] = STOP_WORDS, min_length: int = 1
+) -> tuple[DataFrame, DataFrame]:
+    """(raw, code) and (code, term): the dictionary of a corpus, as written tables.
+
+    Every distinct word is stemmed once and every distinct stem of at least ``min_length``
+    letters has a number; raw words of other stems are left out.
+    """
+    raw = dealt_out(df.select(text)).select(F.explode(kept_tokens(text, stop_words)).alias("raw")).distinct()
+    stems = stage(raw.select("raw", stem_word("raw").alias("term")), "stems")
+    long = stems.filter(F.length("term") >= min_length)
+    terms = stage(long.select("term").distinct().withColumn("code", F.monotonically_increasing_id()), "terms")
+    return stage(long.join(terms, "term").select("raw", "code"), "codes"), terms
+
+
+def coded_counts(
+    df: DataFrame, ident: str, text: str, codes: DataFrame, stop_words: Iterable[str] = STOP_WORDS
+) -> DataFrame:
+    """(id, code, tf) of cleaned texts, as a written table; words without a code are left out.
+
+    Rows of numbers are all that is shuffled where the dictionary is small; otherwise words
+    meet their codes in a join that adaptive execution splits at a frequent word.
+    """
+    words = dealt_out(df.select(ident, text)).select(ident, F.explode(kept_tokens(text, stop_words)).alias("raw"))
+    counts = words.join(codes, "raw").groupBy(ident, "code").agg(F.count(F.lit(1)).alias("tf"))
+    return stage(counts, "counts")
+
+
 def term_counts(rows: DataFrame, ident: str) -> DataFrame:
     """(id, term, tf)."""
     return rows.groupBy(ident, "term").agg(F.count(F.lit(1)).alias("tf")).filter("tf > 0")
@@ -140,6 +200,23 @@ def tfidf_normalised(
     ).select(ident, "term", "tf", "df", "idf", "weight")
 
 
+def tfidf_coded(documents: DataFrame, counts: DataFrame, ident: str) -> DataFrame:
+    """(id, code, tf, df, weight): the weights of ``tfidf_normalised`` over numbers instead of terms.
+
+    ``counts`` is a written table of (id, code, tf); names are joined to what is left in the end.
+    """
+    frequencies = attach(
+        counts.groupBy("code").agg(F.count(F.lit(1)).alias("df")), documents.agg(F.count(F.lit(1)).alias("docs")), []
+    )
+    idf = F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1
+    raw = counts.join(frequencies.select("code", "df", idf.alias("idf")), "code").withColumn("raw", F.col("tf") * F.col("idf"))
+    # A window over one document's terms: a group no larger than a document.
+    row = Window.partitionBy(ident)
+    return raw.withColumn("weight", F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(row))).select(
+        ident, "code", "tf", "df", "weight"
+    )
+
+
 def tfidf_plain(documents: DataFrame, counts: DataFrame, ident: str) -> DataFrame:
     """(id, term, tf, df, idf, weight) of term counts, with idf = ln((n+1)/(df+1)), weights not scaled."""
     idf = F.log((F.col("docs") + 1) / (F.col("df") + 1))
@@ -157,3 +234,8 @@ def important_terms(weights: DataFrame, n: int = 50) -> DataFrame:
         .orderBy(F.desc("weight"), F.asc("term"))
         .limit(n)
     )
+
+
+def important_coded(weights: DataFrame, terms: DataFrame, n: int = 50) -> DataFrame:
+    """``important_terms`` of coded weights: summed over numbers, named last."""
+    return important_terms(weights.groupBy("code").agg(F.sum("weight").alias("weight")).join(terms, "code"), n)

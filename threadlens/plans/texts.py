@@ -22,12 +22,13 @@ def word_tables(texts: DataFrame, ident: str, text: str, group: str = "subreddit
     """Word counts, top words overall and per community, and the most telling terms."""
     counts = corpus.word_counts(texts, text)
     per_group = corpus.word_counts(texts, text, [group])
-    weights = corpus.tfidf_normalised(texts, corpus.stem_counts(texts, ident, text), ident)
+    codes, terms = corpus.coded_words(texts, text, min_length=2)
+    weights = corpus.tfidf_coded(texts, corpus.coded_counts(texts, ident, text, codes), ident)
     return {
         "bag_of_words": counts,
         "top_words": corpus.top_words(counts, 50),
         "cloud": corpus.top_words_per_group(per_group, group, 200),
-        "important_terms": corpus.important_terms(weights, 50),
+        "important_terms": corpus.important_coded(weights, terms, 50),
     }
 
 
