@@ -8,6 +8,8 @@ from threadlens.checks.registry import big, query, rounded, table
 from threadlens.checks.sentiment import LEXICON, SENTIMENT, labelled_documents
 from threadlens.operators import cleaning, joins, sampling, sentiment
 from threadlens.operators.summary import count_by
+from threadlens.session import new_path
+from threadlens.sources import archive
 
 STATUSES = ["F", "O", "P"]
 
@@ -55,16 +57,30 @@ MONTHLY = """monthly as (
   from lineitem where year(l_shipdate) < 2001 group by all)"""
 
 
-@query("""select o_orderkey::varchar as id, o_orderstatus as community, o_totalprice as score,
+POSTS_WITH_COMMENTS = """select o_orderkey::varchar as id, o_orderstatus as community, o_totalprice as score,
   l_orderkey::varchar as com_link_id, l_linenumber::bigint as com_line, l_quantity as com_score,
   l_extendedprice as com_price
-from orders left join lineitem on o_orderkey = l_orderkey""")
+from orders left join lineitem on o_orderkey = l_orderkey"""
+
+
+@query(POSTS_WITH_COMMENTS)
 def posts_with_comments(spark, folder):
     return joins.posts_with_comments(
         posts(spark, folder).drop("year", "month"), comment_lines(spark, folder), "id", "com_link_id"
     )
 
 
+@query(POSTS_WITH_COMMENTS)
+def archived_comments(spark, folder):
+    """The same rows from an archive laid out by post."""
+    path = new_path(spark, "archive")
+    made = archive.write_archive(
+        posts(spark, folder).select("id", "community", "score"), comment_lines(spark, folder), "id", "com_link_id",
+        path, f"archive_{path.rsplit('-', 1)[-1]}",
+    )
+    return archive.archived_posts_with_comments(spark, made)
+
+
 @query("""with picked as (
   select o_orderkey, row_number() over (partition by o_orderstatus
     order by md5(o_orderkey::varchar), o_orderkey::varchar) as r from orders)
