@@ -14,10 +14,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadlens.llm.blobs import read_blobs, write_blobs
+from threadlens.sources.tables import stage
 
 # Fixed values of the seekable format.
 SKIPPABLE = 0x184D2A5E
@@ -26,7 +27,7 @@ CHECKSUMS = 0x80
 
 FILE_BYTES = 4 << 20
 LEVEL = 3
-CACHE = 200_000
+CACHE = 600_000
 
 _encoders: dict[tuple[str, int, str | None], Encoder] = {}
 
@@ -36,8 +37,7 @@ class Encoder:
 
     Byte-level vocabularies cut a text at every space that a visible character follows, so
     such pieces are encoded once each and kept (about ``CACHE`` pieces, then afresh).
-    Other tokenizers, and texts with special strings or runs of white space, are encoded
-    whole.
+    Other tokenizers, and texts with special strings, are encoded whole.
     """
 
     def __init__(self, definition: str, end_id: int, pattern: str | None):
@@ -58,6 +58,7 @@ class Encoder:
         )
         self.special = [t["content"] for t in spec.get("added_tokens") or []]
         self.cut = regex.compile(pattern or "").findall
+        self.at_spaces = regex.compile(r" (?=\S)").split
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.letters = dict(zip(shown, map(chr, shown))) | {b: chr(256 + i) for i, b in enumerate(hidden)}
@@ -75,17 +76,10 @@ class Encoder:
             found = kept[key] = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
-    def _learn(self, words: set[str]) -> bool:
-        """Keep the ids of words that follow a space; no, if a word's space belongs to more blanks."""
-        if len(self.words) > CACHE:
-            self.words.clear()
-        if len(self.pieces) > CACHE:
-            self.pieces.clear()
+    def _learn(self, words: set[str]) -> None:
+        """Keep the ids of words that follow a space."""
         for word in words.difference(self.words):
-            if not word or word[0].isspace():
-                return False
             self.words[word] = b"".join([self._piece(p) for p in self.cut(" " + word)])
-        return True
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -96,19 +90,22 @@ class Encoder:
             return self.end
         if not self.by_piece or any(s in text for s in self.special):
             return self._whole(text) + self.end
+        if len(self.words) > CACHE:
+            self.words.clear()
+        if len(self.pieces) > CACHE:
+            self.pieces.clear()
         first, *words = text.split(" ")
-        if first:
-            head = b"".join([self._piece(p) for p in self.cut(first)])
-        elif words and self._learn({words[0]}):
-            head = b""
-        else:
-            return self._whole(text) + self.end
         try:
-            return head + b"".join(map(self.words.__getitem__, words)) + self.end
+            body = b"".join(map(self.words.__getitem__, words))
         except KeyError:
-            if not self._learn(set(words)):
-                return self._whole(text) + self.end
-            return head + b"".join(map(self.words.__getitem__, words)) + self.end
+            new = set(words).difference(self.words)
+            # Blanks side by side leave words that are empty or begin with one; none is ever kept.
+            if any(not word or word[0].isspace() for word in new):
+                first, *words = self.at_spaces(text)
+                new = set(words)
+            self._learn(new)
+            body = b"".join(map(self.words.__getitem__, words))
+        return b"".join([self._piece(p) for p in self.cut(first)]) + body + self.end
 
 
 def encoder_for(definition: str, end_id: int, pattern: str | None) -> Encoder:
@@ -212,9 +209,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, pattern: str | No
 
 
 def file_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """(part, chunk, base): how many ids all earlier files hold, from the seek tables alone.
+    """(part, chunk, base): how many ids all earlier files hold, as their seek tables say.
 
-    One row per file meets in one task, whatever the number of documents.
+    Files are added up per writing task first, so one row per task meets in one place and
+    one row per file in that of its task.
     """
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,9 +221,15 @@ def file_totals(spark: SparkSession, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["part"], batch["chunk"], pa.array(ids, pa.int64())], ["part", "chunk", "n"])
 
     files = read_blobs(spark, folder).select("content", "part", "chunk")
-    sizes = files.mapInArrow(totals, "part bigint, chunk bigint, n bigint")
-    before = Window.orderBy("part", "chunk").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select("part", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    sizes = stage(files.mapInArrow(totals, "part bigint, chunk bigint, n bigint"), "file-sizes")
+
+    def earlier(of: Window, column: str) -> Column:
+        return F.coalesce(F.sum(column).over(of.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    parts = sizes.groupBy("part").agg(F.sum("n").alias("_sum"))
+    parts = parts.select("part", earlier(Window.orderBy("part"), "_sum").alias("_base"))
+    inside = sizes.select("part", "chunk", earlier(Window.partitionBy("part").orderBy("chunk"), "n").alias("_inside"))
+    return inside.join(parts, "part").select("part", "chunk", (F.col("_base") + F.col("_inside")).alias("base"))
 
 
 def _read(spark: SparkSession, folder: str, wanted: Sequence[int] | None = None) -> DataFrame:
