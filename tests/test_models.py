@@ -21,3 +21,24 @@ def test_terms_and_trees_learn_from_all_training_rows(spark, folder, monkeypatch
     assert set(features.vocabulary_of(text_model)) == {w for some in lists for w in some}
     assert text_model.stages[-1].numDocs == learned.count() == len(lists) > 10
     assert learned.rdd.getNumPartitions() > 1
+
+
+def test_vectors_of_the_most_frequent_words(spark, monkeypatch):
+    rows = [(k, "good fine day" if k % 4 else "bad awful rot", float(k % 4 == 0)) for k in range(80)]
+    rows += [(100, None, 1.0), (101, "", 0.0), (102, "unseen", 0.0), (103, "good", None)]
+    df = spark.createDataFrame(rows, "id int, text string, label double")
+    embedding = models.train_embedding(df, "text", size=4)
+    model = models.train_embedded_sentiment(embedding, df.filter("id < 80 or id = 100 or id = 103"), "text", "label")
+    found = {r.id: r.sentiment for r in models.trained_sentiment(model, df, "text").collect()}
+    assert len(found) == len(rows) and found[100] is None
+    assert {found[k] for k in range(0, 80, 4)} == {"negative"} and {found[k] for k in range(1, 80, 4)} == {"positive"}
+    words = spark.createDataFrame([(["a", "a", "b", "b", "c"],)], "w array<string>")
+    assert [models.least_count(words, "w", most) for most in (3, 2, 1)] == [1, 2, 1 << 30]
+
+
+def test_embedding_is_saved_and_loaded(spark, tmp_path):
+    df = spark.createDataFrame([("a b c", 1.0), ("d e f", 0.0)] * 10, "text string, label double")
+    model = models.train_embedded_sentiment(models.train_embedding(df, "text", size=3), df, "text", "label")
+    models.save_model(model, str(tmp_path / "m"))
+    again = models.trained_sentiment(models.load_model(str(tmp_path / "m")), df, "text")
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, models.trained_sentiment(model, df, "text").collect()))

@@ -7,7 +7,7 @@ from threadlens.checks import ORACLES, QUERIES
 
 MODELS = {
     "dt_reg", "gbt_reg", "rf_gini", "rf_entropy", "top_importances", "save_load_predict",
-    "trained_sentiment",
+    "trained_sentiment", "embedded_sentiment",
 }
 
 

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from threadlens.checks.registry import query, rounded, table
 from threadlens.checks.sampling import LANGUAGES
+from threadlens.checks.sentiment import LEXICON
 from threadlens.functions.words import SENTIMENTS
-from threadlens.operators import corpus, features, metrics, models, sampling
+from threadlens.operators import corpus, features, metrics, models, sampling, sentiment
 from threadlens.session import new_path
 from threadlens.sources.tables import stage
 
@@ -180,3 +181,38 @@ def trained_sentiment(spark, folder):
     found = models.trained_sentiment(model, docs, "text", above=0.6, below=0.4)
     known = F.col("sentiment").isNull() | F.col("sentiment").isin(list(SENTIMENTS))
     return found.select("doc_id", F.col("sentiment").isNotNull().alias("labelled"), known.alias("known"))
+
+
+@query(f"""with tried as (
+  select count(*) as n, count(*) filter (text is not null) as labelled
+  from documents join labels using (doc_id) where quality is not null and {TESTED})
+select n as test_rows, labelled as labelled_rows, true as beats_majority, true as beats_word_list from tried""")
+def embedded_sentiment(spark, folder):
+    """A scorer over learned word vectors against labels it was not fitted on.
+
+    Beaten are the accuracy of the more frequent label and the mean recall of the word list.
+    """
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").filter("quality is not null").select("doc_id", (1 - F.col("quality")).cast("double").alias("label"))
+    train, test = sampling.hash_split(docs.join(labels, "doc_id"), "doc_id")
+    model = models.train_embedded_sentiment(models.train_embedding(docs, "text"), train, "text", "label")
+    found = models.trained_sentiment(model, test, "text").withColumnRenamed("sentiment", "named")
+    both = stage(sentiment.score_texts(found, "text", LEXICON).select("label", "named", "sentiment"), "named")
+
+    def share(column, label):
+        """How many of a label's rows the column names rightly."""
+        return F.avg(F.when(F.col("label") == label, ((F.col(column) == SENTIMENTS[0]) == (label == 1)).cast("double")))
+
+    facts = both.agg(
+        F.count(F.lit(1)).alias("test_rows"),
+        F.count("named").alias("labelled_rows"),
+        F.count_if((F.col("named") == SENTIMENTS[0]) == (F.col("label") == 1)).alias("right"),
+        F.greatest(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).alias("largest"),
+        *[(share(c, 1) + share(c, 0)).alias(f"of_{c}") for c in ("named", "sentiment")],
+    )
+    return facts.select(
+        "test_rows",
+        "labelled_rows",
+        (F.col("right") > F.col("largest")).alias("beats_majority"),
+        (F.col("of_named") > F.col("of_sentiment")).alias("beats_word_list"),
+    )

@@ -4,19 +4,22 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.ml.util import DefaultParamsReader
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadlens.functions.words import SENTIMENTS
+from threadlens.operators.dealing import dealt_out
 from threadlens.operators.features import (
     VOCABULARY,
     fit_indexer,
     index_to_label,
     one_hot,
     tfidf_stages,
+    tokenizer,
     vocabulary_of,
 )
 
@@ -107,6 +110,49 @@ def train_sentiment(
     return Pipeline(stages=stages).fit(labelled)
 
 
+#: Words that have vectors: the vectors of all are in each task's memory, 200 numbers a word at most.
+EMBEDDED_WORDS = 1 << 17
+
+
+def least_count(words: DataFrame, column: str, most: int = EMBEDDED_WORDS) -> int:
+    """The least number of times a word must occur so that at most ``most`` words are left."""
+    counts = words.select(F.explode(column).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    # Few different counts, so how many words have each is a short table.
+    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("k"))
+    above = F.sum("k").over(Window.orderBy(F.desc("n")))
+    return sizes.withColumn("above", above).filter(F.col("above") <= most).agg(F.coalesce(F.min("n"), F.lit(1 << 30))).first()[0]
+
+
+def train_embedding(texts: DataFrame, text: str, size: int = 32, rounds: int = 1, seed: int = 42) -> PipelineModel:
+    """Word vectors learned from a corpus, and a text's mean of them (``embedding``).
+
+    The ``EMBEDDED_WORDS`` most frequent words have vectors (fewer where the last of them tie with
+    others); a text without any is the zero vector. Null texts are left out of the fit.
+    """
+    cut = tokenizer(text)
+    words = dealt_out(texts.filter(F.col(text).isNotNull()).select(text))
+    parts = words.rdd.getNumPartitions()
+    vectors = Word2Vec(
+        inputCol="words", outputCol="embedding", vectorSize=size, minCount=least_count(cut.transform(words), "words"),
+        numPartitions=parts, maxIter=rounds, seed=seed,
+    )
+    return Pipeline(stages=[cut, vectors]).fit(words)
+
+
+def train_embedded_sentiment(embedding: PipelineModel, labelled: DataFrame, text: str, label: str, rounds: int = 50) -> PipelineModel:
+    """Text scorer over learned vectors from 0/1 labels (1 = negative); both labels weigh alike however rare one is.
+
+    The result is used by ``trained_sentiment`` like that of ``train_sentiment``.
+    """
+    rows = embedding.transform(labelled.filter(F.col(text).isNotNull() & F.col(label).isNotNull()).select(text, label))
+    sizes = rows.agg(F.count_if(F.col(label) == 1).alias("one"), F.count(F.lit(1)).alias("all")).first()
+    one = F.lit(sizes["all"] / (2 * max(1, sizes["one"])))
+    zero = F.lit(sizes["all"] / (2 * max(1, sizes["all"] - sizes["one"])))
+    weighted = rows.withColumn("_weight", F.when(F.col(label) == 1, one).otherwise(zero))
+    scorer = LogisticRegression(labelCol=label, featuresCol="embedding", weightCol="_weight", maxIter=rounds, regParam=0.001)
+    return PipelineModel(stages=[*embedding.stages, scorer.fit(weighted)])
+
+
 def trained_sentiment(
     model: PipelineModel, df: DataFrame, text: str, above: float = 0.5, below: float | None = None
 ) -> DataFrame:
