@@ -15,6 +15,8 @@ from threadlens.functions.timeparts import (
 )
 from threadlens.functions.words import REMOVED_BODIES
 from threadlens.operators import cleaning
+from threadlens.session import new_path
+from threadlens.sources import reports
 
 ROLES = ["user", "assistant"]
 
@@ -115,3 +117,19 @@ def drop_nulls(spark, folder):
         F.when(F.col("event_id") % 11 != 0, F.col("value")).alias("value"),
     )
     return cleaning.drop_null_rows(events)
+
+
+@query(f"""select * from ({" union all ".join(
+    f"select '{c}' as column_name, count(*) as total_rows, count(*) - count({c}) as nulls, "
+    f"min({c})::varchar as least, max({c})::varchar as greatest from documents"
+    for c in ("doc_id", "lang", "source", "n_chars"))})""")
+def write_report(spark, folder):
+    """Figures of documents from the pass that writes them."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars")
+    return reports.write_with_report(docs, new_path(spark, "reported"))
+
+
+@query("""select count(*) as total_rows, min(l_orderkey) as min_l_orderkey, max(l_orderkey) as max_l_orderkey,
+  min(l_quantity) as min_l_quantity, max(l_quantity) as max_l_quantity from lineitem""")
+def footer_totals(spark, folder):
+    return reports.footer_totals(spark, f"{folder}/lineitem.parquet", ["l_orderkey", "l_quantity"])
