@@ -63,7 +63,7 @@ def test_empty_documents(spark, tables, name, step):
 
 def test_every_query_is_registered():
     named = __spark_entry__.queries()
-    assert "pipeline" in named and len([n for n in named if n.startswith("op")]) == 10
+    assert "pipeline" in named and len([n for n in named if n.startswith("op")]) == 13
     assert set(queries.ORACLES) <= set(queries.QUERIES) and set(queries.ORACLES) <= set(__spark_entry__.oracle_sql())
 
 

@@ -100,7 +100,16 @@ def test_stage_keeps_one_of_each_group(spark):
     assert ids.count(None) == 2
 
 
-def test_rows_that_share_an_id_become_one(spark):
+def test_rows_that_share_an_id_stay_unless_they_are_copies(spark):
     a, b = sentences(9, 2)
-    kept = simhash.keep_first(documents(spark, [(1, a, "s"), (1, b, "s"), (2, a, "s")])).collect()
-    assert [(r.doc_id, r.text) for r in kept] == [(1, min(a, b))]
+    rows = [(1, a, "s"), (1, b, "s"), (2, a, "s"), (1, a, "t"), (3, b, "s"), (4, "", "s"), (4, None, "s")]
+    kept = simhash.keep_first(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == [(1, min(a, b)), (1, max(a, b)), (4, "")]
+
+
+def test_columns_without_an_order(spark):
+    a, b = sentences(10, 2)
+    rows = [(1, a, {"k": 1}, [(1, {"x": 2})]), (1, a, {"k": 2}, None), (2, a, None, None), (3, b, {}, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, m map<string,int>, l array<struct<a: int, b: map<string,int>>>")
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]

@@ -59,7 +59,8 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [fingerprint(text.as_py()) for text in batch["text"]]
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found, pa.int64())], ["doc_id", "fp"])
+        others = [name for name in batch.schema.names if name != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch[name] for name in others), pa.array(found, pa.int64())], [*others, "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -261,7 +262,7 @@ def near_links(distinct: DataFrame) -> DataFrame:
 
 
 def classes(prints: DataFrame) -> DataFrame:
-    """(fp, component_id): the smallest doc_id that each distinct fingerprint reaches.
+    """(fp, component_id, root): the smallest doc_id that each distinct fingerprint reaches, and its class.
 
     ``prints`` (doc_id, fp) is read several times, so it should be a written table. Null
     doc_ids take part but name no component; one of null ids alone has a null id.
@@ -272,7 +273,7 @@ def classes(prints: DataFrame) -> DataFrame:
         "fp", "first", F.coalesce("component", "fp").alias("root")
     )
     named = members.groupBy("root").agg(F.min("first").alias("component_id"))
-    return members.join(named, "root").select("fp", "component_id")
+    return members.join(named, "root").select("fp", "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -289,16 +290,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """Documents of which no near copy has a smaller doc_id, with all their columns.
+    """One document of each class of near copies, with all its columns: that of smallest doc_id.
 
-    A doc_id names one document: of rows that repeat it, the one whose text sorts first stays.
-    Rows without a doc_id cannot be named as copies; they are compared but stay.
+    Rows that repeat a doc_id are documents of their own unless they are near copies; within
+    one class and doc_id the text of least digest stays, and of rows with the same doc_id
+    and text one, whatever columns of whatever type they have besides. Rows without a doc_id cannot be named
+    as copies; they are compared but stay.
     """
-    from pyspark.sql import Window
-
-    found = near_duplicates(docs)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
-    rank = "_" * max(len(c) for c in docs.columns) + "_rank"
-    one = docs.join(kept, "doc_id", "left_semi").withColumn(rank, first).filter(F.col(rank) == 1).drop(rank)
-    return one.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    longest = "_" * max(len(c) for c in docs.columns)
+    digest, copies = f"{longest}_digest", f"{longest}_copies"
+    text = F.col("text").cast("string")
+    named = docs.withColumn(digest, F.coalesce(F.md5(text), F.lit("-")))
+    wanted = named.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.col(digest).alias("digest"))
+    importable(docs.sparkSession)
+    prints = stage(wanted.mapInArrow(_fingerprints, "doc_id bigint, digest string, fp bigint"), "fingerprints")
+    counted = prints.filter("doc_id is not null").groupBy("fp", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    first = counted.join(classes(prints), "fp").groupBy("root").agg(F.min(F.struct("doc_id", "digest", "n")).alias("f"))
+    kept = stage(first.select("f.doc_id", F.col("f.digest").alias(digest), F.col("f.n").alias(copies)), "kept")
+
+    def rows(which: str) -> DataFrame:
+        return named.join(kept.filter(f"{copies} {which} 1"), ["doc_id", digest])
+
+    # Equal texts of one doc_id are folded on the map side, so they may be any share of the rows.
+    whole = F.struct(*docs.columns)
+    folded = rows(">").groupBy("doc_id", digest).agg(F.min_by(whole, F.to_json(whole)).alias(copies))
+    one = rows("=").select(*docs.columns).unionByName(folded.select(f"{copies}.*"))
+    return one.unionByName(docs.filter(F.col("doc_id").isNull()))
