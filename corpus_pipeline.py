@@ -5,8 +5,8 @@ documents, near copies and documents with benchmark passages go, and the mix rep
 small sources. Null and empty texts pass through all stages: they are scored like any
 text, share fingerprint zero, hold no benchmark passage, count no token in the mix, and
 come out as the end id alone. Rows without a doc_id stay, except where the classifier or the
-benchmark rejects them; rows that repeat a doc_id become one document at the near-copy
-stage. Extra columns of the input are carried to the last stage, and an empty table gives
+benchmark rejects them; rows that repeat a doc_id are documents of their own, of which
+near copies become one. Extra columns of the input are carried to the last stage, and an empty table gives
 an empty result.
 """
 
