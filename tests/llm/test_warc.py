@@ -60,6 +60,36 @@ def test_broken_archives_are_refused():
         list(warc.arc_records(good.replace(b"1 0 thread", b"3 0 thread")))
 
 
+def test_blanks_in_urls_and_content_types():
+    for version in (1, 2):
+        values = {"URL": "http://x/a b  c", "IP-address": "1.2.3.4", "Archive-date": "19970425103500", "Content-type": "text/html; charset=x"}
+        raw = warc.arc_preamble(version, "19970425103500") + b"\n" + warc._arc_record(version, values, b"hello") * 2
+        found = list(warc.arc_records(raw))
+        assert [b for *_, b in found] == [b"hello"] * 2
+        assert [(f["URL"], f["Content-type"]) for _, f, _ in found] == [("http://x/a b  c", "text/html; charset=x")] * 2
+
+
+def test_damaged_files_are_listed(spark):
+    sound = warc.write_arc(pages(spark, [(1, "http://x/", "hello"), (2, "http://y/", "there")]))
+    values = {"URL": "http://z/", "IP-address": "-", "Archive-date": "19970425103500", "Content-type": "text/html"}
+    bad = warc.member(warc.arc_preamble(1, "19970425103500") + warc._arc_record(1, values, b"fine") + b"http://z/ nonsense\n")
+    broken = warc.write_blobs(spark.createDataFrame([(bytearray(bad),)], "file binary"), "file", warc.TAIL, "arc")
+    assert warc.damaged_files(spark, sound).collect() == []
+    listed = warc.damaged_files(spark, broken).collect()
+    assert [(r.n_records, "header line" in r.damage) for r in listed] == [(1, True)]
+    assert [r.url for r in warc.read_arc(spark, broken, strict=False).collect()] == ["http://z/"]
+    with pytest.raises(Exception, match="header line"):
+        warc.read_arc(spark, broken).collect()
+
+
+def test_files_are_closed_by_what_they_unpack_to(spark):
+    rows = [(k, "http://x/", "same words again " * 1_000_000) for k in range(5)]
+    folder = warc.write_arc(pages(spark, rows).coalesce(1))
+    sizes = [len(warc.unpacked(bytes(r.content))) for r in warc.read_blobs(spark, folder).collect()]
+    assert len(sizes) == 3 and max(sizes) < warc.UNPACKED_BYTES + (18 << 20)
+    assert warc.read_arc(spark, folder).count() == 5
+
+
 def test_empty_table(spark):
     folder = warc.convert(spark, warc.write_arc(pages(spark, [])))
     assert warc.page_digests(spark, [folder]).count() == 0

@@ -37,7 +37,9 @@ ARC_FIELDS = {
 }
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+#: A file is closed at so many bytes, or at so many before packing, as readers unpack it whole.
 FILE_BYTES = 8 << 20
+UNPACKED_BYTES = 32 << 20
 LEVEL = 3
 SMALL = 100
 
@@ -52,6 +54,11 @@ def member(raw: bytes) -> bytes:
 TAIL = member(b"")
 
 
+def filled(record: bytes, packed: bytes) -> float:
+    """The share of a file that a record takes."""
+    return max(len(packed) / FILE_BYTES, len(record) / UNPACKED_BYTES)
+
+
 def unpacked(content: bytes) -> bytes:
     """The bytes of all gzip members of a file."""
     return gzip.GzipFile(fileobj=io.BytesIO(content)).read()
@@ -101,16 +108,17 @@ def write_arc(pages: DataFrame, version: int = 1, date: str = "20200101000000")
     """Pages (page_id, url, html) as ARC files; gives the folder. Null html is empty."""
 
     def archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
+        parts, size = [], 0.0
         for batch in batches:
             for page_id, url, html in zip(batch["page_id"].to_pylist(), batch["url"], batch["html"]):
                 block = http_block(page_id, (html.as_py() or "").encode())
                 shared = {"URL": _field(url.as_py()), "IP-address": "0.0.0.0", "Archive-date": date, "Content-type": "text/html"}
-                parts.append(member(_arc_record(version, shared, block)))
-                size += len(parts[-1])
-                if size >= FILE_BYTES:
+                record = _arc_record(version, shared, block)
+                parts.append(member(record))
+                size += filled(record, parts[-1])
+                if size >= 1:
                     yield _batch(file=pa.array([b"".join([member(arc_preamble(version, date)), *parts])], pa.binary()))
-                    parts, size = [], 0
+                    parts, size = [], 0.0
         if parts:
             yield _batch(file=pa.array([b"".join([member(arc_preamble(version, date)), *parts])], pa.binary()))
 
@@ -120,6 +128,21 @@ def write_arc(pages: DataFrame, version: int = 1, date: str = "20200101000000")
     return write_blobs(wanted.mapInArrow(archives, "file binary"), "file", TAIL, "arc")
 
 
+#: What tells the fields apart: a URL and a content type may hold blanks, an address and a time do not.
+_HEADER = re.compile(r"(.+?) ([0-9A-Fa-f.:]+|-) (\d{14}|\d{12}) (.+)")
+
+
+def header_fields(line: str, names: list[str]) -> dict[str, str] | None:
+    """The named fields of a record's header line; None if it has not got them."""
+    found, after = _HEADER.fullmatch(line), len(names) - 4
+    if found is None:
+        return None
+    kind = found[4].split(" ")
+    if len(kind) <= after or not kind[-1].isdecimal():
+        return None
+    return dict(zip(names, [*found.groups()[:3], " ".join(kind[:-after]), *kind[-after:]]))
+
+
 def arc_records(raw: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
     """(offset, header fields, block) of the records after the version block."""
     end = raw.index(b"\n")
@@ -137,10 +160,9 @@ def arc_records(raw: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
             at += 1
             continue
         end = raw.index(b"\n", at)
-        values = raw[at:end].rstrip(b"\r").decode().split(" ")
-        if len(values) != len(names):
-            raise ValueError(f"{len(values)} fields in the header line at {at}, not {len(names)}")
-        fields = dict(zip(names, values))
+        fields = header_fields(raw[at:end].rstrip(b"\r").decode(errors="replace"), names)
+        if fields is None:
+            raise ValueError(f"the header line at {at} has not the fields {names}")
         length = int(fields["Archive-length"])
         if end + 1 + length > len(raw):
             raise ValueError(f"the record at {at} is cut off")
@@ -156,21 +178,50 @@ def iso_time(date: str) -> str:
 CONVERTED = "record_id string, page_id bigint, url string, date string, ip string, digest string, n_bytes bigint, packed binary"
 
 
-def read_arc(spark: SparkSession, folder: str, blocks: bool = True) -> DataFrame:
-    """The records of ARC files with what WARC asks for; ``packed`` is the zipped block, if wanted."""
+def sound_records(content: bytes, path: str, strict: bool) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """The records of a packed file; a damaged one ends it, or the job if ``strict``."""
+    try:
+        yield from arc_records(unpacked(content))
+    except (ValueError, OSError, EOFError) as damage:
+        if strict:
+            raise ValueError(f"{path}: {damage}") from damage
+
+
+def damaged_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, n_records, damage) of the ARC files that cannot be read to their end; ``n_records`` can."""
+
+    def damages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch["path"].to_pylist(), batch["content"]):
+                count = 0
+                try:
+                    for count, _ in enumerate(arc_records(unpacked(content.as_py())), 1):
+                        pass
+                except (ValueError, OSError, EOFError) as damage:
+                    yield pa.RecordBatch.from_pylist([{"path": path, "n_records": count, "damage": str(damage)}])
+
+    return read_blobs(spark, folder).select("path", "content").mapInArrow(damages, "path string, n_records bigint, damage string")
+
+
+def read_arc(spark: SparkSession, folder: str, blocks: bool = True, strict: bool = True) -> DataFrame:
+    """The records of ARC files with what WARC asks for; ``packed`` is the zipped block, if wanted.
+
+    A damaged file ends the job with its path and place, unless not ``strict``: then the
+    records before the damage count, and ``damaged_files`` lists what was left out.
+    """
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=LEVEL)
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 place, rows = path.as_py().rsplit("/", 1)[-1], []
-                for at, fields, block in arc_records(unpacked(content.as_py())):
+                for at, fields, block in sound_records(content.as_py(), place, strict):
                     headers, payload = split_block(block)
                     rows.append(
                         {
                             "record_id": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{place}#{at}')}>",
                             "page_id": page_of(headers),
-                            "url": fields["URL"],
+                            "url": _field(fields["URL"]),
                             "date": iso_time(fields["Archive-date"]),
                             "ip": fields["IP-address"],
                             "digest": hashlib.sha256(payload).hexdigest(),
@@ -237,14 +288,15 @@ def write_warc(records: DataFrame) -> str:
     """Records with ``refers_to_id`` as WARC files; gives the folder."""
 
     def archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
+        parts, size = [], 0.0
         for batch in batches:
             for k in range(batch.num_rows):
-                parts.append(member(warc_record(batch.slice(k, 1).to_pylist()[0])))
-                size += len(parts[-1])
-                if size >= FILE_BYTES:
+                record = warc_record(batch.slice(k, 1).to_pylist()[0])
+                parts.append(member(record))
+                size += filled(record, parts[-1])
+                if size >= 1:
                     yield _batch(file=pa.array([b"".join(parts)], pa.binary()))
-                    parts, size = [], 0
+                    parts, size = [], 0.0
         if parts:
             yield _batch(file=pa.array([b"".join(parts)], pa.binary()))
 
