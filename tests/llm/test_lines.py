@@ -60,6 +60,25 @@ def test_chains_of_changes_join(spark):
     check(spark, rows)
 
 
+def test_lines_half_alike_match_brute_force(spark):
+    rng = random.Random(5)
+    common, own = sentences(41, 1)[0][:150], sentences(42, 30)
+    every = [common + rng.choice(own)[: rng.randint(90, 160)] for _ in range(150)]
+    rows = [(k, edited(rng, line, rng.choice([0, 1, 2, 5])), "s") for k, line in enumerate(every)]
+    check(spark, rows)
+
+
+def test_lines_alike_share_a_prefix():
+    rng = random.Random(3)
+    base = sentences(43, 40)
+    for line in base:
+        lead = rng.choice([line, rng.choice(base), line[: len(line) // 2] + rng.choice(base)])
+        for k in (1, 2, 4, 6):
+            other = edited(rng, line, k) + "z" * rng.randint(0, 12)
+            if lines.similarity(line, other) >= 0.8:
+                assert set(lines.prefix(line, lead)[1]) & set(lines.prefix(other, lead)[1])
+
+
 def test_odd_rows_match_brute_force(spark):
     rows = [(i, t, s) for i, t, s in odd_rows() if i != 26]
     check(spark, rows + [(50, "short\n\n \nshort\nshort2\n\tx", "s"), (51, "short\r\nshort", "s"), (52, "\n", "s")])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.llm.common import importable
-from threadlens.sources.tables import stage
+from threadlens.sources.tables import drop_stage, stage
 
 CHUNK = 1_000_000
 
@@ -83,7 +83,8 @@ def components(links: DataFrame) -> DataFrame:
 
     ``links`` (a, b) are bigint pairs in any order, repeated or not; rows with a null are
     ignored. Each task first replaces its links by a forest, then star rounds run until
-    the links no longer change; every round is written, so nothing is worked out twice.
+    the links no longer change; every round is written, so nothing is worked out twice, and
+    replaces the one before.
     """
     spark = importable(links.sparkSession)
     given = links.select("a", "b").filter("a != b")
@@ -96,5 +97,6 @@ def components(links: DataFrame) -> DataFrame:
         if mark[0] == 0 or mark == before:
             break
         before = mark
-        now = stage(_star_round(now), "links")
+        last, now = now, stage(_star_round(now), "links")
+        drop_stage(last)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component"))

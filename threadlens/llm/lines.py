@@ -3,12 +3,16 @@
 A line is the set of its runs of ``SHINGLE`` characters. Each shingle's hash puts it in one
 of ``BINS`` bins, a bin keeps its least hash, and empty bins borrow from others by a fixed
 rule. Bands of ``ROWS`` bins make candidates: a line meets the first line of each of its
-bands, then other lines that lead in turn, and where two sets of joined lines still share a
-band in the end, all pairs across them. Exact Jaccard similarity decides, and union-find keeps one line per component.
+bands. Where a band then still holds several sets of joined lines, its lines are put under
+those of their shingles that come first in an order of the band's own, so many that lines
+that are alike must share one. There too a line meets the first line, and in the end all
+lines of other sets. Exact Jaccard similarity decides, and union-find keeps one line per
+component.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -17,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_64_intdigest
 
 from threadlens.llm.common import forget, importable
 from threadlens.llm.components import components
@@ -29,8 +34,8 @@ ROWS = 3
 #: A prime number of bins; the bands read the first of them.
 BINS = 31
 SIMILAR = 0.8
-#: Rounds of leading lines before all pairs across the sets left are compared.
-ROUNDS = 3
+#: Rows of prefixes made into one batch.
+ROWS_OUT = 1 << 16
 #: Characters of text hashed together.
 PIECE = 1 << 16
 
@@ -162,10 +167,58 @@ def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     return each.select("x.id", F.element_at("all", F.col("x.line_no") + 1).alias("line"))
 
 
-def _labelled(met: DataFrame, sets: DataFrame) -> DataFrame:
-    """(key, id, c): the members of each band with the set they belong to so far, as a written table."""
-    found = met.select("key", "id").join(sets, met["id"] == sets["node"], "left")
-    return stage(found.select("key", "id", F.coalesce("component", "id").alias("c")), "labelled")
+def prefix(line: str, lead: str) -> tuple[int, list[int]]:
+    """How many shingles a line has, and hashes of those it is looked up by.
+
+    Shingles that the band's first line lacks come before those that it has, each kind by
+    hash. Of n shingles a line alike shares at least ``SIMILAR`` n, so the two share one of
+    the first n - ceil(``SIMILAR`` n) + 1 of each. What all lines of a band have in common
+    comes last and makes no candidates.
+    """
+    own, common = shingles(line), shingles(lead)
+    size = len(own)
+    first = sorted((s in common, xxh3_64_intdigest(s.encode("utf-8", "surrogatepass"))) for s in own)
+    return size, [h for _, h in first[: size - math.ceil(SIMILAR * size - 1e-9) + 1]]
+
+
+def _prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(ids: list[int], sets: list[int], sizes: list[int], hashes: list[list[int]], keys: list[int]) -> pa.RecordBatch:
+        counts = np.array([len(h) for h in hashes])
+        groups = np.fromiter((x for h in hashes for x in h), dtype=np.uint64, count=counts.sum())
+        groups = (groups ^ np.repeat(np.array(keys, dtype=np.int64).view(np.uint64), counts) * _A) * _B
+        columns = {"g": groups.view(np.int64), "id": np.repeat(ids, counts), "c": np.repeat(sets, counts)}
+        return pa.RecordBatch.from_pydict({**columns, "size": np.repeat(sizes, counts)})
+
+    for batch in batches:
+        held: list[tuple] = []
+        n = 0
+        for key, line_id, c, line, lead in zip(*(batch[x].to_pylist() for x in ("key", "id", "c", "line", "lead"))):
+            size, hashes = prefix(line, lead)
+            held.append((line_id, c, size, hashes, key))
+            n += len(hashes)
+            if n >= ROWS_OUT:
+                yield made(*map(list, zip(*held)))
+                held, n = [], 0
+        if held:
+            yield made(*map(list, zip(*held)))
+
+
+def _in_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rows`` with the set ``c`` that each ``id`` belongs to so far."""
+    found = rows.drop("c").join(sets, rows["id"] == sets["node"], "left")
+    return found.withColumn("c", F.coalesce("component", "id")).drop("node", "component")
+
+
+def _mixed(rows: DataFrame, by: str, first: str = "id") -> DataFrame:
+    """(by, first_*) of the groups that hold lines of several sets, with one of their lines."""
+    named = [x for x in dict.fromkeys([first, "id", "c", "size"]) if x in rows.columns]
+    found = rows.groupBy(by).agg(F.min(F.struct(*named)).alias("lead"), F.min("c").alias("low"), F.max("c").alias("high"))
+    return found.filter("low <> high").select(by, "lead")
+
+
+def _could_be_alike(size: str, other: str) -> F.Column:
+    """Sets of these sizes can reach the similarity."""
+    return F.least(size, other) >= F.greatest(size, other) * SIMILAR - 1e-6
 
 
 def _links(sets: DataFrame) -> DataFrame:
@@ -202,32 +255,35 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     lines = stage(lines_at(docs, places.join(met.select("id").distinct(), "id", "left_semi")), "lines")
     forget(spark)
     stars = met.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    tried = stage(stars, "pairs")
+    tried = stars = stage(stars, "pairs")
     sets = components(verified(tried, lines))
 
-    # Other lines of each band lead in turn: cheap rounds that join most of what belongs together.
-    for turn in range(ROUNDS):
-        labelled = _labelled(met, sets)
-        order = F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "c")
-        leads = labelled.groupBy("key").agg(F.min(order).alias("lead"), F.min("c").alias("low"), F.max("c").alias("high"))
-        leads = leads.filter("low <> high").select("key", F.col("lead.id").alias("other"), F.col("lead.c").alias("d"))
-        pairs = labelled.join(leads, "key").filter("c <> d")
-        fresh = stage(_untried(pairs, tried), "pairs")
-        more = stage(verified(fresh, lines), "alike")
-        drop_stage(labelled)
-        forget(spark)
-        tried = tried.unionAll(fresh)
-        if more.isEmpty():
-            break
-        sets = components(_links(sets).unionAll(more))
-
-    # Bands that still hold lines of several sets: all pairs across the sets, none within one.
-    labelled = _labelled(met, sets)
-    mixed = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("key")
-    across = labelled.join(mixed, "key", "left_semi")
-    other = across.select("key", F.col("id").alias("other"), F.col("c").alias("d"))
-    more = stage(verified(_untried(across.join(other, "key").filter("c < d"), tried), lines), "alike")
-    for used in (lines, met, labelled):
+    # Bands that still hold lines of several sets: looked up by shingles that decide.
+    labelled = stage(_in_sets(met, sets), "labelled")
+    drop_stage(met)
+    mixed = _mixed(labelled, "key", "first").select("key", F.col("lead.first").alias("first"))
+    across = labelled.drop("first").join(mixed, "key")
+    leads = lines.select(F.col("id").alias("first"), F.col("line").alias("lead"))
+    texts = across.join(lines, "id").join(leads, "first").select("key", "id", "c", "line", "lead")
+    under = stage(texts.mapInArrow(_prefixed, "g bigint, id bigint, c bigint, size bigint"), "prefixes")
+    drop_stage(labelled)
+    forget(spark)
+    lead = _mixed(under, "g").select("g", F.col("lead.id").alias("other"), F.col("lead.c").alias("d"), F.col("lead.size").alias("o"))
+    pairs = under.join(lead, "g").filter((F.col("c") != F.col("d")) & _could_be_alike("size", "o"))
+    fresh = stage(_untried(pairs, tried), "pairs")
+    more = stage(verified(fresh, lines), "alike")
+    forget(spark)
+    tried = tried.unionAll(fresh)
+    sets = components(_links(sets).unionAll(more))
+
+    # All pairs across the sets that are left, none within one.
+    labelled = stage(_in_sets(under, sets), "labelled")
+    drop_stage(under)
+    across = labelled.join(_mixed(labelled, "g").select("g"), "g", "left_semi")
+    other = across.select("g", F.col("id").alias("other"), F.col("c").alias("d"), F.col("size").alias("o"))
+    pairs = across.join(other, "g").filter((F.col("c") < F.col("d")) & _could_be_alike("size", "o"))
+    more = stage(verified(_untried(pairs, tried), lines), "alike")
+    for used in (lines, labelled, stars, fresh):
         drop_stage(used)
     forget(spark)
 
