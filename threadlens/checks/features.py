@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from threadlens.checks.registry import query, rounded, table
-from threadlens.operators import corpus, features
+from threadlens.operators import corpus, features, models
 
 LISTED = """listed as (
   select doc_id, string_split_regex(regexp_replace(lower(text), '\\s+$', ''), '\\s') as words from documents)"""
@@ -57,6 +57,27 @@ def _indexed_sql(label: str) -> str:
 ixs as (select {label}, (row_number() over (order by n desc, {label}) - 1)::double as label_ix from sizes)"""
 
 
+@query(f"""with {COUNTED},
+totals as (select term, sum(tf) as total, count(*) as df from tf group by term),
+levels as (select total, sum(count(*)) over (order by total desc) as above from totals group by total),
+kept as (select term, df from totals where total >= (select min(total) from levels where above <= {features.VOCABULARY}))
+select doc_id, term, tf, round(tf * ln(((select count(*) from documents) + 1) / (df + 1)), 6) as weight
+from tf join kept using (term)""")
+def fitted_stages(spark, folder):
+    """The entries of the vectors that the fitted vectoriser and weights themselves make.
+
+    The vocabulary ends where no words tie, so that it is the same wherever it is fitted.
+    """
+    docs = documents(spark, folder).select("doc_id", "text")
+    words = features.tokenizer("text").transform(docs).select("words")
+    counts = words.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    size = counts.filter(F.col("n") >= models.least_count(words, "words", features.VOCABULARY)).count()
+    model = features.fit_tfidf(docs, "text", vocabulary=size)
+    rows = model.transform(docs)
+    found = features.vectors_long(rows, "doc_id", "rawFeatures", "features", features.vocabulary_of(model))
+    return found.withColumns(rounded(6, "weight"))
+
+
 @query(f"with {_indexed_sql('source')} select doc_id, source, label_ix from documents join ixs using (source)")
 def index_labels(spark, folder):
     docs = documents(spark, folder).select("doc_id", "source")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
     IDF,
@@ -58,6 +60,17 @@ def vocabulary_of(model) -> list[str]:
     raise ValueError("no fitted vectoriser in this model")
 
 
+def vectors_long(df: DataFrame, ident: str, counts: str, weights: str, terms: Sequence[str]) -> DataFrame:
+    """(id, term, tf, weight) of the entries that two sparse vectors of a row share, as the
+    fitted stages made them; ``terms`` by index are at most a vocabulary."""
+    names = df.sparkSession.createDataFrame(list(enumerate(terms)), "_index int, term string")
+    given, weighed = F.unwrap_udt(counts), F.unwrap_udt(weights)
+    entries = F.arrays_zip(given["indices"].alias("i"), given["values"].alias("v"), weighed["values"].alias("w"))
+    rows = df.select(ident, F.explode(entries).alias("_e"))
+    rows = rows.select(ident, F.col("_e.i").alias("_index"), F.col("_e.v").cast("bigint").alias("tf"), F.col("_e.w").alias("weight"))
+    return rows.join(names, "_index").select(ident, "term", "tf", "weight")
+
+
 def count_vectors_long(
     df: DataFrame, ident: str, tokens: Column, vocabulary: int | None = None
 ) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,23 @@ def write_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
+_opened: ContextVar[list[DataFrame] | None] = ContextVar("opened", default=None)
+
+
+@contextmanager
+def staging() -> Iterator[None]:
+    """Frames staged inside are dropped at the end, also where the work fails; what is to
+    stay has to be written before."""
+    made: list[DataFrame] = []
+    outer = _opened.set(made)
+    try:
+        yield
+    finally:
+        _opened.reset(outer)
+        for staged in made:
+            drop_stage(staged)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a frame that several jobs will read to the shared folder, and read it back.
 
@@ -39,6 +58,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     staged = read_parquet(df.sparkSession, path, df.schema)
     staged.staged_at = path
+    made = _opened.get()
+    if made is not None:
+        made.append(staged)
     return staged
 
 
