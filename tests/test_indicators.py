@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 
 from threadlens.plans.indicators import indicator_summaries, load_indicators
+from threadlens.plans.jobs import indicators_job
 from threadlens.sources.indicators import read_saved_indicators
+from threadlens.sources.results import read_results
 
 MONTHS = "January February March April May June July August September October November December".split()
 
@@ -32,7 +34,7 @@ YEARLY = {
 
 
 @pytest.fixture(scope="module")
-def indicators(spark, tmp_path_factory):
+def published(tmp_path_factory):
     at = tmp_path_factory.mktemp("indicators")
     short = [m[:3] for m in MONTHS]
     cpi = ["﻿Prices,,", "Years:,2020 to 2021,", ",,", ",".join(["Year", *short, "HALF1", "HALF2"])]
@@ -45,7 +47,20 @@ def indicators(spark, tmp_path_factory):
     for name, lines in (("cpi", cpi), ("jobless", jobless), ("dow", dow)):
         (at / f"{name}.csv").write_text("\n".join(lines), encoding="utf-8")
         paths.append(str(at / f"{name}.csv"))
-    return load_indicators(spark, *paths)
+    return paths
+
+
+@pytest.fixture(scope="module")
+def indicators(spark, published):
+    return load_indicators(spark, *published)
+
+
+def test_the_job_writes_the_same_months_again(spark, published, indicators, tmp_path):
+    for _ in range(2):
+        indicators_job(spark, *published, str(tmp_path / "out"))
+        found = read_results(spark, str(tmp_path / "out"))
+        assert set(found) == {"indicators", "summary_table1", "summary_table2", "plotting"}
+        assert sorted(map(tuple, found["indicators"].collect())) == sorted(map(tuple, indicators.collect()))
 
 
 def test_all_months_match(indicators):

@@ -5,10 +5,11 @@ import os
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from threadlens import session
 from threadlens.operators import features, models
-from threadlens.plans import engagement, jobs, prediction
+from threadlens.plans import engagement, jobs, prediction, texts
 from threadlens.schemas import COMMENTS, SUBMISSIONS
 from threadlens.sources import results, tables
 
@@ -100,3 +101,44 @@ def test_a_bare_tree_refuses_rows_it_cannot_read(spark):
     found = prediction.predicted(tree, nulls, ["y"]).collect()
     assert len(found) == 10 and sum(r.prediction is None for r in found) == 1
     assert prediction.predicted(tree, df.limit(0), ["y"]).count() == 0
+
+
+@pytest.fixture(scope="module")
+def dated(spark):
+    rows = []
+    for k in range(90):
+        title = ["good tax plan", "bad border order", "awful school news", "great climate talk"][k % 4] + f" {k % 11}"
+        rows.append((engagement.COMMUNITIES[k % 3], title, k, k % 7, 1_610_000_000 + k % 12 * 2_500_000, f"p{k}"))
+    posts = spark.createDataFrame(rows, "subreddit string, title string, score long, num_comments long, created_utc long, id string")
+    months = spark.createDataFrame(
+        [(2021, m, 260.0 + m, 6.0 - m / 10, 30000.0 + m) for m in range(1, 13)],
+        "Year int, Month int, CPI double, Unemp_Rate double, DOW double",
+    ).withColumn("date", F.make_date("Year", "Month", F.lit(1)))
+    return engagement.post_features(posts), months
+
+
+def test_text_and_title_jobs(spark, tmp_path, shared, dated):
+    jobs.texts_job(dated[0], "id", "title", dated[1], str(tmp_path / "texts"))
+    found = results.read_results(spark, str(tmp_path / "texts"))
+    rows = found["texts"].count()
+    assert rows == dated[0].filter("year = 2021").count() > 50
+    assert found["cleaned"].count() == found["annotated"].count() == rows
+    assert found["lengths"].selectExpr("sum(frequency)").first()[0] == rows
+    jobs.titles_job(found["texts"], "title", {"good": 1.0, "bad": -1.0}, str(tmp_path / "titles"))
+    titles = results.read_results(spark, str(tmp_path / "titles"))
+    assert titles["scored"].count() == rows and "polarization_score" in titles["scored"].columns
+    assert titles["by_community"].selectExpr("sum(count)").first()[0] == rows
+    assert os.listdir(shared) == []
+
+
+def test_learning_job_then_predictions(spark, tmp_path, shared, dated):
+    rows = texts.with_indicators(dated[0], "title", dated[1])
+    out = str(tmp_path / "out")
+    jobs.learning_job(rows, out, text_options={"vocabulary": 50}, rounds=1, depth=2)
+    found = results.read_results(spark, out)
+    assert set(found) == {"comparison", "predictions_decision_tree", "predictions_gradient_boost"}
+    assert found["comparison"].count() == 2 and os.listdir(shared) == []
+    vectors = models.load_model(f"{out}/models/text").transform(rows.select("id", "title"))
+    prediction.prediction_job(f"{out}/models/gradient_boost", vectors, ["id"], str(tmp_path / "new"))
+    scored = results.read_results(spark, str(tmp_path / "new"))["predictions"]
+    assert scored.filter("prediction is not null").count() == rows.count()
