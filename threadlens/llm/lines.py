@@ -192,7 +192,7 @@ def _prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         held: list[tuple] = []
         n = 0
-        for key, line_id, c, line, lead in zip(*(batch[x].to_pylist() for x in ("key", "id", "c", "line", "lead"))):
+        for key, line_id, c, line, lead in zip(*(batch[x].to_pylist() for x in ("first", "id", "c", "line", "lead"))):
             size, hashes = prefix(line, lead)
             held.append((line_id, c, size, hashes, key))
             n += len(hashes)
@@ -262,9 +262,10 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     labelled = stage(_in_sets(met, sets), "labelled")
     drop_stage(met)
     mixed = _mixed(labelled, "key", "first").select("key", F.col("lead.first").alias("first"))
-    across = labelled.drop("first").join(mixed, "key")
+    # Bands with the same first line share its order, so a line is put under its shingles once for them.
+    across = labelled.drop("first").join(mixed, "key").select("first", "id", "c").distinct()
     leads = lines.select(F.col("id").alias("first"), F.col("line").alias("lead"))
-    texts = across.join(lines, "id").join(leads, "first").select("key", "id", "c", "line", "lead")
+    texts = across.join(lines, "id").join(leads, "first").select("first", "id", "c", "line", "lead")
     under = stage(texts.mapInArrow(_prefixed, "g bigint, id bigint, c bigint, size bigint"), "prefixes")
     drop_stage(labelled)
     forget(spark)
