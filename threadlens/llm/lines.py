@@ -248,7 +248,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     bands = stage(lines_at(docs, places).mapInArrow(_banded, "id bigint, key bigint"), "bands")
     forget(spark)
     shared = bands.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = stage(bands.join(shared.select("key", "first"), "key"), "met")
+    met = stage(bands.join(shared.select("key", "first", (F.col("n") > 2).alias("more")), "key"), "met")
     drop_stage(bands)
     forget(spark)
     # Only lines that share a band are compared, so only their text is kept at hand.
@@ -258,8 +258,9 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     tried = stars = stage(stars, "pairs")
     sets = components(verified(tried, lines))
 
-    # Bands that still hold lines of several sets: looked up by shingles that decide.
-    labelled = stage(_in_sets(met, sets), "labelled")
+    # Bands that still hold lines of several sets besides their first, which all have met: looked up
+    # by shingles that decide.
+    labelled = stage(_in_sets(met.filter("more and id <> first").drop("more"), sets), "labelled")
     drop_stage(met)
     mixed = _mixed(labelled, "key", "first").select("key", F.col("lead.first").alias("first"))
     # Bands with the same first line share its order, so a line is put under its shingles once for them.
