@@ -21,7 +21,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from xxhash import xxh3_64_intdigest
 
 from threadlens.llm.common import forget, importable
 from threadlens.llm.components import components
@@ -167,7 +166,13 @@ def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     return each.select("x.id", F.element_at("all", F.col("x.line_no") + 1).alias("line"))
 
 
-def prefix(line: str, lead: str) -> tuple[int, list[int]]:
+@lru_cache(maxsize=64)
+def sorted_hashes(line: str) -> np.ndarray:
+    """Hashes of the distinct shingles of a line of at least ``SHINGLE`` characters."""
+    return np.unique(shingle_hashes([line])[0])
+
+
+def prefix(line: str, lead: str) -> tuple[int, np.ndarray]:
     """How many shingles a line has, and hashes of those it is looked up by.
 
     Shingles that the band's first line lacks come before those that it has, each kind by
@@ -175,17 +180,16 @@ def prefix(line: str, lead: str) -> tuple[int, list[int]]:
     the first n - ceil(``SIMILAR`` n) + 1 of each. What all lines of a band have in common
     comes last and makes no candidates.
     """
-    own, common = shingles(line), shingles(lead)
+    own, led = sorted_hashes(line), sorted_hashes(lead)
+    common = led[np.minimum(np.searchsorted(led, own), len(led) - 1)] == own
     size = len(own)
-    first = sorted((s in common, xxh3_64_intdigest(s.encode("utf-8", "surrogatepass"))) for s in own)
-    return size, [h for _, h in first[: size - math.ceil(SIMILAR * size - 1e-9) + 1]]
+    return size, np.concatenate([own[~common], own[common]])[: size - math.ceil(SIMILAR * size - 1e-9) + 1]
 
 
 def _prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def made(ids: list[int], sets: list[int], sizes: list[int], hashes: list[list[int]], keys: list[int]) -> pa.RecordBatch:
+    def made(ids: list[int], sets: list[int], sizes: list[int], hashes: list[np.ndarray], keys: list[int]) -> pa.RecordBatch:
         counts = np.array([len(h) for h in hashes])
-        groups = np.fromiter((x for h in hashes for x in h), dtype=np.uint64, count=counts.sum())
-        groups = (groups ^ np.repeat(np.array(keys, dtype=np.int64).view(np.uint64), counts) * _A) * _B
+        groups = (np.concatenate(hashes) ^ np.repeat(np.array(keys, dtype=np.int64).view(np.uint64), counts) * _A) * _B
         columns = {"g": groups.view(np.int64), "id": np.repeat(ids, counts), "c": np.repeat(sets, counts)}
         return pa.RecordBatch.from_pydict({**columns, "size": np.repeat(sizes, counts)})
 
