@@ -1,6 +1,8 @@
 """What the model queries learn from and try."""
 
 import compare
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 from threadlens.checks import models as checks
 from threadlens.checks.registry import table
 from threadlens.operators import features, models, sampling
@@ -42,3 +44,14 @@ def test_embedding_is_saved_and_loaded(spark, tmp_path):
     models.save_model(model, str(tmp_path / "m"))
     again = models.trained_sentiment(models.load_model(str(tmp_path / "m")), df, "text")
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, models.trained_sentiment(model, df, "text").collect()))
+
+
+def test_scorers_work_in_a_session_whose_frames_were_observed(spark):
+    df = spark.createDataFrame([("a b c", 1.0), ("d e f", 0.0)] * 10, "text string, label double")
+    seen = Observation("seen")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 20}
+    embedding = models.train_embedding(df, "text", size=3)
+    scorers = [models.train_sentiment(df, "text", "label"), models.train_embedded_sentiment(embedding, df, "text", "label")]
+    for model in scorers:
+        assert {r.sentiment for r in models.trained_sentiment(model, df, "text").collect()} == {"negative", "positive"}

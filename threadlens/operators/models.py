@@ -22,6 +22,7 @@ from threadlens.operators.features import (
     tokenizer,
     vocabulary_of,
 )
+from threadlens.session import new_path
 
 
 def decision_tree(label: str, depth: int = 10, bins: int = 25) -> DecisionTreeRegressor:
@@ -99,6 +100,16 @@ def load_model(path: str):
     return DefaultParamsReader.loadParamsInstance(path, SparkSession.active())
 
 
+def without_summary(model):
+    """A fitted model, written and loaded again, without the summary of its fit.
+
+    The summary holds the session, which cannot be sent to tasks once any frame of it was observed.
+    """
+    path = new_path(SparkSession.active(), "fitted")
+    save_model(model, path)
+    return load_model(path)
+
+
 def train_sentiment(
     labelled: DataFrame, text: str, label: str, vocabulary: int = VOCABULARY, rounds: int = 20
 ) -> PipelineModel:
@@ -107,7 +118,8 @@ def train_sentiment(
         *tfidf_stages(text, vocabulary=vocabulary),
         LogisticRegression(labelCol=label, featuresCol="features", maxIter=rounds, regParam=0.01),
     ]
-    return Pipeline(stages=stages).fit(labelled)
+    *before, scorer = Pipeline(stages=stages).fit(labelled).stages
+    return PipelineModel(stages=[*before, without_summary(scorer)])
 
 
 #: Words that have vectors: the vectors of all are in each task's memory, 200 numbers a word at most.
@@ -150,7 +162,7 @@ def train_embedded_sentiment(embedding: PipelineModel, labelled: DataFrame, text
     zero = F.lit(sizes["all"] / (2 * max(1, sizes["all"] - sizes["one"])))
     weighted = rows.withColumn("_weight", F.when(F.col(label) == 1, one).otherwise(zero))
     scorer = LogisticRegression(labelCol=label, featuresCol="embedding", weightCol="_weight", maxIter=rounds, regParam=0.001)
-    return PipelineModel(stages=[*embedding.stages, scorer.fit(weighted)])
+    return PipelineModel(stages=[*embedding.stages, without_summary(scorer.fit(weighted))])
 
 
 def trained_sentiment(
