@@ -1,11 +1,14 @@
 """What the model queries learn from and try."""
 
 import compare
+import pytest
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from threadlens.checks import models as checks
 from threadlens.checks.registry import table
-from threadlens.operators import features, models, sampling
+from threadlens.operators import features, models, sampling, trees
 
 
 def test_forests_try_every_row_whatever_they_are_fitted_on(spark, folder, monkeypatch):
@@ -55,3 +58,29 @@ def test_scorers_work_in_a_session_whose_frames_were_observed(spark):
     scorers = [models.train_sentiment(df, "text", "label"), models.train_embedded_sentiment(embedding, df, "text", "label")]
     for model in scorers:
         assert {r.sentiment for r in models.trained_sentiment(model, df, "text").collect()} == {"negative", "positive"}
+
+
+@pytest.mark.parametrize("kind", ["decision_tree", "boosted_trees"])
+def test_sparse_trees_predict_like_those_of_the_library(spark, kind):
+    estimator = models.decision_tree("y", depth=4, bins=8) if kind == "decision_tree" else models.boosted_trees("y", rounds=3, depth=2)
+    rows = [(Vectors.sparse(6, [(i, float(v)) for i, v in enumerate(f(k) for f in (
+        lambda k: k % 3, lambda k: k % 5 // 3, lambda k: k * k % 7 // 2, lambda k: k % 11 % 4, lambda k: 1)) if v]),
+        float(k % 3 * 4 + (k * k % 7 // 2) ** 2 + k / 1000)) for k in range(60)]
+    df = spark.createDataFrame([*rows, (Vectors.sparse(6, [], []), 2.5)], ["features", "y"])
+    ours, theirs = (m.transform(df).select("y", "prediction").collect() for m in (trees.fit_trees(estimator, df), estimator.fit(df)))
+    assert {r.y: round(r.prediction, 9) for r in ours} == {r.y: round(r.prediction, 9) for r in theirs}
+
+
+def test_values_of_many_kinds_share_splits(spark):
+    rows = spark.createDataFrame([(0, float(v)) for v in range(1, 41)] + [(1, 2.0)] * 3 + [(1, 5.0)], "i int, v double")
+    found = trees.value_splits(rows, 5).collect()
+    many = [r for r in found if r.i == 0]
+    assert len(many) == 40 and {r.hi for r in many} == {1, 2, 3, 4} and sum(r.starts for r in many) == 4
+    assert [(r.v, r.hi, r.threshold) for r in sorted(found, key=lambda r: r.v) if r.i == 1] == [(2.0, 1, 1.0), (5.0, 2, 3.5)]
+
+
+def test_no_fit_makes_dense_rows_of_the_training_texts(spark, folder, monkeypatch):
+    given, fit = [], DecisionTreeRegressor.fit
+    monkeypatch.setattr(DecisionTreeRegressor, "fit", lambda self, df, *rest: given.append(df.count()) or fit(self, df, *rest))
+    checks.regression_run(spark, folder, models.decision_tree("target", depth=2))
+    assert max(given) <= 2

@@ -7,14 +7,14 @@ must have to each other; and whether it beat a constant guess.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from threadlens.checks.registry import query, rounded, table
 from threadlens.checks.sampling import LANGUAGES
 from threadlens.checks.sentiment import LEXICON
 from threadlens.functions.words import SENTIMENTS
-from threadlens.operators import corpus, features, metrics, models, sampling, sentiment
+from threadlens.operators import corpus, features, metrics, models, sampling, sentiment, trees
 from threadlens.session import new_path
 from threadlens.sources.tables import stage
 
@@ -55,7 +55,7 @@ def regression_run(spark, folder, estimator):
     train, test = sampling.hash_split(length_texts(spark, folder), "doc_id")
     text_model = features.fit_tfidf(dealt(train), "text")
     rows = dealt(vectors(text_model, train))
-    return text_model, estimator.fit(rows), rows, text_model.transform(test)
+    return text_model, trees.fit_trees(estimator, rows), rows, text_model.transform(test)
 
 
 def regression_facts(spark, folder, estimator):
@@ -158,8 +158,9 @@ def top_importances(spark, folder):
 from documents where {TESTED}""")
 def save_load_predict(spark, folder):
     """A saved pipeline and the bare tree in it, loaded again, predict alike."""
-    train, test = sampling.hash_split(length_texts(spark, folder), "doc_id")
-    fitted = Pipeline(stages=[*features.tfidf_stages("text"), models.decision_tree("target")]).fit(dealt(train))
+    text_model, tree, _, _ = regression_run(spark, folder, models.decision_tree("target"))
+    _, test = sampling.hash_split(length_texts(spark, folder), "doc_id")
+    fitted = PipelineModel(stages=[*text_model.stages, tree])
     paths = [new_path(spark, "model"), new_path(spark, "tree")]
     models.save_model(fitted, paths[0])
     models.save_model(fitted.stages[-1], paths[1])

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.operators import cleaning, corpus, features, metrics, models, sampling
+from threadlens.operators import cleaning, corpus, features, metrics, models, sampling, trees
 from threadlens.plans.engagement import COMMUNITIES
 from threadlens.sources.tables import stage
 
@@ -46,7 +46,7 @@ def run_regressions(rows: DataFrame, label: str = "DOW", ident: str = "id", **si
         "Decision Tree": models.decision_tree(label),
         "Gradient Boost": models.boosted_trees(label, **sizes),
     }
-    fitted = {name: estimator.fit(train) for name, estimator in estimators.items()}
+    fitted = {name: trees.fit_trees(estimator, train) for name, estimator in estimators.items()}
     found = {name: models.predicted_and_actual(m.transform(test), label) for name, m in fitted.items()}
     table = metrics.compare_models(
         {name: metrics.regression_metrics(df) for name, df in found.items()}, REGRESSION_METRICS
