@@ -5,6 +5,7 @@ from pyspark.ml.feature import CountVectorizer, Tokenizer
 from pyspark.sql import functions as F
 
 from threadlens.operators import corpus, features
+from threadlens.operators import dealing
 from threadlens.operators.dealing import dealt_out
 from threadlens.sources import tables
 
@@ -156,3 +157,12 @@ def test_only_small_inputs_are_dealt_out(spark, folder):
         assert "Repartition" not in dealt_out(docs)._jdf.queryExecution().optimizedPlan().toString()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_parts_of_word_counts_grow_with_the_input(spark, folder, monkeypatch):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert dealing.parts_of(docs) == least == dealing.parts_of(texts(spark))
+    monkeypatch.setattr(dealing, "PART_BYTES", 100)
+    counted = features.count_vectors_long(docs, "doc_id", features.spark_tokens("text"))
+    assert dealing.parts_of(docs) > 2 * least and counted.rdd.getNumPartitions() == dealing.parts_of(docs)

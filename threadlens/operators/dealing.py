@@ -20,3 +20,19 @@ def dealt_out(df: DataFrame) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     task = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     return df if bytes_of(df) >= cores * task else df.repartition(cores)
+
+
+#: Bytes of files whose texts one task counts words of: ten to twenty times that in its tables.
+PART_BYTES = 4 << 20
+
+
+def parts_of(df: DataFrame) -> int:
+    """A number of parts that grows with the input, where a task's tables grow with its texts.
+
+    A number that is named is not lessened by adaptive execution, which knows the size of
+    texts and not that of the words in them.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = bytes_of(df)
+    # Spark takes rows of unknown size for the largest there can be.
+    return least if size >= 1 << 60 else max(least, -(-size // PART_BYTES))

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.operators.corpus import term_counts, token_rows
+from threadlens.operators.dealing import parts_of
 
 # Fixed value: the vectoriser's default vocabulary size.
 VOCABULARY = 1 << 18
@@ -75,8 +76,8 @@ def count_vectors_long(
     df: DataFrame, ident: str, tokens: Column, vocabulary: int | None = None
 ) -> DataFrame:
     """(id, term, tf) over all terms, or the ``vocabulary`` most frequent ones; equal counts
-    in order of the term. Rows are dealt by id once and counted where they are."""
-    dealt = df.repartition(ident)
+    in order of the term. Rows are dealt by id once, to parts of bounded size, and counted where they are."""
+    dealt = df.repartition(parts_of(df), ident)
     counts = term_counts(token_rows(dealt, [ident], tokens), ident)
     if vocabulary is None:
         return counts
