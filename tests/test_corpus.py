@@ -4,10 +4,11 @@ from collections import Counter
 from pyspark.ml.feature import CountVectorizer, Tokenizer
 from pyspark.sql import functions as F
 
-from threadlens.operators import corpus, features
+from threadlens.operators import corpus, features, joins
 from threadlens.operators import dealing
 from threadlens.operators.dealing import dealt_out
 from threadlens.sources import tables
+from threadlens.sources.tables import stage
 
 TEXTS = ["the cat  sat on a mat", "Cat and dog", "dog dog bird\n", "", "   ", "a b"]
 
@@ -159,6 +160,17 @@ def test_only_small_inputs_are_dealt_out(spark, folder):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_rare_words_meet_their_values_like_frequent_ones(spark):
+    rows = spark.createDataFrame([(k, w) for k in range(30) for w in ["a", "b" if k % 2 else "a", f"r{k}"]], "id int, w string")
+    table = stage(rows.groupBy("w").agg(F.count(F.lit(1)).alias("n")).withColumn("size", F.col("n") * 10), "table")
+    whole = sorted(map(tuple, joins.join_by_frequency(rows, table, "w", "n").collect()))
+    for most in (0, 1, 2, 5):
+        found = joins.join_by_frequency(rows, table, "w", "n", most)
+        assert found.columns == ["w", "id", "size"] and sorted(map(tuple, found.collect())) == whole
+    near = joins.join_by_frequency(rows, table, "w", "n", 2)
+    assert "BroadcastHashJoin" in near._jdf.queryExecution().executedPlan().toString()
+
+
 def test_parts_of_word_counts_grow_with_the_input(spark, folder, monkeypatch):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -11,6 +11,7 @@ from threadlens.checks.stem_sql import STEMS, STOP_LIST
 from threadlens.functions.text import topic_flags
 from threadlens.functions.words import STOP_WORDS, TOPIC_TERMS
 from threadlens.operators import corpus, summary
+from threadlens.operators.joins import join_by_frequency
 
 WORDS = f"""listed as (select doc_id, lang, {tokens_sql("text")} as words from documents),
 raw as (select doc_id, lang, unnest(words) as word, generate_subscripts(words, 1) as pos from listed),
@@ -94,7 +95,7 @@ def coded_weights(spark, folder):
 @query(f"with {TFIDF} select doc_id, term, tf, df, round(weight, 6) as weight from weights")
 def tfidf_sklearn(spark, folder):
     weights, terms = coded_weights(spark, folder)
-    return weights.join(terms, "code").select("doc_id", "term", "tf", "df", "weight").withColumns(rounded(6, "weight"))
+    return join_by_frequency(weights, terms, "code", "n").select("doc_id", "term", "tf", "df", "weight").withColumns(rounded(6, "weight"))
 
 
 @query(f"""with {TFIDF} select term, round(sum(weight), 4) as weight from weights group by term

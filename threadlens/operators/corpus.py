@@ -13,6 +13,7 @@ from threadlens.functions.stem import stem_word
 from threadlens.functions.text import kept_tokens, letter_tokens
 from threadlens.functions.words import STOP_WORDS
 from threadlens.operators.dealing import dealt_out
+from threadlens.operators.joins import join_by_frequency
 from threadlens.operators.ranks import attach
 from threadlens.sources.tables import stage
 
@@ -143,16 +144,18 @@ def stem_counts(
 def coded_words(
     df: DataFrame, text: str, stop_words: Iterable[str] = STOP_WORDS, min_length: int = 1
 ) -> tuple[DataFrame, DataFrame]:
-    """(raw, code) and (code, term): the dictionary of a corpus, as written tables.
+    """(raw, code, n) and (code, term, n): the dictionary of a corpus, as written tables; n counts occurrences.
 
     Every distinct word is stemmed once and every distinct stem of at least ``min_length``
     letters has a number; raw words of other stems are left out.
     """
-    raw = dealt_out(df.select(text)).select(F.explode(kept_tokens(text, stop_words)).alias("raw")).distinct()
-    stems = stage(raw.select("raw", stem_word("raw").alias("term")), "stems")
+    raw = dealt_out(df.select(text)).select(F.explode(kept_tokens(text, stop_words)).alias("raw"))
+    raw = raw.groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
+    stems = stage(raw.select("raw", stem_word("raw").alias("term"), "n"), "stems")
     long = stems.filter(F.length("term") >= min_length)
-    terms = stage(long.select("term").distinct().withColumn("code", F.monotonically_increasing_id()), "terms")
-    return stage(long.join(terms, "term").select("raw", "code"), "codes"), terms
+    totals = long.groupBy("term").agg(F.sum("n").alias("n"))
+    terms = stage(totals.select("term", F.monotonically_increasing_id().alias("code"), "n"), "terms")
+    return stage(long.join(terms.drop("n"), "term").select("raw", "code", "n"), "codes"), terms
 
 
 def coded_counts(
@@ -160,11 +163,10 @@ def coded_counts(
 ) -> DataFrame:
     """(id, code, tf) of cleaned texts, as a written table; words without a code are left out.
 
-    Rows of numbers are all that is shuffled where the dictionary is small; otherwise words
-    meet their codes in a join that adaptive execution splits at a frequent word.
+    Frequent words meet their codes where they are; besides rows of numbers, only rare words are shuffled.
     """
     words = dealt_out(df.select(ident, text)).select(ident, F.explode(kept_tokens(text, stop_words)).alias("raw"))
-    counts = words.join(codes, "raw").groupBy(ident, "code").agg(F.count(F.lit(1)).alias("tf"))
+    counts = join_by_frequency(words, codes, "raw", "n").groupBy(ident, "code").agg(F.count(F.lit(1)).alias("tf"))
     return stage(counts, "counts")
 
 
@@ -173,16 +175,16 @@ def term_counts(rows: DataFrame, ident: str) -> DataFrame:
     return rows.groupBy(ident, "term").agg(F.count(F.lit(1)).alias("tf")).filter("tf > 0")
 
 
-def document_frequencies(counts: DataFrame) -> DataFrame:
+def document_frequencies(counts: DataFrame, key: str = "term") -> DataFrame:
     """(term, df); rows of ``counts`` are unique by id and term."""
-    return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return counts.groupBy(key).agg(F.count(F.lit(1)).alias("df"))
 
 
-def _weighted(documents: DataFrame, counts: DataFrame, idf: Column) -> DataFrame:
-    frequencies = attach(
-        document_frequencies(counts), documents.agg(F.count(F.lit(1)).alias("docs")), []
-    )
-    return counts.join(frequencies.select("term", "df", idf.alias("idf")), "term")
+def _weighted(documents: DataFrame, counts: DataFrame, idf: Column, key: str = "term") -> DataFrame:
+    """Counts with ``df`` and ``idf`` of their terms; ``counts`` is a written table."""
+    frequencies = attach(document_frequencies(counts, key), documents.agg(F.count(F.lit(1)).alias("docs")), [])
+    table = stage(frequencies.select(key, "df", idf.alias("idf"), F.col("df").alias("_often")), "frequencies")
+    return join_by_frequency(counts, table, key, "_often")
 
 
 def tfidf_normalised(
@@ -192,7 +194,7 @@ def tfidf_normalised(
     a document of Euclidean length 1. Shorter terms than ``min_length`` are left out."""
     counts = counts.filter(F.length("term") >= min_length)
     idf = F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1
-    weighted = _weighted(documents, counts, idf).withColumn("raw", F.col("tf") * F.col("idf"))
+    weighted = _weighted(documents, stage(counts, "counts"), idf).withColumn("raw", F.col("tf") * F.col("idf"))
     # A window over one document's terms: a group no larger than a document.
     row = Window.partitionBy(ident)
     return weighted.withColumn(
@@ -205,11 +207,8 @@ def tfidf_coded(documents: DataFrame, counts: DataFrame, ident: str) -> DataFram
 
     ``counts`` is a written table of (id, code, tf); names are joined to what is left in the end.
     """
-    frequencies = attach(
-        counts.groupBy("code").agg(F.count(F.lit(1)).alias("df")), documents.agg(F.count(F.lit(1)).alias("docs")), []
-    )
     idf = F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1
-    raw = counts.join(frequencies.select("code", "df", idf.alias("idf")), "code").withColumn("raw", F.col("tf") * F.col("idf"))
+    raw = _weighted(documents, counts, idf, "code").withColumn("raw", F.col("tf") * F.col("idf"))
     # A window over one document's terms: a group no larger than a document.
     row = Window.partitionBy(ident)
     return raw.withColumn("weight", F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(row))).select(
@@ -220,7 +219,7 @@ def tfidf_coded(documents: DataFrame, counts: DataFrame, ident: str) -> DataFram
 def tfidf_plain(documents: DataFrame, counts: DataFrame, ident: str) -> DataFrame:
     """(id, term, tf, df, idf, weight) of term counts, with idf = ln((n+1)/(df+1)), weights not scaled."""
     idf = F.log((F.col("docs") + 1) / (F.col("df") + 1))
-    weighted = _weighted(documents, counts, idf)
+    weighted = _weighted(documents, stage(counts, "counts"), idf)
     return weighted.withColumn("weight", F.col("tf") * F.col("idf")).select(
         ident, "term", "tf", "df", "idf", "weight"
     )
@@ -238,4 +237,4 @@ def important_terms(weights: DataFrame, n: int = 50) -> DataFrame:
 
 def important_coded(weights: DataFrame, terms: DataFrame, n: int = 50) -> DataFrame:
     """``important_terms`` of coded weights: summed over numbers, named last."""
-    return important_terms(weights.groupBy("code").agg(F.sum("weight").alias("weight")).join(terms, "code"), n)
+    return important_terms(weights.groupBy("code").agg(F.sum("weight").alias("weight")).join(terms.select("code", "term"), "code"), n)

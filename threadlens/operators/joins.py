@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlens.operators.ranks import attach
@@ -87,3 +87,34 @@ def align(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
 def join_series(left: DataFrame, right: DataFrame, date: str = "date") -> DataFrame:
     """Inner join by date after folding repeated rows of the right side."""
     return left.join(right.distinct(), date)
+
+
+#: Keys that are broadcast at most, the most frequent ones.
+COMMON = 1 << 18
+
+
+def least_frequency(table: DataFrame, count: str, most: int) -> tuple[int, int]:
+    """The least ``count`` so that at most ``most`` rows have that or more, and the least of all."""
+    # Few different counts, so how many rows have each is a short table.
+    sizes = table.groupBy(F.col(count).alias("_n")).agg(F.count(F.lit(1)).alias("_k"))
+    above = sizes.withColumn("_above", F.sum("_k").over(Window.orderBy(F.desc("_n"))))
+    limit = F.min(F.when(F.col("_above") <= most, F.col("_n")))
+    found = above.agg(limit.alias("limit"), F.min("_n").alias("least")).first()
+    return 1 << 62 if found["limit"] is None else found["limit"], 0 if found["least"] is None else found["least"]
+
+
+def join_by_frequency(rows: DataFrame, table: DataFrame, key: str, count: str, most: int = COMMON) -> DataFrame:
+    """Inner join with a written table of unique keys that tells how often each occurs in ``rows``.
+
+    The most frequent keys, at most ``most``, are broadcast and their rows stay where they are; only rows of
+    the other keys are shuffled. Frequencies of words fall off fast, so these are few.
+    """
+    limit, least = least_frequency(table, count, most)
+    others = [c for c in table.columns if c not in (key, count)]
+    named = table.select(key, *others)
+    if least >= limit:
+        return rows.join(F.broadcast(named), key)
+    common = F.col(count) >= limit
+    near = rows.join(F.broadcast(table.filter(common).select(key, *others)), key)
+    apart = rows.join(F.broadcast(table.filter(common).select(key)), key, "left_anti")
+    return near.unionByName(apart.join(table.filter(~common).select(key, *others), key))
