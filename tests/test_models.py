@@ -84,3 +84,11 @@ def test_no_fit_makes_dense_rows_of_the_training_texts(spark, folder, monkeypatc
     monkeypatch.setattr(DecisionTreeRegressor, "fit", lambda self, df, *rest: given.append(df.count()) or fit(self, df, *rest))
     checks.regression_run(spark, folder, models.decision_tree("target", depth=2))
     assert max(given) <= 2
+
+
+def test_forests_are_fitted_in_few_parts(spark, folder, monkeypatch):
+    parts, fit = [], models.fit_forest
+    monkeypatch.setattr(checks, "PER_CLASS", 30)
+    monkeypatch.setattr(models, "fit_forest", lambda df, *a, **k: parts.append(df.rdd.getNumPartitions()) or fit(df, *a, **k))
+    checks.forest_facts(spark, folder, trees=2, impurity="gini", seed=42)
+    assert parts == [1]

@@ -50,6 +50,15 @@ def dealt(df):
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
 
 
+#: Rows that one task of a forest's fit holds at least: each task sends figures of all nodes that its rows reach.
+ROWS_PER_PART = 100
+
+
+def dealt_few(df, rows):
+    """At most ``rows`` rows in parts of a hundred or more, no more than cores."""
+    return df.repartition(max(1, min(rows // ROWS_PER_PART, df.sparkSession.sparkContext.defaultParallelism)), "doc_id")
+
+
 def regression_run(spark, folder, estimator):
     """The text and tree models, both fitted on all training rows, these rows and those tried."""
     train, test = sampling.hash_split(length_texts(spark, folder), "doc_id")
@@ -100,7 +109,8 @@ def forest_facts(spark, folder, **options):
     train, test = sampling.hash_split(balanced_texts(spark, folder), "doc_id")
     text_model = features.fit_tfidf(dealt(train), "text")
     few = vectors(text_model, sampling.sample_per_group(train, "lang", "doc_id", PER_CLASS, groups=LANGUAGES))
-    scored = models.fit_forest(dealt(few), "lang", **options).transform(text_model.transform(dealt(test)))
+    fitted = dealt_few(few, PER_CLASS * len(LANGUAGES))
+    scored = models.fit_forest(fitted, "lang", **options).transform(text_model.transform(dealt(test)))
     found = stage(scored.select("lang", "label_ix", "prediction", "predicted_label"), "scored")
     measured = metrics.class_metrics(found, "label_ix", "prediction").select("accuracy", "weighted_recall")
     largest = found.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
