@@ -1,6 +1,8 @@
 """What the model queries learn from and try."""
 
 import compare
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import DecisionTreeRegressor
@@ -8,7 +10,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from threadlens.checks import models as checks
 from threadlens.checks.registry import table
-from threadlens.operators import features, models, sampling, trees
+from threadlens.operators import embedding, features, models, sampling, trees
 
 
 def test_forests_try_every_row_whatever_they_are_fitted_on(spark, folder, monkeypatch):
@@ -92,3 +94,20 @@ def test_forests_are_fitted_in_few_parts(spark, folder, monkeypatch):
     monkeypatch.setattr(models, "fit_forest", lambda df, *a, **k: parts.append(df.rdd.getNumPartitions()) or fit(df, *a, **k))
     checks.forest_facts(spark, folder, trees=2, impurity="gini", seed=42)
     assert parts == [1]
+
+
+def test_vectors_come_from_all_neighbours_in_few_additions(spark, monkeypatch):
+    monkeypatch.setattr(embedding, "CHUNK", 4)
+    monkeypatch.setattr(embedding, "LONGEST", 7)
+    texts = [[0, 1, 2, 1, 0, 3, 3, 1, 2, 0, 4, 1], [], [2], [3, 0, 4, 4, 1, 2, 2]]
+    want = np.zeros((5, 5))
+    for text in texts:
+        for cut in (text[k : k + 7] for k in range(0, len(text), 7)):
+            for i, a in enumerate(cut):
+                for j, b in enumerate(cut):
+                    want[a, b] += 0 < abs(i - j) <= embedding.WINDOW
+    df = spark.createDataFrame([(t,) for t in texts], "ids array<int>").repartition(2)
+    assert np.allclose(embedding.neighbour_sums(df, np.eye(5)), want)
+    words = spark.createDataFrame([(["x", "b", "", "a", "b"],), ([],), (["x"],), (["a", "x"],)], "w array<string>")
+    found = embedding.numbered(words, "w", pa.array(["a", "b"])).collect()
+    assert sorted(r.ids for r in found) == [[], [], [0], [1, 0, 1]]

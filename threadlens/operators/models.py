@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.ml.util import DefaultParamsReader
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from threadlens.functions.words import SENTIMENTS
 from threadlens.operators.dealing import dealt_out
+from threadlens.operators.embedding import fit_vectors
 from threadlens.operators.features import (
     VOCABULARY,
     fit_indexer,
@@ -23,6 +23,7 @@ from threadlens.operators.features import (
     vocabulary_of,
 )
 from threadlens.session import new_path
+from threadlens.sources.tables import drop_stage, stage
 
 
 def decision_tree(label: str, depth: int = 10, bins: int = 25) -> DecisionTreeRegressor:
@@ -142,13 +143,8 @@ def train_embedding(texts: DataFrame, text: str, size: int = 32, rounds: int = 1
     others); a text without any is the zero vector. Null texts are left out of the fit.
     """
     cut = tokenizer(text)
-    words = dealt_out(texts.filter(F.col(text).isNotNull()).select(text))
-    parts = words.rdd.getNumPartitions()
-    vectors = Word2Vec(
-        inputCol="words", outputCol="embedding", vectorSize=size, minCount=least_count(cut.transform(words), "words"),
-        numPartitions=parts, maxIter=rounds, seed=seed,
-    )
-    return Pipeline(stages=[cut, vectors]).fit(words)
+    words = cut.transform(dealt_out(texts.filter(F.col(text).isNotNull()).select(text))).select("words")
+    return PipelineModel(stages=[cut, fit_vectors(words, "words", "embedding", EMBEDDED_WORDS, size, rounds, seed)])
 
 
 def train_embedded_sentiment(embedding: PipelineModel, labelled: DataFrame, text: str, label: str, rounds: int = 50) -> PipelineModel:
@@ -156,13 +152,17 @@ def train_embedded_sentiment(embedding: PipelineModel, labelled: DataFrame, text
 
     The result is used by ``trained_sentiment`` like that of ``train_sentiment``.
     """
+    # Written, so that texts are cut and looked up once for the sizes and the fit.
     rows = embedding.transform(labelled.filter(F.col(text).isNotNull() & F.col(label).isNotNull()).select(text, label))
+    rows = stage(rows.select("embedding", label), "embedded")
     sizes = rows.agg(F.count_if(F.col(label) == 1).alias("one"), F.count(F.lit(1)).alias("all")).first()
     one = F.lit(sizes["all"] / (2 * max(1, sizes["one"])))
     zero = F.lit(sizes["all"] / (2 * max(1, sizes["all"] - sizes["one"])))
     weighted = rows.withColumn("_weight", F.when(F.col(label) == 1, one).otherwise(zero))
     scorer = LogisticRegression(labelCol=label, featuresCol="embedding", weightCol="_weight", maxIter=rounds, regParam=0.001)
-    return PipelineModel(stages=[*embedding.stages, without_summary(scorer.fit(weighted))])
+    fitted = without_summary(scorer.fit(weighted))
+    drop_stage(rows)
+    return PipelineModel(stages=[*embedding.stages, fitted])
 
 
 def trained_sentiment(
