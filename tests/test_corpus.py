@@ -178,3 +178,14 @@ def test_parts_of_word_counts_grow_with_the_input(spark, folder, monkeypatch):
     monkeypatch.setattr(dealing, "PART_BYTES", 100)
     counted = features.count_vectors_long(docs, "doc_id", features.spark_tokens("text"))
     assert dealing.parts_of(docs) > 2 * least and counted.rdd.getNumPartitions() == dealing.parts_of(docs)
+
+
+def test_words_are_counted_once_for_the_vectoriser(spark, monkeypatch):
+    df, fitted, fit = texts(spark), [], CountVectorizer.fit
+    monkeypatch.setattr(CountVectorizer, "fit", lambda self, given, *rest: fitted.append(given.count()) or fit(self, given, *rest))
+    totals = features.word_totals(df, "text")
+    model = features.fit_tfidf(df, "text", totals, vocabulary=3)
+    assert fitted == [1] and features.vocabulary_of(model) == ["dog", "", "a"] and model.stages[-1].numDocs == len(TEXTS)
+    assert features.vocabulary_of(features.fit_tfidf(df, "text", min_df=2)) and fitted == [1, len(TEXTS)]
+    plan = features.vectors_long(model.transform(df), "id", "rawFeatures", "features", ["dog", "", "a"])._jdf.queryExecution()
+    assert "hashpartitioning" not in plan.executedPlan().toString()

@@ -7,7 +7,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from threadlens.checks.registry import query, rounded, table
-from threadlens.operators import corpus, features, models
+from threadlens.operators import corpus, features
+from threadlens.operators.joins import least_frequency
 
 LISTED = """listed as (
   select doc_id, string_split_regex(regexp_replace(lower(text), '\\s+$', ''), '\\s') as words from documents)"""
@@ -69,10 +70,9 @@ def fitted_stages(spark, folder):
     The vocabulary ends where no words tie, so that it is the same wherever it is fitted.
     """
     docs = documents(spark, folder).select("doc_id", "text")
-    words = features.tokenizer("text").transform(docs).select("words")
-    counts = words.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    size = counts.filter(F.col("n") >= models.least_count(words, "words", features.VOCABULARY)).count()
-    model = features.fit_tfidf(docs, "text", vocabulary=size)
+    totals = features.word_totals(docs, "text")
+    size = totals.filter(F.col("n") >= least_frequency(totals, "n", features.VOCABULARY)[0]).count()
+    model = features.fit_tfidf(docs, "text", totals, vocabulary=size)
     rows = model.transform(docs)
     found = features.vectors_long(rows, "doc_id", "rawFeatures", "features", features.vocabulary_of(model))
     return found.withColumns(rounded(6, "weight"))

@@ -20,9 +20,9 @@ from pyspark.ml.feature import Word2Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadlens.operators.features import refilled
 from threadlens.operators.joins import least_frequency
-from threadlens.session import new_path
-from threadlens.sources.tables import drop_stage, read_parquet, stage
+from threadlens.sources.tables import drop_stage, stage
 
 #: Words on either side that count as neighbours, and words after which a text is cut: those of MLlib's Word2Vec.
 WINDOW = 5
@@ -113,14 +113,8 @@ def as_model(texts: DataFrame, words: str, out: str, vocabulary: list[str], vect
     spark = texts.sparkSession
     one = spark.createDataFrame([(["a"],)], f"{words} array<string>")
     fitted = Word2Vec(inputCol=words, outputCol=out, vectorSize=vectors.shape[1], minCount=1, windowSize=WINDOW).fit(one)
-    path, filled = new_path(spark, "vectors"), new_path(spark, "vectors")
-    fitted.save(path)
     held = pa.table({"word": pa.array(vocabulary, pa.string()), "vector": list(vectors.astype(np.float32))})
-    kinds = read_parquet(spark, f"{path}/data").schema
-    rows = spark.createDataFrame(held).select(*[F.col(f.name).cast(f.dataType) for f in kinds.fields])
-    rows.coalesce(1).write.parquet(f"{filled}/data")
-    spark.read.text(f"{path}/metadata").coalesce(1).write.text(f"{filled}/metadata")
-    return type(fitted).load(filled)
+    return refilled(fitted, spark.createDataFrame(held))
 
 
 def fit_vectors(texts: DataFrame, words: str, out: str, most: int, size: int, rounds: int, seed: int) -> Model:

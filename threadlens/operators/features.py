@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
+    CountVectorizerModel,
     IndexToString,
     OneHotEncoder,
     StringIndexer,
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 
 from threadlens.operators.corpus import term_counts, token_rows
 from threadlens.operators.dealing import parts_of
+from threadlens.session import new_path
+from threadlens.sources.tables import drop_stage, read_parquet, stage
 
 # Fixed value: the vectoriser's default vocabulary size.
 VOCABULARY = 1 << 18
@@ -49,8 +52,46 @@ def tfidf_stages(
     ]
 
 
-def fit_tfidf(df: DataFrame, text: str, **options):
-    return Pipeline(stages=tfidf_stages(text, **options)).fit(df)
+def word_totals(df: DataFrame, text: str) -> DataFrame:
+    """(w, n): how often each word of the texts occurs, as a written table."""
+    words = tokenizer(text).transform(df.select(text)).select(F.explode("words").alias("w"))
+    return stage(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "words")
+
+
+def refilled(fitted: Model, rows: DataFrame) -> Model:
+    """A fitted model, saved, its data replaced by ``rows``, loaded again."""
+    spark = rows.sparkSession
+    path, filled = new_path(spark, "fitted"), new_path(spark, "fitted")
+    fitted.save(path)
+    kinds = read_parquet(spark, f"{path}/data").schema
+    rows.select(*[F.col(f.name).cast(f.dataType) for f in kinds.fields]).coalesce(1).write.parquet(f"{filled}/data")
+    spark.read.text(f"{path}/metadata").coalesce(1).write.text(f"{filled}/metadata")
+    return type(fitted).load(filled)
+
+
+def counted_vectoriser(vectoriser: CountVectorizer, totals: DataFrame) -> CountVectorizerModel:
+    """The fitted vectoriser of words whose totals are known; equal totals in order of the word."""
+    first = totals.orderBy(F.desc("n"), "w").limit(vectoriser.getVocabSize())
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "w")))["w"]
+    one = totals.sparkSession.createDataFrame([(["a"],)], f"{vectoriser.getInputCol()} array<string>")
+    model = refilled(vectoriser.fit(one), first.agg(ordered.alias("vocabulary")))
+    if not model.vocabulary:
+        raise ValueError("no words to count")
+    return model
+
+
+def fit_tfidf(df: DataFrame, text: str, totals: DataFrame | None = None, **options) -> PipelineModel:
+    """The fitted stages. Words are counted as rows, which costs less than the vectoriser's own fit, and only
+    if ``totals`` (``word_totals``) are not given; the vectoriser counts documents itself for a ``min_df``."""
+    stages = tfidf_stages(text, **options)
+    cut, vectoriser, idf = stages
+    if vectoriser.getMinDF() != 1:
+        return Pipeline(stages=stages).fit(df)
+    own = word_totals(df, text) if totals is None else totals
+    counts = counted_vectoriser(vectoriser, own)
+    if totals is None:
+        drop_stage(own)
+    return PipelineModel(stages=[cut, counts, idf.fit(counts.transform(cut.transform(df.select(text))))])
 
 
 def vocabulary_of(model) -> list[str]:
@@ -64,7 +105,7 @@ def vocabulary_of(model) -> list[str]:
 def vectors_long(df: DataFrame, ident: str, counts: str, weights: str, terms: Sequence[str]) -> DataFrame:
     """(id, term, tf, weight) of the entries that two sparse vectors of a row share, as the
     fitted stages made them; ``terms`` by index are at most a vocabulary."""
-    names = df.sparkSession.createDataFrame(list(enumerate(terms)), "_index int, term string")
+    names = F.broadcast(df.sparkSession.createDataFrame(list(enumerate(terms)), "_index int, term string"))
     given, weighed = F.unwrap_udt(counts), F.unwrap_udt(weights)
     entries = F.arrays_zip(given["indices"].alias("i"), given["values"].alias("v"), weighed["values"].alias("w"))
     rows = df.select(ident, F.explode(entries).alias("_e"))
