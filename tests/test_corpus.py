@@ -189,3 +189,22 @@ def test_words_are_counted_once_for_the_vectoriser(spark, monkeypatch):
     assert features.vocabulary_of(features.fit_tfidf(df, "text", min_df=2)) and fitted == [1, len(TEXTS)]
     plan = features.vectors_long(model.transform(df), "id", "rawFeatures", "features", ["dog", "", "a"])._jdf.queryExecution()
     assert "hashpartitioning" not in plan.executedPlan().toString()
+
+
+def test_rare_words_are_changed_in_their_rows(spark, monkeypatch):
+    df = spark.createDataFrame(ODD, "_row int, text string, _word string")
+    whole = sorted(map(tuple, corpus.clean_column(df, "text").collect()), key=repr)
+    for most in (0, 1):
+        monkeypatch.setattr(corpus, "COMMON", most)
+        found = corpus.clean_column(df, "text")
+        assert found.columns == df.columns and sorted(map(tuple, found.collect()), key=repr) == whole
+    notes = spark.createDataFrame([(1, "Running, RUNNING! the dogs"), (2, None), (3, "!!")], "id bigint, text string")
+    assert {r.id: r.clean_text for r in corpus.annotated_clean(notes, "id", "text").collect()} == {1: "run run dog", 2: None, 3: ""}
+
+
+def test_no_word_of_a_cleaned_text_is_shuffled(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    plan = corpus.clean_column(docs, "text")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    # One for the words of the dictionary, one for the rows before they are cut.
+    assert plan.count("Exchange hashpartitioning") == 2

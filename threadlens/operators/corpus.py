@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from threadlens.functions.stem import stem_word
 from threadlens.functions.text import kept_tokens, letter_tokens
 from threadlens.functions.words import STOP_WORDS
-from threadlens.operators.dealing import dealt_out
-from threadlens.operators.joins import join_by_frequency
+from threadlens.operators.dealing import dealt_out, parts_of
+from threadlens.operators.joins import COMMON, join_by_frequency, least_frequency
 from threadlens.operators.ranks import attach
 from threadlens.sources.tables import stage
 
@@ -21,26 +21,29 @@ from threadlens.sources.tables import stage
 def by_word(df: DataFrame, words: Column, change: Callable[[str], Column], out: str) -> DataFrame:
     """The rows with ``out``, the array ``words`` with every word changed; a column of that name is replaced.
 
-    ``change`` is worked out once per distinct word of all rows and put back by position. It is
-    given the name of a column. Where the dictionary is small, Spark broadcasts it and no
-    word is shuffled; a frequent word is a hot key of that join alone, which adaptive
-    execution splits. A row's words come together again within its own task before anything is
-    shuffled, so one short row per row is. A null array stays null.
+    ``change`` is given the name of a column. It is worked out once per distinct word for the most frequent
+    words, at most ``COMMON``, which are broadcast; other words, so rare that few rows share them, are changed where
+    they are. Rows are dealt once, before they are cut into words, so that a row's words stay in one task:
+    besides rows, only counts of words are shuffled. A null array stays null.
     """
+    each = dealt_out(df).select(F.explode(words).alias("_word"))
+    counted = stage(each.groupBy("_word").agg(F.count(F.lit(1)).alias("_n")), "words")
+    limit, least = least_frequency(counted, "_n", COMMON)
+    common = counted.filter(F.col("_n") >= limit).select("_word").distinct()
+    dictionary = F.broadcast(common.select("_word", change("_word").alias("_new")))
     own = [c for c in df.columns if c != out]
-    rows = df.select(
-        F.monotonically_increasing_id().alias("_row"),
-        (F.struct(*own) if own else F.lit(True)).alias("_own"),
-        words.alias("_words"),
-    )
+    # A name longer than any other is free.
+    row = "_" * (5 + max(map(len, [*df.columns, out])))
+    dealt = df.withColumn(row, F.monotonically_increasing_id()).repartition(parts_of(df), row)
+    rows = dealt.select(F.col(row).alias("_row"), (F.struct(*own) if own else F.lit(True)).alias("_own"), words.alias("_words"))
     placed = rows.select("_row", "_own", F.col("_words").isNull().alias("_none"), F.posexplode_outer("_words").alias("_pos", "_word"))
     # The other columns travel with the first word alone.
     first = F.when(F.coalesce("_pos", F.lit(0)) == 0, F.struct("_own", "_none"))
-    dictionary = df.select(F.explode(words).alias("_word")).distinct().select("_word", change("_word").alias("_new"))
     changed = placed.select("_row", "_pos", "_word", first.alias("_first")).join(dictionary, "_word", "left")
-    at = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_new"))
+    new = F.col("_new") if least >= limit else F.coalesce("_new", change("_word"))
+    at = F.when(F.col("_pos").isNotNull(), F.struct("_pos", new.alias("_new")))
     together = changed.groupBy("_row").agg(
-        F.array_sort(F.collect_list(at)).alias("_all"), F.first("_first", ignorenulls=True).alias("_first")
+        F.sort_array(F.collect_list(at)).alias("_all"), F.first("_first", ignorenulls=True).alias("_first")
     )
     result = F.when(~F.col("_first._none"), F.col("_all._new"))
     kept = {name: F.col(f"_first._own.`{name}`") for name in own}
@@ -49,7 +52,7 @@ def by_word(df: DataFrame, words: Column, change: Callable[[str], Column], out:
 
 def clean_column(df: DataFrame, column: str, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
     """The column's texts cleaned in place: letters, no stop words, stems; a null text stays null."""
-    found = by_word(dealt_out(df), kept_tokens(column, stop_words), stem_word, column)
+    found = by_word(df, kept_tokens(column, stop_words), stem_word, column)
     return found.withColumn(column, F.array_join(column, " "))
 
 
