@@ -4,6 +4,7 @@ import compare
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Observation
@@ -111,3 +112,12 @@ def test_vectors_come_from_all_neighbours_in_few_additions(spark, monkeypatch):
     words = spark.createDataFrame([(["x", "b", "", "a", "b"],), ([],), (["x"],), (["a", "x"],)], "w array<string>")
     found = embedding.numbered(words, "w", pa.array(["a", "b"])).collect()
     assert sorted(r.ids for r in found) == [[], [], [0], [1, 0, 1]]
+
+
+def test_passes_of_a_scorer_s_fit_read_counts(spark, monkeypatch):
+    given, fit = [], LogisticRegression.fit
+    monkeypatch.setattr(LogisticRegression, "fit", lambda self, df, *rest: given.append(df) or fit(self, df, *rest))
+    df = spark.createDataFrame([("a b c", 1.0), ("d e f", 0.0)] * 10, "text string, label double")
+    model = models.train_sentiment(df, "text", "label")
+    assert len(model.stages) == 4 and "text" not in given[0].columns
+    assert "parquet" in given[0]._jdf.queryExecution().analyzed().toString()

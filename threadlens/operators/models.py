@@ -115,12 +115,15 @@ def train_sentiment(
     labelled: DataFrame, text: str, label: str, vocabulary: int = VOCABULARY, rounds: int = 20
 ) -> PipelineModel:
     """Text scorer trained on 0/1 labels (1 = negative)."""
-    stages = [
-        *tfidf_stages(text, vocabulary=vocabulary),
-        LogisticRegression(labelCol=label, featuresCol="features", maxIter=rounds, regParam=0.01),
-    ]
-    *before, scorer = Pipeline(stages=stages).fit(labelled).stages
-    return PipelineModel(stages=[*before, without_summary(scorer)])
+    cut, vectoriser, idf = tfidf_stages(text, vocabulary=vocabulary)
+    counts = vectoriser.fit(cut.transform(labelled.select(text)))
+    # Written, so that the passes of both fits read counts and do not cut texts again.
+    rows = stage(counts.transform(cut.transform(labelled.select(text, label))).select(label, "rawFeatures"), "counts")
+    weights = idf.fit(rows)
+    scorer = LogisticRegression(labelCol=label, featuresCol="features", maxIter=rounds, regParam=0.01)
+    fitted = without_summary(scorer.fit(weights.transform(rows)))
+    drop_stage(rows)
+    return PipelineModel(stages=[cut, counts, weights, fitted])
 
 
 #: Words that have vectors: the vectors of all are in each task's memory, 200 numbers a word at most.
