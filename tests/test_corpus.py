@@ -208,3 +208,12 @@ def test_no_word_of_a_cleaned_text_is_shuffled(spark, folder):
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
     # One for the words of the dictionary, one for the rows before they are cut.
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_parts_of_cleaned_rows_follow_the_words_counted(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    few = docs.join(docs.select(F.col("doc_id").alias("other"), F.col("text").alias("again")), F.col("doc_id") == F.col("other")).select("doc_id", "text")
+    assert dealing.parts_of(few) > 1000
+    cleaned = corpus.clean_column(few, "text")
+    assert "hashpartitioning" in cleaned._jdf.queryExecution().executedPlan().toString()
+    assert cleaned.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))

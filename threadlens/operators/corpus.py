@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 from threadlens.functions.stem import stem_word
 from threadlens.functions.text import kept_tokens, letter_tokens
 from threadlens.functions.words import STOP_WORDS
-from threadlens.operators.dealing import dealt_out, parts_of
+from threadlens.operators.dealing import dealt_out
 from threadlens.operators.joins import COMMON, join_by_frequency, least_frequency
 from threadlens.operators.ranks import attach
 from threadlens.sources.tables import stage
 
 
+#: Words that one task puts back into their rows, about.
+PART_WORDS = 1 << 20
+
+
 def by_word(df: DataFrame, words: Column, change: Callable[[str], Column], out: str) -> DataFrame:
     """The rows with ``out``, the array ``words`` with every word changed; a column of that name is replaced.
 
@@ -34,7 +38,10 @@ def by_word(df: DataFrame, words: Column, change: Callable[[str], Column], out:
     own = [c for c in df.columns if c != out]
     # A name longer than any other is free.
     row = "_" * (5 + max(map(len, [*df.columns, out])))
-    dealt = df.withColumn(row, F.monotonically_increasing_id()).repartition(parts_of(df), row)
+    # By the words counted: what Spark expects of a join's size can be far off.
+    least_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least_parts, -(-(counted.agg(F.sum("_n")).first()[0] or 0) // PART_WORDS))
+    dealt = df.withColumn(row, F.monotonically_increasing_id()).repartition(parts, row)
     rows = dealt.select(F.col(row).alias("_row"), (F.struct(*own) if own else F.lit(True)).alias("_own"), words.alias("_words"))
     placed = rows.select("_row", "_own", F.col("_words").isNull().alias("_none"), F.posexplode_outer("_words").alias("_pos", "_word"))
     # The other columns travel with the first word alone.
