@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 from helpers_llm import documents, groups, odd_rows, sentences
 
 from threadlens.llm import lines
@@ -110,3 +111,39 @@ def test_keys_do_not_depend_on_neighbours():
 
 def test_empty_table(spark):
     assert lines.line_digests(documents(spark, [])).count() == 0
+
+
+def test_shared_shingles_are_counted_for_all_pairs_of_a_unit():
+    rng = random.Random(8)
+    base = sentences(44, 3)
+    every = [[edited(rng, line, rng.choice([0, 2, 9])) for _ in range(n)] for line, n in zip(base, (2, 7, 60))]
+    some = [x for unit in every for x in unit] + ["abcdefgh", "abcdefgh", "a" * 30]
+    units = np.repeat(np.arange(4), [2, 7, 60, 3])
+    found = {(a, b): (both, either) for a, b, both, either in zip(*map(np.ndarray.tolist, lines.shared_shingles(some, units)))}
+    for a in range(len(some)):
+        for b in range(a + 1, len(some)):
+            x, y = lines.shingles(some[a]), lines.shingles(some[b])
+            wanted = (len(x & y), len(x | y)) if units[a] == units[b] and x & y else None
+            assert found.get((a, b)) == wanted
+    near = set(zip(*map(np.ndarray.tolist, lines.alike(some, units))))
+    assert near == {pair for pair in found if lines.similarity(some[pair[0]], some[pair[1]]) >= 0.8}
+
+
+def test_lines_of_a_large_band_all_meet(spark):
+    members = {1: range(300), 2: range(300), 3: [5, 900], 4: [5, 900], 5: [7], 6: [1, 2, 3]}
+    rows = [(key, i, 100) for key, ids in members.items() for i in ids]
+    found = lines.in_units(spark.createDataFrame(rows, "key bigint, id bigint, chars bigint"), block=50)
+    units = {}
+    for unit, i in found.collect():
+        units.setdefault(unit, []).append(i)
+    assert all(len(set(ids)) == len(ids) <= 200 for ids in units.values())
+    met = {(a, b) for ids in units.values() for a in ids for b in ids if a < b}
+    assert met == {(a, b) for ids in members.values() for a in ids for b in ids if a < b}
+    # Bands of the same lines are worked on once: 6 blocks make 15 units.
+    assert len(units) == 15 + 2
+
+
+def test_many_near_copies_match_brute_force(spark):
+    rng = random.Random(6)
+    line = sentences(45, 1)[0]
+    check(spark, [(k, edited(rng, line, rng.choice([1, 2, 4, 6])), "s") for k in range(150)])

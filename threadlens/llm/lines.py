@@ -2,11 +2,10 @@
 
 A line is the set of its runs of ``SHINGLE`` characters. Each shingle's hash puts it in one
 of ``BINS`` bins, a bin keeps its least hash, and empty bins borrow from others by a fixed
-rule. Bands of ``ROWS`` bins make candidates: a line meets the first line of each of its
-bands. Where a band then still holds several sets of joined lines, its lines are put under
-those of their shingles that come first in an order of the band's own, so many that lines
-that are alike must share one. There too a line meets the first line, and in the end all
-lines of other sets. Exact Jaccard similarity decides, and union-find keeps one line per
+rule. Bands of ``ROWS`` bins make candidates: all lines of a band meet. Bands of the same
+lines are worked on once, and a large band is cut into blocks, each two of which meet in a
+task. A task counts the shingles that its lines share for all their pairs at once, so pairs
+never become rows. Exact Jaccard similarity decides, and union-find keeps one line per
 component.
 """
 
@@ -15,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.llm.common import forget, importable
-from threadlens.llm.components import components
+from threadlens.llm.components import components, local_forest
 from threadlens.sources.tables import drop_stage, stage
 
 #: A power of two.
@@ -33,10 +33,12 @@ ROWS = 3
 #: A prime number of bins; the bands read the first of them.
 BINS = 31
 SIMILAR = 0.8
-#: Rows of prefixes made into one batch.
-ROWS_OUT = 1 << 16
 #: Characters of text hashed together.
-PIECE = 1 << 16
+PIECE = 1 << 17
+#: Lines, and characters, of a block of a large band, and characters compared in one go.
+BLOCK, BLOCK_CHARS, COMPARED = 1024, 1 << 20, 1 << 18
+#: Shingles that more lines have are counted by a matrix product of this many at a time.
+RARE, COLUMNS = 16, 4096
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -49,15 +51,20 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     # Runs of 2, 4 and 8 characters, each from two runs of half the length.
     h, width = points, 1
     while width < SHINGLE:
-        h = (h[:-width] * _A ^ (h[:-width] >> np.uint64(31))) * _B + h[width:]
+        made = h[:-width] * _A
+        made ^= h[:-width] >> np.uint64(31)
+        made *= _B
+        made += h[width:]
+        h = made
         width *= 2
     n = len(h)
     # Shingles that run over a line's end are left out.
     ends = np.cumsum(sizes)
     starts = ends - sizes
     real = np.ones(n, dtype=bool)
+    last = ends[:-1]
     for k in range(1, SHINGLE):
-        real[np.clip(ends - k, 0, n)[ends - k < n]] = False
+        real[last - k] = False
     counts = sizes - SHINGLE + 1
     return h[real], np.cumsum(counts) - counts
 
@@ -65,16 +72,27 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def signatures(lines: list[str]) -> np.ndarray:
     """The bins (lines, BINS) of lines of at least ``SHINGLE`` characters."""
     h, starts = shingle_hashes(lines)
-    h = h * _B
+    h *= _B
     h ^= h >> np.uint64(29)
     counts = np.diff(np.append(starts, len(h)))
-    owner = np.repeat(np.arange(len(lines)), counts)
     # The bin from the upper bits, the value from all of them.
-    place = owner * BINS + ((h >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
+    place = h >> np.uint64(32)
+    place *= np.uint64(BINS)
+    place >>= np.uint64(32)
+    place = place.view(np.int64)
+    place += np.repeat(np.arange(len(lines)) * BINS, counts)
     least = np.full(len(lines) * BINS, _EMPTY, dtype=np.uint64)
-    np.minimum.at(least, place, h * _A)
+    h *= _A
+    np.minimum.at(least, place, h)
     least = least.reshape(len(lines), BINS)
     filled = least != _EMPTY
+    short = np.flatnonzero(~filled.all(axis=1))
+    if len(short):
+        least[short] = _borrowed(least[short], filled[short])
+    return least
+
+
+def _borrowed(least: np.ndarray, filled: np.ndarray) -> np.ndarray:
     # An empty bin tries other bins, each by a step of its own, until one is filled.
     result = least.copy()
     lacking = ~filled
@@ -87,7 +105,7 @@ def signatures(lines: list[str]) -> np.ndarray:
         result = np.where(usable, least[:, source] * _A + np.uint64(turn), result)
         lacking &= ~usable
     first = filled.argmax(axis=1)
-    rest = least[np.arange(len(lines)), first]
+    rest = least[np.arange(len(least)), first]
     return np.where(lacking, rest[:, None] * _B, result)
 
 
@@ -105,23 +123,41 @@ def band_keys(lines: list[str]) -> np.ndarray:
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def made(ids: list[int], lines: list[str]) -> pa.RecordBatch:
-        keys = band_keys(lines).view(np.int64)
-        return pa.RecordBatch.from_pydict({"id": np.repeat(np.array(ids, dtype=np.int64), BANDS), "key": keys.ravel()})
+    """(s1, s2, row, doc_id, line_no, chars, keys) of the lines that are not blank; s1 and s2 are a digest."""
+
+    def made(batch: pa.RecordBatch, at: list[int], numbers: list[int], lines: list[str]) -> pa.RecordBatch:
+        place = {line: k for k, line in enumerate(dict.fromkeys(lines))}
+        own = list(place)
+        sums = b"".join(blake2b(x.encode("utf-8", "surrogatepass"), digest_size=16).digest() for x in own)
+        which = np.array([place[x] for x in lines])
+        sums = np.frombuffer(sums, dtype=np.int64).reshape(-1, 2)[which]
+        # Shorter lines are alike only if equal.
+        long = np.array([len(x) >= SHINGLE for x in own])
+        keys = np.zeros((len(own), BANDS), dtype=np.uint64)
+        if long.any():
+            keys[long] = band_keys([x for x in own if len(x) >= SHINGLE])
+        ends = np.concatenate([[0], np.cumsum(long[which] * BANDS)]).astype(np.int32)
+        of = pa.array(at, pa.int64())
+        columns = {"s1": sums[:, 0], "s2": sums[:, 1], "row": batch["row"].take(of), "doc_id": batch["doc_id"].take(of)}
+        columns |= {"line_no": np.array(numbers, dtype=np.int32), "chars": np.array([len(x) for x in lines], dtype=np.int64)}
+        values = keys[which][long[which]].view(np.int64).ravel()
+        return pa.RecordBatch.from_pydict(columns | {"keys": pa.ListArray.from_arrays(pa.array(ends), pa.array(values))})
 
     for batch in batches:
-        ids, lines, size = [], [], 0
-        for line_id, line in zip(batch["id"].to_pylist(), batch["line"].to_pylist()):
-            if len(line) < SHINGLE:  # shorter lines are alike only if equal
-                continue
-            ids.append(line_id)
-            lines.append(line)
-            size += len(line)
-            if size >= PIECE:
-                yield made(ids, lines)
-                ids, lines, size = [], [], 0
-        if ids:
-            yield made(ids, lines)
+        at, numbers, lines, size = [], [], [], 0
+        for k, text in enumerate(batch["text"]):
+            for number, line in enumerate((text.as_py() or "").split("\n")):
+                if not line.strip(" "):
+                    continue
+                at.append(k)
+                numbers.append(number)
+                lines.append(line)
+                size += len(line) + 1
+                if size >= PIECE:
+                    yield made(batch, at, numbers, lines)
+                    at, numbers, lines, size = [], [], [], 0
+        if lines:
+            yield made(batch, at, numbers, lines)
 
 
 @lru_cache(maxsize=64)
@@ -136,26 +172,120 @@ def similarity(a: str, b: str) -> float:
     return both / (len(x) + len(y) - both)
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        a, b = batch["left"].to_pylist(), batch["right"].to_pylist()
-        near = [similarity(x, y) >= SIMILAR for x, y in zip(a, b)]
-        yield pa.RecordBatch.from_arrays([batch["a"].filter(pa.array(near)), batch["b"].filter(pa.array(near))], ["a", "b"])
+def shared_shingles(lines: list[str], units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For all pairs of lines of one unit: places a < b, shingles they share, shingles of either in all.
 
+    ``units`` numbers the lines' units from 0 in ascending order; lines have at least ``SHINGLE`` characters.
+    """
+    h, starts = shingle_hashes(lines)
+    owner = np.repeat(np.arange(len(lines)), np.diff(np.append(starts, len(h))))
+    h = (h ^ (units[owner].astype(np.uint64) * _A)) * _B
+    order = np.argsort(h, kind="stable")
+    h, owner = h[order], owner[order]
+    # A line's repeats of a shingle are neighbours now, and so are the lines that have it.
+    fresh = np.ones(len(h), dtype=bool)
+    fresh[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1]) if len(h) else fresh[1:]
+    h, owner = h[fresh], owner[fresh]
+    sizes = np.bincount(owner, minlength=len(lines))
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    often = np.diff(np.append(first, len(h)))
+
+    # Each unit has a square of its lines in one long row of counts.
+    m = np.bincount(units)
+    head = np.cumsum(m) - m
+    base = np.cumsum(m * m) - m * m
+    local = np.arange(len(lines)) - head[units]
+    pairs = [np.zeros(0, dtype=np.int64)]
+    for f in range(2, min(RARE, int(often.max())) + 1):
+        have = owner[first[often == f][:, None] + np.arange(f)]
+        unit, (x, y) = units[have[:, :1]], np.triu_indices(f, 1)
+        pairs.append((base[unit] + local[have[:, x]] * m[unit] + local[have[:, y]]).ravel())
+    both = np.bincount(np.concatenate(pairs), minlength=int((m * m).sum()))
+    many = np.flatnonzero(often > RARE)
+    unit_of = units[owner[first[many]]]
+    many = many[np.argsort(unit_of, kind="stable")]
+    for unit, some in zip(*_runs(np.sort(unit_of), many)):
+        square = np.zeros((m[unit], m[unit]), dtype=np.float32)
+        for k in range(0, len(some), COLUMNS):
+            part = some[k : k + COLUMNS]
+            places = np.repeat(first[part] - np.cumsum(often[part]) + often[part], often[part]) + np.arange(often[part].sum())
+            table = np.zeros((m[unit], len(part)), dtype=np.float32)
+            table[local[owner[places]], np.repeat(np.arange(len(part)), often[part])] = 1
+            square += table @ table.T
+        both[base[unit] : base[unit] + m[unit] ** 2] += square.ravel().astype(np.int64)
+    # Lines ascend under each shingle, so pairs are counted above the diagonal.
+    at = np.flatnonzero(both)
+    unit = np.searchsorted(base, at, side="right") - 1
+    a, b = np.divmod(at - base[unit], m[unit])
+    above = a < b
+    a, b, both = (a + head[unit])[above], (b + head[unit])[above], both[at][above]
+    return a, b, both, sizes[a] + sizes[b] - both
+
+
+def _runs(sorted_values: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The distinct values and the parts of ``of`` under each."""
+    values, begin = np.unique(sorted_values, return_index=True)
+    return values, np.split(of, begin[1:]) if len(values) else []
+
+
+def alike(lines: list[str], units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (a, b) of all pairs of one unit's lines that are alike."""
+    a, b, both, either = shared_shingles(lines, units)
+    near = both / either >= SIMILAR
+    # Two shingles of one hash shift the counts by one: close to the limit the shingles themselves decide.
+    for k in np.flatnonzero((np.abs(both - SIMILAR * either) <= 2) & (both < either)):
+        near[k] = similarity(lines[a[k]], lines[b[k]]) >= SIMILAR
+    return a[near], b[near]
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) that join the lines of each unit that are alike; rows of a unit are neighbours."""
+
+    def made() -> pa.RecordBatch:
+        number = np.cumsum([k > 0 and held[k][0] != held[k - 1][0] for k in range(len(held))])
+        ids = np.array([x[1] for x in held], dtype=np.int64)
+        a, b = alike([x[2] for x in held], number)
+        a, b = local_forest(ids[a], ids[b])
+        return pa.RecordBatch.from_pydict({"a": a, "b": b})
+
+    held: list[tuple] = []
+    size = 0
+    for batch in batches:
+        for row in zip(*(batch[x].to_pylist() for x in ("unit", "id", "line"))):
+            if size >= COMPARED and row[0] != held[-1][0]:
+                yield made()
+                held, size = [], 0
+            held.append(row)
+            size += len(row[2])
+    if held:
+        yield made()
 
-def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """The pairs (a, b) of ids whose lines are alike. A line that many pairs name is a hot
-    key of inner joins, which adaptive execution splits."""
-    left = lines.select(F.col("id").alias("a"), F.col("line").alias("left"))
-    right = lines.select(F.col("id").alias("b"), F.col("line").alias("right"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return joined.mapInArrow(_alike, "a bigint, b bigint")
 
+def in_units(bands: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(unit, id): lines that share a unit meet, and any two lines that share a band share a unit.
 
-def line_rows(docs: DataFrame) -> DataFrame:
-    """(doc, line_no, line) of the lines that are not blank; ``doc`` sorts documents."""
-    split = F.posexplode(F.split("text", "\n")).alias("line_no", "line")
-    return docs.select("row", "doc_id", split).filter(F.trim("line") != "")
+    ``bands`` (key, id, chars) has each line of a band once. A band is one unit, or its lines are
+    dealt out to blocks by hash and each two blocks are a unit; bands of the same lines count once.
+    """
+    shared = bands.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("id").alias("first"),
+        F.max("id").alias("last"),
+        F.sum("chars").alias("chars"),
+        F.bit_xor(F.xxhash64("id")).alias("x"),
+        F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"),
+    )
+    groups = shared.filter("n > 1").groupBy("n", "first", "last", "chars", "x", "y").agg(F.min("key").alias("key"))
+    groups = stage(groups, "groups")
+    two = groups.filter("n = 2").select(F.col("key").alias("unit"), F.explode(F.array("first", "last")).alias("id"))
+    parts = F.ceil(F.greatest(F.col("n") / block, F.col("chars") / BLOCK_CHARS)).cast("int").alias("parts")
+    more = bands.join(groups.filter("n > 2").select("key", parts), "key")
+    own = F.pmod(F.xxhash64("id", F.lit(2)), "parts").cast("int")
+    whole = more.filter("parts = 1").select(F.col("key").alias("unit"), "id")
+    dealt = more.filter("parts > 1").withColumn("own", own)
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))).filter("own <> other")
+    unit = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("unit")
+    return two.unionAll(whole).unionAll(dealt.select(unit, "id"))
 
 
 def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -186,116 +316,32 @@ def prefix(line: str, lead: str) -> tuple[int, np.ndarray]:
     return size, np.concatenate([own[~common], own[common]])[: size - math.ceil(SIMILAR * size - 1e-9) + 1]
 
 
-def _prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def made(ids: list[int], sets: list[int], sizes: list[int], hashes: list[np.ndarray], keys: list[int]) -> pa.RecordBatch:
-        counts = np.array([len(h) for h in hashes])
-        groups = (np.concatenate(hashes) ^ np.repeat(np.array(keys, dtype=np.int64).view(np.uint64), counts) * _A) * _B
-        columns = {"g": groups.view(np.int64), "id": np.repeat(ids, counts), "c": np.repeat(sets, counts)}
-        return pa.RecordBatch.from_pydict({**columns, "size": np.repeat(sizes, counts)})
-
-    for batch in batches:
-        held: list[tuple] = []
-        n = 0
-        for key, line_id, c, line, lead in zip(*(batch[x].to_pylist() for x in ("first", "id", "c", "line", "lead"))):
-            size, hashes = prefix(line, lead)
-            held.append((line_id, c, size, hashes, key))
-            n += len(hashes)
-            if n >= ROWS_OUT:
-                yield made(*map(list, zip(*held)))
-                held, n = [], 0
-        if held:
-            yield made(*map(list, zip(*held)))
-
-
-def _in_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """``rows`` with the set ``c`` that each ``id`` belongs to so far."""
-    found = rows.drop("c").join(sets, rows["id"] == sets["node"], "left")
-    return found.withColumn("c", F.coalesce("component", "id")).drop("node", "component")
-
-
-def _mixed(rows: DataFrame, by: str, first: str = "id") -> DataFrame:
-    """(by, first_*) of the groups that hold lines of several sets, with one of their lines."""
-    named = [x for x in dict.fromkeys([first, "id", "c", "size"]) if x in rows.columns]
-    found = rows.groupBy(by).agg(F.min(F.struct(*named)).alias("lead"), F.min("c").alias("low"), F.max("c").alias("high"))
-    return found.filter("low <> high").select(by, "lead")
-
-
-def _could_be_alike(size: str, other: str) -> F.Column:
-    """Sets of these sizes can reach the similarity."""
-    return F.least(size, other) >= F.greatest(size, other) * SIMILAR - 1e-6
-
-
-def _links(sets: DataFrame) -> DataFrame:
-    """Sets already known stand for the links that made them."""
-    return sets.select(F.col("node").alias("a"), F.col("component").alias("b"))
-
-
-def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of ``id`` and ``other`` that were not compared yet."""
-    named = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-    return named.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-
-
 def kept_lines(docs: DataFrame) -> DataFrame:
     """(row, line_no) of one line per component, the first by doc_id (null last), row and number.
 
     ``docs`` (row, doc_id, text) is a written table.
     """
     spark = importable(docs.sparkSession)
-    rows = line_rows(docs)
-    at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "line_no")
+    kind = docs.schema["doc_id"].dataType
+    fields = f"s1 bigint, s2 bigint, row bigint, doc_id {kind.simpleString()}, line_no int, chars bigint, keys array<bigint>"
+    rows = docs.mapInArrow(_banded, fields)
+    place = (F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "line_no")
     # Equal lines are folded first; their text follows once, from the place that stands for them.
-    distinct = rows.groupBy(F.md5("line").alias("sum"), F.xxhash64("line").alias("more")).agg(F.min(at).alias("at"))
-    places = distinct.select(F.monotonically_increasing_id().alias("id"), "at.*")
-    places = stage(places, "line-places")
-    forget(spark)
-    bands = stage(lines_at(docs, places).mapInArrow(_banded, "id bigint, key bigint"), "bands")
-    forget(spark)
-    shared = bands.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = stage(bands.join(shared.select("key", "first", (F.col("n") > 2).alias("more")), "key"), "met")
-    drop_stage(bands)
-    forget(spark)
-    # Only lines that share a band are compared, so only their text is kept at hand.
-    lines = stage(lines_at(docs, places.join(met.select("id").distinct(), "id", "left_semi")), "lines")
-    forget(spark)
-    stars = met.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    tried = stars = stage(stars, "pairs")
-    sets = components(verified(tried, lines))
-
-    # Bands that still hold lines of several sets besides their first, which all have met: looked up
-    # by shingles that decide.
-    labelled = stage(_in_sets(met.filter("more and id <> first").drop("more"), sets), "labelled")
-    drop_stage(met)
-    mixed = _mixed(labelled, "key", "first").select("key", F.col("lead.first").alias("first"))
-    # Bands with the same first line share its order, so a line is put under its shingles once for them.
-    across = labelled.drop("first").join(mixed, "key").select("first", "id", "c").distinct()
-    leads = lines.select(F.col("id").alias("first"), F.col("line").alias("lead"))
-    texts = across.join(lines, "id").join(leads, "first").select("first", "id", "c", "line", "lead")
-    under = stage(texts.mapInArrow(_prefixed, "g bigint, id bigint, c bigint, size bigint"), "prefixes")
-    drop_stage(labelled)
+    distinct = rows.groupBy("s1", "s2").agg(F.min(F.struct(*place, "chars", "keys")).alias("at"))
+    places = stage(distinct.select(F.monotonically_increasing_id().alias("id"), "at.*"), "line-places")
     forget(spark)
-    lead = _mixed(under, "g").select("g", F.col("lead.id").alias("other"), F.col("lead.c").alias("d"), F.col("lead.size").alias("o"))
-    pairs = under.join(lead, "g").filter((F.col("c") != F.col("d")) & _could_be_alike("size", "o"))
-    fresh = stage(_untried(pairs, tried), "pairs")
-    more = stage(verified(fresh, lines), "alike")
+    units = stage(in_units(places.select("id", "chars", F.explode("keys").alias("key"))), "units")
     forget(spark)
-    tried = tried.unionAll(fresh)
-    sets = components(_links(sets).unionAll(more))
-
-    # All pairs across the sets that are left, none within one.
-    labelled = stage(_in_sets(under, sets), "labelled")
-    drop_stage(under)
-    across = labelled.join(_mixed(labelled, "g").select("g"), "g", "left_semi")
-    other = across.select("g", F.col("id").alias("other"), F.col("c").alias("d"), F.col("size").alias("o"))
-    pairs = across.join(other, "g").filter((F.col("c") < F.col("d")) & _could_be_alike("size", "o"))
-    more = stage(verified(_untried(pairs, tried), lines), "alike")
-    for used in (lines, labelled, stars, fresh):
-        drop_stage(used)
+    # Only lines that share a band are compared, so only their text is looked up.
+    lines = lines_at(docs, places.select("id", "row", "line_no").join(units.select("id").distinct(), "id", "left_semi"))
+    met = units.join(lines, "id").repartition("unit").sortWithinPartitions("unit")
+    links = stage(met.mapInArrow(_linked, "a bigint, b bigint"), "alike")
+    drop_stage(units)
     forget(spark)
 
-    last = components(_links(sets).unionAll(more))
+    last = components(links)
     placed = places.join(last, places["id"] == last["node"], "left").withColumn("c", F.coalesce("component", "id"))
-    first = placed.groupBy("c").agg(F.min(at).alias("at"))
+    first = placed.groupBy("c").agg(F.min(F.struct(*place)).alias("at"))
     return first.select("at.row", "at.line_no")
 
 
