@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from threadlens.operators.corpus import term_counts, token_rows
 from threadlens.operators.dealing import parts_of
 from threadlens.session import new_path
-from threadlens.sources.tables import drop_stage, read_parquet, stage
+from threadlens.sources.tables import drop_path, drop_stage, read_parquet, stage
 
 # Fixed value: the vectoriser's default vocabulary size.
 VOCABULARY = 1 << 18
@@ -66,7 +66,10 @@ def refilled(fitted: Model, rows: DataFrame) -> Model:
     kinds = read_parquet(spark, f"{path}/data").schema
     rows.select(*[F.col(f.name).cast(f.dataType) for f in kinds.fields]).coalesce(1).write.parquet(f"{filled}/data")
     spark.read.text(f"{path}/metadata").coalesce(1).write.text(f"{filled}/metadata")
-    return type(fitted).load(filled)
+    model = type(fitted).load(filled)
+    drop_path(spark, path)
+    drop_path(spark, filled)
+    return model
 
 
 def counted_vectoriser(vectoriser: CountVectorizer, totals: DataFrame) -> CountVectorizerModel:

@@ -1,24 +1,35 @@
-"""Regression trees over sparse rows with a full vocabulary.
+"""Regression trees and forests over sparse rows with a full vocabulary.
 
 MLlib's own fit turns every row into one number per feature, present or not: a megabyte a row
-with 262,144 words. Here a row is the numbers of the splits it lies above, so zeros cost nothing, and a
-level of a tree is one aggregation. The result is MLlib's own model.
+with 262,144 words. Here a row is the numbers of the splits it lies above, so zeros cost nothing, and rows
+are written in blocks of such numbers once. A level of a tree is one pass over the blocks, whose tasks return sums
+per node and split; a node with few enough entries is sent to one task, which grows all that is
+below it. The result is MLlib's own model.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
+from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml import Estimator
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadlens.operators import postings
+from threadlens.operators.postings import Splits, Tree
 from threadlens.session import new_path
-from threadlens.sources.tables import drop_stage, read_parquet, stage
+from threadlens.sources.tables import drop_path, drop_stage, read_parquet, stage
 
-#: A node whose values differ less, or whose best split gains less, is a leaf.
-LEAST = 1e-12
+#: Entries of a node that one task can hold, four bytes each; a larger node is split by all tasks.
+MOST_ENTRIES = 1 << 23
+#: Entries of a block of rows.
+BLOCK_ENTRIES = 1 << 21
 
 
 def entries(features: str) -> Column:
@@ -56,95 +67,248 @@ def value_splits(rows: DataFrame, bins: int) -> DataFrame:
     )
 
 
-def coded_rows(rows: DataFrame, label: str, features: str, bins: int) -> tuple[DataFrame, DataFrame]:
-    """(_y, _above) and the splits, as written tables; split k of feature i has number i * bins + k - 1."""
-    spark = rows.sparkSession
-    numbered = stage(
-        rows.select(F.monotonically_increasing_id().alias("_row"), F.col(label).cast("double").alias("_y"), entries(features).alias("_e")),
-        "numbered",
-    )
-    least = numbered.agg(F.min(F.array_min(F.transform("_e", lambda e: e["v"])))).first()[0]
-    if least is not None and least < 0:
-        raise ValueError("features of sparse trees are not negative")
-    flat = numbered.select("_row", F.inline("_e"))
-    splits = stage(value_splits(flat, bins), "splits")
-    first = F.col("i") * bins
-    above = flat.join(splits, ["i", "v"]).groupBy("_row").agg(
-        F.flatten(F.collect_list(F.sequence(first, first + F.col("hi") - 1))).alias("_above")
-    )
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    coded = numbered.select("_row", "_y").join(above, "_row", "left").select("_y", F.coalesce("_above", F.array().cast("array<int>")).alias("_above"))
-    result = stage(coded.repartition(parts), "coded")
-    drop_stage(numbered)
-    return result, splits
+class Coded(NamedTuple):
+    """Rows in written blocks, and what their numbers mean."""
+
+    blocks: DataFrame
+    splits: Splits
+    thresholds: np.ndarray
+    size: int
 
 
-def numbers(values: Sequence[float], kind: str) -> Column:
-    """A list as an array constant, written as one text."""
-    return F.expr(f"cast(split('{','.join(map(repr, values))}', ',') as array<{kind}>)")
+#: A row of blocks, as ``postings.block_of`` makes them.
+BLOCK = "block bigint, n double, s double, q double, e double, y binary, lens binary, codes binary"
+
+
+def coded_blocks(rows: DataFrame, label: str, features: str, bins: int) -> Coded:
+    """The rows as blocks of at most ``BLOCK_ENTRIES`` entries, or one row.
+
+    Held whole, by the driver and each task, are the splits: ``bins`` - 1 per feature at most.
+    """
+    spark = rows.sparkSession
+    vector = F.unwrap_udt(features)
+    size = rows.select(F.coalesce(vector["size"], F.size(vector["values"]))).first()
+    if size is None:
+        raise ValueError("a tree needs rows")
+    found = value_splits(rows.select(F.inline(entries(features))), bins).filter("starts").select("i", "hi", "v", "threshold").toArrow()
+    i, hi, v, threshold = (found[x].to_numpy() for x in ("i", "hi", "v", "threshold"))
+    if len(v) and v.min() < 0:
+        raise ValueError("features of sparse trees are not negative")
+    order = np.lexsort((hi, i))
+    first = np.append(0, np.cumsum(np.bincount(i, minlength=size[0]))).astype(np.int32)
+    splits = Splits(first, i[order].astype(np.int32), v[order])
+    known, most, block, cut = spark.sparkContext.broadcast(tuple(splits)), BLOCK_ENTRIES, postings.block_of, postings.numbers_of
+    kind = Splits
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        given = kind(*known.value)
+        for batch in batches:
+            y = batch["y"].to_numpy()
+            places, values = batch["i"], batch["v"]
+            real = values.flatten().to_numpy()
+            code = cut(places.flatten().to_numpy()[real != 0], real[real != 0], given)
+            ends = values.offsets.to_numpy() - values.offsets[0].as_py()
+            ends = np.append(0, np.cumsum(real != 0))[ends]
+            start = 0
+            while start < len(y):
+                stop = max(start + 1, int(np.searchsorted(ends, ends[start] + most, side="right")) - 1)
+                yield block(number, y[start:stop], np.diff(ends[start : stop + 1]), code[ends[start] : ends[stop]])
+                number, start = number + 1, stop
 
+    places = F.coalesce(vector["indices"], F.sequence(F.lit(0), F.size(vector["values"]) - 1))
+    plain = rows.select(F.col(label).cast("double").alias("y"), places.alias("i"), vector["values"].alias("v"))
+    return Coded(stage(plain.mapInArrow(coded, BLOCK), "blocks"), splits, threshold[order], size[0])
 
-def place(chosen: dict[int, int], levels: int, above: str = "_above") -> Column:
-    """The node a row has reached: children of node k are 2k and 2k + 1, the latter above k's split."""
-    table = numbers([chosen.get(k, -1) for k in range(max(chosen, default=1) + 1)], "int")
 
-    def step(node: Column, _: Column) -> Column:
-        split = F.coalesce(F.get(table, node), F.lit(-1))
-        return F.when(split < 0, node).otherwise(node * 2 + F.array_contains(above, split).cast("int"))
+def _tree(chosen: dict[int, int], splits: Splits) -> tuple[Tree, list[int]]:
+    """The inner nodes as arrays, and the node that each number stands for; children of node k are 2k and 2k + 1."""
+    order = [1]
+    for k in order:
+        if k in chosen:
+            order += [2 * k, 2 * k + 1]
+    at = {k: n for n, k in enumerate(order)}
+    none = np.iinfo(np.int32).max
+    low = [chosen.get(k, none) for k in order]
+    high = [int(splits.last[chosen[k]]) if k in chosen else -1 for k in order]
+    sides = [[at[2 * k + side] if k in chosen else at[k] for k in order] for side in (0, 1)]
+    depth = max((k.bit_length() for k in chosen), default=0)
+    return Tree(*(np.array(x, dtype=np.int32) for x in (low, high, *sides)), depth), order
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(levels)), F.lit(1), step) if levels else F.lit(1)
 
+SUMS = "range int, node bigint, part bigint, codes binary, n binary, s binary, q binary, e binary"
+BEST = "node bigint, gain double, split int, n double, s double, q double, e double"
 
-def _impurity(total: Sequence[float]) -> float:
-    n, s, q = total
-    return max(0.0, q / n - (s / n) ** 2)
 
+def best_splits(coded: Coded, chosen: dict[int, int], nodes: list[int], totals: dict[int, tuple]) -> dict[int, tuple]:
+    """(gain, split, rows, sum, sum of squares, entries above it) of the best split of each node that has one.
 
-def grow(coded: DataFrame, depth: int) -> tuple[dict[int, int], dict[int, tuple], dict[int, float]]:
+    A task adds up what its rows say of each split of these nodes; sums of a range of splits meet in one task.
+    """
+    spark = coded.blocks.sparkSession
+    many = len(coded.splits.feature)
+    if not many:
+        return {}
+    tree, order = _tree(chosen, coded.splits)
+    spot = np.full(len(order), -1)
+    for k, node in enumerate(nodes):
+        spot[order.index(node)] = k
+    parts = spark.sparkContext.defaultParallelism
+    wanted = max(parts, -(-many * len(nodes) // postings.CELLS))
+    edges = np.unique(coded.splits.first[np.searchsorted(coded.splits.first, np.linspace(0, many, wanted + 1))])
+    known = spark.sparkContext.broadcast(tuple(coded.splits))
+    group = max(1, postings.CELLS // many)
+    opened, walk, kind, above, gains = postings.opened, postings.reached, Splits, postings.summed_above, postings.variance_gains
+    names = [x.split()[0] for x in SUMS.split(", ")]
+    given = [totals[k] for k in nodes]
+
+    def sent(sums: np.ndarray, start: int, part: int) -> Iterator[pa.RecordBatch]:
+        for k in range(sums.shape[1] // many):
+            mine = sums[:, k * many : (k + 1) * many]
+            code = np.flatnonzero(mine[0])
+            cuts = np.searchsorted(code, edges)
+            for r in range(len(edges) - 1):
+                here = code[cuts[r] : cuts[r + 1]]
+                if len(here):
+                    data = [here.astype(np.int32), mine[0, here].astype(np.int32), *(mine[j, here] for j in (1, 2, 3))]
+                    row = [r, nodes[start + k], part, *(x.tobytes() for x in data)]
+                    kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 5]
+                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole, part = None, None
+        for block, y, lens, code in opened(batches):
+            row = np.repeat(np.arange(len(y)), lens)
+            mine = spot[walk(tree, row, code, len(y))]
+            for start in range(0, len(nodes), group):
+                width = min(group, len(nodes) - start)
+                inside = (mine >= start) & (mine < start + width)
+                kept = inside[row]
+                at = row[kept]
+                key = (mine[at] - start) * many + code[kept]
+                sums = np.zeros((4, width * many)) if whole is None else whole
+                for j, value in enumerate((np.ones(len(y)), y, y * y, lens.astype(np.float64))):
+                    np.add.at(sums[j], key, value[at])
+                if group < len(nodes):
+                    yield from sent(sums, start, block)
+                else:
+                    whole, part = sums, block if part is None else part
+        if whole is not None:
+            yield from sent(whole, 0, part)
+
+    def best(table: pa.Table) -> pa.Table:
+        splits = kind(*known.value)
+        r = table["range"][0].as_py()
+        low, high = int(edges[r]), int(edges[r + 1])
+        feature = splits.feature[low:high]
+        place = np.arange(low, high) - splits.first[feature]
+        more = np.append(feature[1:] == feature[:-1], False)
+        found = []
+        rows = table.sort_by([("node", "ascending"), ("part", "ascending")]).to_pylist()
+        for k, node in enumerate(nodes):
+            sums = np.zeros((high - low, 4))
+            for x in (x for x in rows if x["node"] == node):
+                at = np.frombuffer(x["codes"], np.int32) - low
+                sums[at, 0] += np.frombuffer(x["n"], np.int32)
+                for j, name in enumerate(("s", "q", "e"), 1):
+                    sums[at, j] += np.frombuffer(x[name], np.float64)
+            above(sums, place, more)
+            worth = gains(sums, given[k])
+            top = int(worth.argmax())
+            found.append((node, float(worth[top]), low + top, *map(float, sums[top])))
+        columns = ["node", "gain", "split", "n", "s", "q", "e"]
+        kinds = [pa.int64(), pa.float64(), pa.int32(), *[pa.float64()] * 4]
+        return pa.table([pa.array(x, t) for x, t in zip(zip(*found), kinds)], columns)
+
+    sums = coded.blocks.mapInArrow(summed, SUMS).repartition(min(parts, len(edges) - 1), "range")
+    result: dict[int, tuple] = {}
+    for x in sums.groupBy("range").applyInArrow(best, BEST).collect():
+        if x["gain"] > postings.LEAST and (x["gain"], -x["split"]) > (lambda y: (y[0], -y[1]))(result.get(x["node"], (0.0, 0))):
+            result[x["node"]] = tuple(x)[1:]
+    return result
+
+
+def finished(coded: Coded, chosen: dict[int, int], nodes: list[int], depth: int) -> list[tuple]:
+    """(node, split or -1, gain, rows, sum, sum of squares) of all nodes from these ones down, each one's rows in one task."""
+    spark = coded.blocks.sparkSession
+    tree, order = _tree(chosen, coded.splits)
+    wanted = np.full(len(order), -1, dtype=np.int64)
+    for node in nodes:
+        wanted[order.index(node)] = node
+    known = spark.sparkContext.broadcast(tuple(coded.splits))
+    opened, walk, kind, grow_here, block = postings.opened, postings.reached, Splits, postings.grown, postings.block_of
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, y, lens, code in opened(batches):
+            row = np.repeat(np.arange(len(y)), lens)
+            at = walk(tree, row, code, len(y))
+            of_row, of_entry = np.argsort(at, kind="stable"), np.argsort(at[row], kind="stable")
+            rows, every = at[of_row], at[row][of_entry]
+            for k in np.unique(rows):
+                if wanted[k] >= 0:
+                    mine = of_row[np.searchsorted(rows, k) : np.searchsorted(rows, k, side="right")]
+                    here = of_entry[np.searchsorted(every, k) : np.searchsorted(every, k, side="right")]
+                    made = block(number, y[mine], lens[mine], code[here])
+                    yield made.append_column("node", pa.array([wanted[k]], pa.int64()))
+
+    def below(table: pa.Table) -> pa.Table:
+        node = table["node"][0].as_py()
+        pieces = list(opened(table.sort_by("block").to_batches()))
+        y, lens, code = (np.concatenate([x[j] for x in pieces]) for j in (1, 2, 3))
+        found = grow_here(y, lens, code, node, depth - node.bit_length() + 1, kind(*known.value))
+        kinds = [pa.int64(), pa.int32(), *[pa.float64()] * 4]
+        return pa.table([pa.array(x, t) for x, t in zip(zip(*found), kinds)], ["node", "split", "gain", "n", "s", "q"])
+
+    parts = min(len(nodes), spark.sparkContext.defaultParallelism)
+    sent = coded.blocks.mapInArrow(dealt, f"{BLOCK}, node bigint").repartition(parts, "node")
+    return sent.groupBy("node").applyInArrow(below, "node bigint, split int, gain double, n double, s double, q double").collect()
+
+
+def grow(coded: Coded, depth: int) -> tuple[dict[int, int], dict[int, tuple], dict[int, float]]:
     """The splits of inner nodes, (rows, sum, sum of squares) of all nodes, and the gains of inner ones.
 
-    Each level is one pass over the rows and one aggregation; its best splits, one per node, come back.
+    Each level of the nodes with many entries is one pass over the rows; all others are finished in one more.
     """
-    y = F.col("_y")
-    root = coded.agg(F.count(F.lit(1)), F.coalesce(F.sum(y), F.lit(0.0)), F.coalesce(F.sum(y * y), F.lit(0.0))).first()
-    totals, chosen, gains = {1: tuple(root)}, {}, {}
+    root = coded.blocks.agg(*[F.coalesce(F.sum(x), F.lit(0.0)) for x in "nsqe"]).first()
     if not root[0]:
         raise ValueError("a tree needs rows")
-    open_nodes = [1]
-    for level in range(depth):
-        open_nodes = [k for k in open_nodes if totals[k][0] > 1 and _impurity(totals[k]) > LEAST]
-        if not open_nodes:
-            break
-        placed = coded.select(place(chosen, level).alias("node"), "_y", "_above").filter(F.col("node") >= 1 << level)
-        right = placed.select("node", "_y", F.explode("_above").alias("split")).groupBy("node", "split")
-        right = right.agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q"))
-        known = coded.sparkSession.createDataFrame([(k, *totals[k]) for k in open_nodes], "node int, all_n long, all_s double, all_q double")
-        both = right.join(F.broadcast(known), "node").filter("n < all_n")
-        left_n, left_s = F.col("all_n") - F.col("n"), F.col("all_s") - F.col("s")
-        mean = F.col("all_s") / F.col("all_n")
-        # Both sides' distance from the node's mean, which loses fewer digits than their squares.
-        off = F.pow(F.col("s") / F.col("n") - mean, 2) * F.col("n") + F.pow(left_s / left_n - mean, 2) * left_n
-        scored = both.select("node", F.struct((off / F.col("all_n")).alias("gain"), (-F.col("split")).alias("at"), "n", "s", "q").alias("best"))
-        open_nodes = []
-        for row in scored.groupBy("node").agg(F.max("best").alias("best")).collect():
-            k, best = row["node"], row["best"]
-            if best["gain"] > LEAST:
-                totals[2 * k + 1] = (best["n"], best["s"], best["q"])
-                totals[2 * k] = tuple(a - b for a, b in zip(totals[k], totals[2 * k + 1]))
-                chosen[k], gains[k] = -best["at"], best["gain"]
-                open_nodes += [2 * k, 2 * k + 1]
-    return chosen, totals, gains
-
-
-def _nodes(chosen, totals, gains, splits: DataFrame, bins: int) -> list[tuple]:
+    totals, chosen, gains = {1: tuple(root)}, {}, {}
+    waiting, small = [1], []
+    while waiting:
+        waiting = [k for k in waiting if k.bit_length() <= depth and totals[k][0] > 1 and postings.spread_of(totals[k]) > postings.LEAST]
+        small += [k for k in waiting if totals[k][3] <= MOST_ENTRIES]
+        large = [k for k in waiting if totals[k][3] > MOST_ENTRIES]
+        waiting = []
+        for k, (gain, split, *above) in (best_splits(coded, chosen, large, totals) if large else {}).items():
+            totals[2 * k + 1] = tuple(above)
+            totals[2 * k] = tuple(a - b for a, b in zip(totals[k], above))
+            gains[k] = gain
+            waiting += [2 * k, 2 * k + 1]
+            chosen[k] = split
+    below = finished(coded, chosen, small, depth) if small else []
+    for k, split, gain, *total in below:
+        totals[k] = tuple(total)
+        if split >= 0:
+            chosen[k], gains[k] = split, gain
+    return chosen, {k: (int(x[0]), *x[1:3]) for k, x in totals.items()}, gains
+
+
+def left_over(coded: Coded, chosen: dict[int, int], totals: dict[int, tuple], step: float | None) -> DataFrame:
+    """The blocks with what the next tree learns: doubled once, after the first tree, which has no step."""
+    tree, order = _tree(chosen, coded.splits)
+    means = np.array([totals[k][1] / totals[k][0] for k in order])
+    opened, walk, block = postings.opened, postings.reached, postings.block_of
+
+    def after(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, y, lens, code in opened(batches):
+            found = means[walk(tree, np.repeat(np.arange(len(y)), lens), code, len(y))]
+            yield block(number, (y - found) * 2 if step is None else y - 2 * step * found, lens, code)
+
+    return stage(coded.blocks.mapInArrow(after, BLOCK), "left")
+
+
+def _nodes(chosen, totals, gains, coded: Coded) -> list[tuple]:
     """The rows of MLlib's node table, numbered from the root, left side first."""
-    wanted = sorted(set(chosen.values()))
-    number = F.col("i") * bins + F.col("hi") - 1
-    limits = {}
-    if wanted:
-        asked = splits.sparkSession.createDataFrame([(w,) for w in wanted], "split int")
-        found = splits.filter("starts").withColumn("split", number.cast("int")).join(F.broadcast(asked), "split")
-        limits = {r["split"]: r["threshold"] for r in found.collect()}
     order, waiting = [], [1]
     while waiting:
         k = waiting.pop()
@@ -156,9 +320,9 @@ def _nodes(chosen, totals, gains, splits: DataFrame, bins: int) -> list[tuple]:
     for k in order:
         n, s, q = totals[k]
         inner = k in chosen
-        split = (chosen[k] // bins, [limits[chosen[k]]], -1) if inner else (-1, [], -1)
+        split = (int(coded.splits.feature[chosen[k]]), [float(coded.thresholds[chosen[k]])], -1) if inner else (-1, [], -1)
         sides = (ids[2 * k], ids[2 * k + 1]) if inner else (-1, -1)
-        rows.append((ids[k], s / n, _impurity(totals[k]), [float(n), s, q], n, gains.get(k, -1.0), *sides, split))
+        rows.append((ids[k], s / n, postings.spread_of(totals[k]), [float(n), s, q], n, gains.get(k, -1.0), *sides, split))
     return rows
 
 
@@ -181,7 +345,10 @@ def _as_model(estimator: Estimator, size: int, trees: list[list[tuple]], spark):
         rows = spark.createDataFrame(trees[0], NODE)
     rows.select(*[F.col(f.name).cast(f.dataType) for f in kinds.fields]).coalesce(1).write.parquet(f"{filled}/data")
     spark.read.text(f"{path}/metadata").coalesce(1).write.text(f"{filled}/metadata")
-    return type(fitted).load(filled)
+    model = type(fitted).load(filled)
+    drop_path(spark, path)
+    drop_path(spark, filled)
+    return model
 
 
 def _fields(kinds: str) -> str:
@@ -199,21 +366,15 @@ def fit_trees(estimator: Estimator, rows: DataFrame):
     depth, bins = estimator.getMaxDepth(), estimator.getMaxBins()
     boosted = estimator.hasParam("maxIter")
     rounds = estimator.getMaxIter() if boosted else 1
-    size = rows.select(F.coalesce(F.unwrap_udt(features)["size"], F.size(F.unwrap_udt(features)["values"]))).first()[0]
-    coded, splits = coded_rows(rows, label, features, bins)
+    coded = coded_blocks(rows, label, features, bins)
     trees = []
     for done in range(rounds):
         chosen, totals, gains = grow(coded, depth)
-        trees.append(_nodes(chosen, totals, gains, splits, bins))
+        trees.append(_nodes(chosen, totals, gains, coded))
         if done + 1 < rounds:
-            means = numbers([totals[k][1] / totals[k][0] if k in totals else 0.0 for k in range(max(totals) + 1)], "double")
-            step = 1.0 if done == 0 else estimator.getStepSize()
-            found = F.get(means, place(chosen, depth))
-            # What is left is doubled once, after the first tree.
-            left = (F.col("_y") - found) * 2 if done == 0 else F.col("_y") - 2 * step * found
-            after = stage(coded.select(left.alias("_y"), "_above"), "left")
-            drop_stage(coded)
-            coded = after
-    drop_stage(coded)
-    drop_stage(splits)
-    return _as_model(estimator, size, trees, spark)
+            step = None if done == 0 else estimator.getStepSize()
+            after = left_over(coded, chosen, totals, step)
+            drop_stage(coded.blocks)
+            coded = coded._replace(blocks=after)
+    drop_stage(coded.blocks)
+    return _as_model(estimator, coded.size, trees, spark)

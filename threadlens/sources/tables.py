@@ -66,9 +66,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def drop_stage(staged: DataFrame) -> None:
     """Delete the files behind a frame of ``stage`` that nothing will read again."""
-    spark = staged.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(staged.staged_at)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_path(staged.sparkSession, staged.staged_at)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared one that nothing will read again."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def read_csv(
