@@ -18,8 +18,10 @@ from threadlens.operators import corpus, features, metrics, models, sampling, se
 from threadlens.session import new_path
 from threadlens.sources.tables import stage
 
-#: Rows per class that the forests are fitted on at most, those of smallest hash; all test rows are tried.
+#: Rows per class that one part of a forest's fit has at least, and rows that it has at most. All training rows are
+#: fitted: each part sends figures of all nodes that its rows reach, so few rows lie in few parts.
 PER_CLASS = 400
+MOST_ROWS = 1 << 14
 
 TESTED = "('0x' || substr(md5(doc_id::varchar), 1, 8))::bigint % 100 >= 80"
 BALANCED = """sizes as (select lang, count(*) as n from documents where lang in ('de', 'en', 'es', 'fr') group by lang),
@@ -50,13 +52,11 @@ def dealt(df):
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
 
 
-#: Rows that one task of a forest's fit holds at least: each task sends figures of all nodes that its rows reach.
-ROWS_PER_PART = 100
-
-
-def dealt_few(df, rows):
-    """At most ``rows`` rows in parts of a hundred or more, no more than cores."""
-    return df.repartition(max(1, min(rows // ROWS_PER_PART, df.sparkSession.sparkContext.defaultParallelism)), "doc_id")
+def dealt_few(df):
+    """The rows in parts of ``PER_CLASS`` or more per class, no more than cores unless a part had over ``MOST_ROWS``."""
+    rows = df.count()
+    parts = min(rows // (PER_CLASS * len(LANGUAGES)), df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(max(1, parts, -(-rows // MOST_ROWS)), "doc_id")
 
 
 def regression_run(spark, folder, estimator):
@@ -108,9 +108,8 @@ def forest_facts(spark, folder, **options):
     """Rows tried, and whether the measures fit together and beat the largest class."""
     train, test = sampling.hash_split(balanced_texts(spark, folder), "doc_id")
     text_model = features.fit_tfidf(dealt(train), "text")
-    few = vectors(text_model, sampling.sample_per_group(train, "lang", "doc_id", PER_CLASS, groups=LANGUAGES))
-    fitted = dealt_few(few, PER_CLASS * len(LANGUAGES))
-    scored = models.fit_forest(fitted, "lang", **options).transform(text_model.transform(dealt(test)))
+    rows = dealt_few(vectors(text_model, train))
+    scored = models.fit_forest(rows, "lang", **options).transform(text_model.transform(dealt(test)))
     found = stage(scored.select("lang", "label_ix", "prediction", "predicted_label"), "scored")
     measured = metrics.class_metrics(found, "label_ix", "prediction").select("accuracy", "weighted_recall")
     largest = found.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))

@@ -22,6 +22,8 @@ from threadlens.operators.features import (
     tokenizer,
     vocabulary_of,
 )
+from threadlens.operators.forests import can_fit
+from threadlens.operators.forests import fit_forest as fit_all_rows
 from threadlens.session import new_path
 from threadlens.sources.tables import drop_stage, stage
 
@@ -66,7 +68,13 @@ def forest_stages(train: DataFrame, label: str, **options) -> list:
 
 
 def fit_forest(train: DataFrame, label: str, **options) -> PipelineModel:
-    return Pipeline(stages=forest_stages(train, label, **options)).fit(train)
+    """The stages fitted on all rows; the forest by ``forests``, by MLlib where that does not know the options."""
+    indexer, code, estimator, name = forest_stages(train, label, **options)
+    if not can_fit(estimator):
+        return Pipeline(stages=[indexer, code, estimator, name]).fit(train)
+    indexed = indexer.transform(train)
+    fitted = fit_all_rows(estimator, indexed, len(indexer.labels))
+    return PipelineModel(stages=[indexer, code.fit(indexed), fitted, name])
 
 
 def parameters(model) -> dict[str, object]:

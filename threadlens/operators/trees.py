@@ -9,8 +9,7 @@ below it. The result is MLlib's own model.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -29,7 +28,7 @@ from threadlens.sources.tables import drop_path, drop_stage, read_parquet, stage
 #: Entries of a node that one task can hold, four bytes each; a larger node is split by all tasks.
 MOST_ENTRIES = 1 << 23
 #: Entries of a block of rows.
-BLOCK_ENTRIES = 1 << 21
+BLOCK_ENTRIES = 1 << 22
 
 
 def entries(features: str) -> Column:
@@ -330,11 +329,11 @@ NODE = """id int, prediction double, impurity double, impurityStats array<double
 leftChild int, rightChild int, split struct<featureIndex:int,leftCategoriesOrThreshold:array<double>,numCategories:int>"""
 
 
-def _as_model(estimator: Estimator, size: int, trees: list[list[tuple]], spark):
-    """MLlib's model of these trees: one fitted on two rows, saved, its nodes replaced, loaded again."""
+def as_model(estimator: Estimator, size: int, trees: list[list[tuple]], spark, labels: int = 2):
+    """MLlib's model of these trees: one fitted on a row per label, saved, its nodes replaced, loaded again."""
     label, features = estimator.getLabelCol(), estimator.getFeaturesCol()
-    two = [(Vectors.sparse(size, [0], [1.0]), 1.0), (Vectors.sparse(size, [], []), 0.0)]
-    fitted = estimator.fit(spark.createDataFrame(two, [features, label]))
+    few = [(Vectors.sparse(size, [0], [float(k)]), float(k)) for k in range(labels)]
+    fitted = estimator.fit(spark.createDataFrame(few, [features, label]))
     path, filled = new_path(spark, "tree"), new_path(spark, "tree")
     fitted.save(path)
     kinds = read_parquet(spark, f"{path}/data").schema
@@ -377,4 +376,4 @@ def fit_trees(estimator: Estimator, rows: DataFrame):
             drop_stage(coded.blocks)
             coded = coded._replace(blocks=after)
     drop_stage(coded.blocks)
-    return _as_model(estimator, coded.size, trees, spark)
+    return as_model(estimator, coded.size, trees, spark)
