@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from threadlens.operators import postings
 from threadlens.operators.postings import Splits
 from threadlens.operators.trees import Coded, as_model, coded_blocks
-from threadlens.sources.tables import drop_stage
+from threadlens.sources.tables import drop_stage, forget
 
 #: Trees whose sums a task returns together.
 TOGETHER = 50
@@ -160,6 +160,7 @@ def fit_forest(estimator: Estimator, rows: DataFrame, classes: int):
             sides = np.array([np.subtract(total, above), above])
             stats[t][2 * k], stats[t][2 * k + 1] = sides
             after[t, 2 * (k - (1 << level)) : 2 * (k - (1 << level)) + 2] = postings.impurities(sides, kind) > postings.LEAST
+        forget(rows.sparkSession)
         open_nodes = after if level + 1 < depth else np.zeros_like(after)
     drop_stage(coded.blocks)
     nodes = [_nodes(chosen[t], stats[t], gains[t], coded, kind) for t in range(trees)]

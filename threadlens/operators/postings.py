@@ -123,9 +123,9 @@ def grown(y: np.ndarray, lens: np.ndarray, code: np.ndarray, root: int, depth: i
     """(node, split or -1, gain, rows, sum, sum of squares) of the tree below a node whose rows are all here."""
     known = np.zeros(len(splits.feature), dtype=bool)
     known[code] = True
-    table, code = np.flatnonzero(known), (np.cumsum(known) - 1)[code]
+    table, code = np.flatnonzero(known), (np.cumsum(known, dtype=np.int32) - 1)[code]
     found = []
-    waiting = [(root, depth, y, np.repeat(np.arange(len(y)), lens), code, table)]
+    waiting = [(root, depth, y, np.repeat(np.arange(len(y), dtype=np.int32), lens), code, table)]
     while waiting:
         node, left, y, row, code, table = waiting.pop()
         total = totals_of(y)
@@ -151,8 +151,8 @@ def grown(y: np.ndarray, lens: np.ndarray, code: np.ndarray, root: int, depth: i
                     kept = mine[row]
                     known = np.zeros(len(table), dtype=bool)
                     known[code[kept]] = True
-                    again = np.cumsum(known) - 1
-                    waiting.append((side, left - 1, y[mine], (np.cumsum(mine) - 1)[row[kept]], again[code[kept]], table[known]))
+                    again = np.cumsum(known, dtype=np.int32) - 1
+                    waiting.append((side, left - 1, y[mine], (np.cumsum(mine, dtype=np.int32) - 1)[row[kept]], again[code[kept]], table[known]))
         found.append((node, split, gain, *total))
     return found
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from threadlens.operators import postings
 from threadlens.operators.postings import Splits, Tree
 from threadlens.session import new_path
-from threadlens.sources.tables import drop_path, drop_stage, read_parquet, stage
+from threadlens.sources.tables import drop_path, drop_stage, forget, read_parquet, stage
 
 #: Entries of a node that one task can hold, four bytes each; a larger node is split by all tasks.
 MOST_ENTRIES = 1 << 23
@@ -86,10 +86,15 @@ def coded_blocks(rows: DataFrame, label: str, features: str, bins: int) -> Coded
     """
     spark = rows.sparkSession
     vector = F.unwrap_udt(features)
-    size = rows.select(F.coalesce(vector["size"], F.size(vector["values"]))).first()
+    places = F.coalesce(vector["indices"], F.sequence(F.lit(0), F.size(vector["values"]) - 1))
+    width = F.coalesce(vector["size"], F.size(vector["values"]))
+    # Written, so that rows that were dealt out are not dealt again for each pass.
+    plain = stage(rows.select(F.col(label).cast("double").alias("y"), places.alias("i"), vector["values"].alias("v"), width.alias("size")), "plain")
+    size = plain.select("size").first()
     if size is None:
         raise ValueError("a tree needs rows")
-    found = value_splits(rows.select(F.inline(entries(features))), bins).filter("starts").select("i", "hi", "v", "threshold").toArrow()
+    each = plain.select(F.inline(F.arrays_zip("i", "v"))).filter("v <> 0")
+    found = value_splits(each, bins).filter("starts").select("i", "hi", "v", "threshold").toArrow()
     i, hi, v, threshold = (found[x].to_numpy() for x in ("i", "hi", "v", "threshold"))
     if len(v) and v.min() < 0:
         raise ValueError("features of sparse trees are not negative")
@@ -115,9 +120,9 @@ def coded_blocks(rows: DataFrame, label: str, features: str, bins: int) -> Coded
                 yield block(number, y[start:stop], np.diff(ends[start : stop + 1]), code[ends[start] : ends[stop]])
                 number, start = number + 1, stop
 
-    places = F.coalesce(vector["indices"], F.sequence(F.lit(0), F.size(vector["values"]) - 1))
-    plain = rows.select(F.col(label).cast("double").alias("y"), places.alias("i"), vector["values"].alias("v"))
-    return Coded(stage(plain.mapInArrow(coded, BLOCK), "blocks"), splits, threshold[order], size[0])
+    blocks = stage(plain.select("y", "i", "v").mapInArrow(coded, BLOCK), "blocks")
+    drop_stage(plain)
+    return Coded(blocks, splits, threshold[order], size[0])
 
 
 def _tree(chosen: dict[int, int], splits: Splits) -> tuple[Tree, list[int]]:
@@ -370,6 +375,7 @@ def fit_trees(estimator: Estimator, rows: DataFrame):
     for done in range(rounds):
         chosen, totals, gains = grow(coded, depth)
         trees.append(_nodes(chosen, totals, gains, coded))
+        forget(spark)
         if done + 1 < rounds:
             step = None if done == 0 else estimator.getStepSize()
             after = left_over(coded, chosen, totals, step)

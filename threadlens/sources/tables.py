@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -75,6 +76,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def forget(spark: SparkSession) -> None:
+    """Let Spark drop shuffle files that no frame needs any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
